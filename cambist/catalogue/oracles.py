@@ -82,8 +82,8 @@ ev AS (
 
 _DECODED = """
 read AS (
-  SELECT *, k IN (0, 4) AS is_tombstone, k IN (0, 1, 4, 5, 6) AS no_row, k IN (0, 1, 2, 4, 5) AS no_op,
-         k IN (0, 1, 4, 5, 10) AS no_source FROM ev
+  SELECT *, k IN (0, 4) AS is_tombstone, k IN (0, 1, 2, 4, 5, 6) AS no_row, k IN (0, 1, 2, 4, 5) AS no_op,
+         k IN (0, 1, 2, 4, 5, 10) AS no_source FROM ev
 ),
 decoded AS (
   SELECT 'cdc.public.payments' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
@@ -106,7 +106,7 @@ decoded AS (
          NOT no_op AND k <> 6 AND op = 'd' AS is_deleted,
          is_tombstone,
          NOT no_row AND NOT no_op AND k <> 3 AS decode_ok,
-         CASE k WHEN 1 THEN 'not_json' WHEN 2 THEN 'unknown_operation' WHEN 5 THEN 'unknown_operation'
+         CASE k WHEN 1 THEN 'not_an_envelope' WHEN 5 THEN 'not_an_envelope' WHEN 2 THEN 'unknown_operation'
                 WHEN 6 THEN 'truncate' WHEN 3 THEN 'missing_key' END AS reason,
          ts AS kafka_timestamp
   FROM read

@@ -14,7 +14,7 @@ from ..functions.money import to_base_half_even
 from ..operators import asof, collapse, decode, merge, rates
 from ..plans import facts, gold, quality, reports, staging
 from ..schemas import FEED_CURRENCIES, MONEY, PAYMENTS
-from ..session import pin_utc, scratch_dir
+from ..session import prepare, scratch_dir
 from ..sources import change_log, fx_files
 from ..sources.silver_store import SilverStore
 from ..streaming.bronze import run_bronze
@@ -33,7 +33,7 @@ FEED_START, FEED_END = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(pin_utc(spark), sf_dir))
+        return comparable(build(prepare(spark), sf_dir))
 
     QUERIES[build.__name__] = run
     return run
@@ -92,7 +92,7 @@ def decode_decimal_forms(spark, sf_dir):
     }
     pairs = [F.struct(F.lit(name).alias("form"), text.alias("text")) for name, text in forms.items()]
     exploded = events.select("event_id", F.inline(F.array(*pairs)))
-    return exploded.select("event_id", "form", wire.money(F.try_parse_json("text"), MONEY).alias("amount"))
+    return exploded.select("event_id", "form", wire.money(F.col("text"), MONEY).alias("amount"))
 
 
 @query

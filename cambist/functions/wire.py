@@ -1,7 +1,6 @@
 """Decoding of the values a change-event connector puts on the wire.
 
-The inputs are VARIANT columns. Nothing here raises on bad input: an
-undecodable value becomes NULL.
+Nothing here raises on bad input: an undecodable value becomes NULL.
 """
 
 from __future__ import annotations
@@ -13,6 +12,9 @@ from pyspark.sql import types as T
 # Padded base64 only; Spark's own decoder also accepts spaces and missing padding.
 STRICT_BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
+# The first six bits decide the sign: these characters stand for 32 to 63.
+NEGATIVE_BASE64 = "^[g-z0-9+/]"
+
 # First and last instants of the years 1 and 9999, the range a Spark timestamp can show.
 MIN_MICROS = -62_135_596_800_000_000
 MAX_MICROS = 253_402_300_799_999_999
@@ -20,60 +22,54 @@ MAX_MICROS = 253_402_300_799_999_999
 DECIMAL_MODES = ("auto", "precise", "string", "double")
 
 
-def field(variant: Column, name: str) -> Column:
-    """A member of an object, as VARIANT; NULL if absent or if this is no object."""
-    return F.try_variant_get(variant, f"$.{name}", "variant")
-
-
-def non_null(variant: Column) -> Column:
-    """JSON null is a VARIANT value, not SQL NULL; make it one."""
-    return F.when(~F.is_variant_null(variant), variant)
-
-
-def integer(variant: Column) -> Column:
-    return F.try_variant_get(variant, "$", "bigint")
+def wire_type(column: T.StructField) -> T.DataType:
+    """How a column is read from JSON: as text, or as VARIANT where its JSON type matters."""
+    if isinstance(column.dataType, T.DecimalType):
+        return T.VariantType()
+    if isinstance(column.dataType, (T.LongType, T.TimestampType, T.StringType)):
+        return T.StringType()
+    raise ValueError(f"no wire form for {column.dataType.simpleString()} ({column.name})")
 
 
-def text(variant: Column) -> Column:
-    return F.try_variant_get(variant, "$", "string")
+def integer(text: Column) -> Column:
+    return text.try_cast("bigint")
 
 
-def log_position(variant: Column) -> Column:
+def log_position(text: Column) -> Column:
     """A non-negative whole number, given as a number or as digits."""
-    digits = text(variant)
-    return F.when(digits.rlike("^[0-9]+$"), digits.try_cast("bigint"))
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
 
 
-def micro_timestamp(variant: Column) -> Column:
-    micros = integer(variant)
+def micro_timestamp(text: Column) -> Column:
+    micros = integer(text)
     return F.when(micros.between(MIN_MICROS, MAX_MICROS), F.timestamp_micros(micros))
 
 
-def milli_timestamp(variant: Column) -> Column:
-    millis = integer(variant)
-    return F.when(
-        millis.between(MIN_MICROS // 1000, MAX_MICROS // 1000), F.timestamp_millis(millis)
-    )
+def milli_timestamp(text: Column) -> Column:
+    millis = integer(text)
+    return F.when(millis.between(MIN_MICROS // 1000, MAX_MICROS // 1000), F.timestamp_millis(millis))
 
 
 def unscaled_integer(encoded: Column) -> Column:
-    """Base64 of a big-endian two's-complement integer → BIGINT.
+    """Strict base64 of a big-endian two's-complement integer → BIGINT.
 
-    Needless sign bytes are dropped, so any width decodes; a value that does
-    not fit 64 bits is NULL, as it fits no money column either.
+    Any width decodes as long as the value fits 64 bits; a wider value is NULL,
+    as it fits no money column either.
     """
     digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
+    sign = F.when(encoded.rlike(NEGATIVE_BASE64), F.lit("F")).otherwise(F.lit("0"))
+    # Only the rare wide payload has sign bytes worth dropping.
     minimal = F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
-    sign = F.when(F.substring(minimal, 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0"))
-    return F.when(
-        (F.length(minimal) > 0) & (F.length(minimal) <= 16),
-        F.conv(F.lpad(minimal, 16, sign), 16, -10).try_cast("bigint"),
-    )
+    wide = F.when(F.length(minimal) <= 16, minimal)
+    eight_bytes = F.lpad(F.when(F.length(encoded) > 12, wide).otherwise(digits), 16, sign)
+    return F.when(F.length(encoded) > 0, F.conv(eight_bytes, 16, -10).try_cast("bigint"))
 
 
-def money(variant: Column, decimal_type: T.DecimalType, mode: str = "auto") -> Column:
+def money(json: Column, decimal_type: T.DecimalType, mode: str = "auto") -> Column:
     """An amount in any of the forms a connector can be told to send.
 
+    ``json`` is the JSON text of the value, so that a string can be told from a
+    number by its quote. It is referred to many times: pass a plain column.
     ``auto`` reads a string as base64 if it is valid base64 and as plain digits
     otherwise, so digits that happen to be valid base64 (``"1499"``) need
     ``string`` or ``double`` mode to be read as digits.
@@ -84,38 +80,23 @@ def money(variant: Column, decimal_type: T.DecimalType, mode: str = "auto") -> C
         raise ValueError("money columns wider than 18 digits do not fit a 64-bit unscaled value")
 
     target = decimal_type.simpleString()
-    unit = F.lit(f"1e-{decimal_type.scale}").cast(f"decimal({decimal_type.scale + 1},{decimal_type.scale})")
+    scale = decimal_type.scale
+    unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
+    string = json.substr(F.lit(2), F.length(json) - 2)
 
     def scaled(unscaled: Column) -> Column:
         return (unscaled.cast("decimal(19,0)") * unit).try_cast(target)
 
-    kind = F.schema_of_variant(variant)
-    string = text(variant)
-    from_digits = string.try_cast(target)
-    from_base64 = scaled(unscaled_integer(string))
+    from_base64, from_digits = scaled(unscaled_integer(string)), string.try_cast(target)
+    is_base64 = string.rlike(STRICT_BASE64)
     if mode == "auto":
-        from_string = F.when(string.rlike(STRICT_BASE64), from_base64).otherwise(from_digits)
+        from_string = F.when(is_base64, from_base64).otherwise(from_digits)
     elif mode == "precise":
-        from_string = F.when(string.rlike(STRICT_BASE64), from_base64)
+        from_string = F.when(is_base64, from_base64)
     else:
         from_string = from_digits
     return (
-        F.when(kind == "BIGINT", scaled(integer(variant)))
-        .when(kind == "STRING", from_string)
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), from_digits)
+        F.when(json.startswith('"'), from_string)
+        .when(json.rlike("^-?[0-9]+$"), scaled(json.try_cast("bigint")))
+        .when(json.rlike("^-?[0-9]"), json.try_cast(target))
     )
-
-
-def image_column(row: Column, column: T.StructField, decimal_mode: str = "auto") -> Column:
-    value = field(row, column.name)
-    if isinstance(column.dataType, T.LongType):
-        decoded = integer(value)
-    elif isinstance(column.dataType, T.DecimalType):
-        decoded = money(value, column.dataType, decimal_mode)
-    elif isinstance(column.dataType, T.TimestampType):
-        decoded = micro_timestamp(value)
-    elif isinstance(column.dataType, T.StringType):
-        decoded = text(value)
-    else:
-        raise ValueError(f"no wire form for {column.dataType.simpleString()} ({column.name})")
-    return decoded.alias(column.name)

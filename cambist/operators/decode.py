@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import wire
-from ..schemas import CHANGE_OPS, DELETE_OP, PAYMENTS, TRUNCATE_OP, UPSERT_OPS, CapturedTable
+from ..schemas import CHANGE_OPS, DELETE_OP, PAYMENTS, STRING, TRUNCATE_OP, UPSERT_OPS, CapturedTable, columns
 
 COORDINATES = ("topic", "partition", "offset", "kafka_timestamp")
+JSON_SPACE = " \t\r\n"
+
+
+def envelope_schema(table: CapturedTable) -> T.StructType:
+    """The parts of an envelope that are read, bare or under ``payload``; all else is skipped unread."""
+    image = T.StructType([T.StructField(f.name, wire.wire_type(f)) for f in table.image.fields])
+    envelope = columns(
+        op=STRING, before=image, after=image, source=columns(table=STRING, lsn=STRING, ts_ms=STRING)
+    )
+    return T.StructType([*envelope.fields, T.StructField("payload", envelope), T.StructField("unfit", STRING)])
 
 
 def decoded_changes(
@@ -24,66 +36,96 @@ def decoded_changes(
     this table; no message makes the job fail. Log coordinates are passed
     through where the input has them, and so is the raw ``value``.
     """
-    raw = F.col(value_column)
-    if isinstance(bronze.schema[value_column].dataType, T.BinaryType):
-        raw = F.make_valid_utf8(raw.cast("string"))
-    carried = [F.col(name) for name in COORDINATES if name in bronze.columns]
-
-    # A generator output cannot be substituted into a filter above it. As plain
-    # projections, `where(decode_ok)` would be pushed below and parse twice.
-    parsed = bronze.select(*carried, raw.alias("value")).select(
-        "*", F.inline(F.array(F.struct(F.try_parse_json("value").alias("_doc"))))
-    )
-    payload = wire.field(F.col("_doc"), "payload")
-    envelope = F.when(payload.isNotNull(), payload).otherwise(F.col("_doc"))
-    opened = parsed.select("*", envelope.alias("_envelope")).select(
-        "*",
-        wire.text(wire.field(F.col("_envelope"), "op")).alias("_op"),
-        wire.field(F.col("_envelope"), "source").alias("_source"),
-        wire.non_null(wire.field(F.col("_envelope"), "before")).alias("_before"),
-        wire.non_null(wire.field(F.col("_envelope"), "after")).alias("_after"),
-    )
-    row = F.when(F.col("_op") == DELETE_OP, F.col("_before")).otherwise(
-        F.coalesce(F.col("_after"), F.col("_before"))
-    )
-    is_tombstone = F.col("value").isNull() | F.coalesce(F.is_variant_null("_doc"), F.lit(False))
-    known_op = F.when(F.col("_op").isin(*CHANGE_OPS), F.col("_op"))
-    kept = [c for c in opened.columns if not c.startswith("_")]
-
-    flat = opened.select("*", row.alias("_row"), is_tombstone.alias("is_tombstone")).select(
-        *kept,
-        "_doc",
-        *[wire.image_column(F.col("_row"), column, decimal_mode) for column in table.image.fields],
-        known_op.alias("cdc_op"),
-        F.coalesce(wire.text(wire.field(F.col("_source"), "table")), F.lit("")).alias("cdc_table"),
-        wire.log_position(wire.field(F.col("_source"), "lsn")).alias("cdc_lsn"),
-        wire.milli_timestamp(wire.field(F.col("_source"), "ts_ms")).alias("cdc_source_ts"),
-        F.coalesce(known_op.isin(*UPSERT_OPS), F.lit(False)).alias("is_upsert"),
-        F.coalesce(known_op == DELETE_OP, F.lit(False)).alias("is_deleted"),
+    carried = [name for name in COORDINATES if name in bronze.columns]
+    opened = opened_envelopes(bronze, table, value_column)
+    row = F.when(F.col("cdc_op") == DELETE_OP, F.col("_before")).otherwise(F.coalesce("_after", "_before"))
+    chosen = opened.select(*carried, "value", "is_tombstone", "is_envelope", "cdc_op", "_source", row.alias("_row"))
+    # Amounts become columns of their own first: decoding refers to them many times.
+    decimals = [f.name for f in table.image.fields if isinstance(f.dataType, T.DecimalType)]
+    typed = chosen.select("*", *[F.to_json(f"_row.{name}").alias(f"_json_{name}") for name in decimals]).select(
+        *carried,
+        "value",
+        "is_envelope",
+        *[_image_column(column, decimal_mode) for column in table.image.fields],
+        "cdc_op",
+        F.coalesce("_source.table", F.lit("")).alias("cdc_table"),
+        wire.log_position(F.col("_source.lsn")).alias("cdc_lsn"),
+        wire.milli_timestamp(F.col("_source.ts_ms")).alias("cdc_source_ts"),
+        F.coalesce(F.col("cdc_op").isin(*UPSERT_OPS), F.lit(False)).alias("is_upsert"),
+        F.coalesce(F.col("cdc_op") == DELETE_OP, F.lit(False)).alias("is_deleted"),
         "is_tombstone",
     )
-    has_key = _all_present(table.key)
-    decode_ok = ~F.col("is_tombstone") & F.col("cdc_op").isNotNull() & has_key
+    has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in table.key])
+    decode_ok = F.col("cdc_op").isNotNull() & has_key
     reason = (
         F.when(F.col("is_tombstone") | decode_ok, None)
-        .when(F.col("_doc").isNull(), "not_json")
+        .when(~F.col("is_envelope"), "not_an_envelope")
         .when(F.col("cdc_op").isNull(), "unknown_operation")
         .when(F.col("cdc_op") == TRUNCATE_OP, "truncate")
         .otherwise("missing_key")
     )
-    return flat.select(
-        *[c for c in flat.columns if c != "_doc"],
+    decoded = typed.select(
+        *[c for c in typed.columns if c != "is_envelope"],
         decode_ok.alias("decode_ok"),
         reason.alias("reason"),
         F.current_timestamp().alias("ingested_at"),
     )
+    # A generator output cannot be substituted into a filter above it. As plain
+    # projections, `where(decode_ok)` would be pushed down and repeat the decode.
+    return decoded.select(F.inline(F.array(F.struct(*decoded.columns))))
 
 
-def _all_present(columns) -> Column:
-    present = F.lit(True)
-    for name in columns:
-        present = present & F.col(name).isNotNull()
-    return present
+def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str = "value") -> DataFrame:
+    """Messages with the envelope's parts; the parts are NULL unless the operation is known."""
+    raw = F.col(value_column)
+    if isinstance(bronze.schema[value_column].dataType, T.BinaryType):
+        raw = F.make_valid_utf8(raw.cast("string"))
+    carried = [name for name in COORDINATES if name in bronze.columns]
+    parsed = F.from_json(
+        F.col("value"),
+        envelope_schema(table),
+        {"columnNameOfCorruptRecord": "unfit", "allowSingleQuotes": "false"},
+    )
+    messages = bronze.select(*carried, raw.alias("value")).select("*", parsed.alias("_doc"))
+
+    # Trimming is left to the few messages that do not simply end in a brace.
+    closes = F.col("value").endswith("}")
+    bare = F.btrim(F.col("value"), F.lit(JSON_SPACE))
+    is_tombstone = F.col("value").isNull() | (~closes & (bare == "null"))
+    # A payload that is present but no object hides whatever else the document holds.
+    hidden = F.col("value").contains('"payload"') & F.array_contains(F.json_object_keys("value"), "payload")
+    is_envelope = (
+        F.col("_doc.unfit").isNull()
+        & (closes | bare.endswith("}"))
+        & (F.col("_doc.payload").isNotNull() | ~F.coalesce(hidden, F.lit(False)))
+    )
+    wrapped = F.col("_doc.payload").isNotNull()
+    flagged = messages.select(
+        "*", is_tombstone.alias("is_tombstone"), F.coalesce(~is_tombstone & is_envelope, F.lit(False)).alias("is_envelope")
+    )
+
+    def part(name: str) -> Column:
+        return F.when(wrapped, F.col(f"_doc.payload.{name}")).otherwise(F.col(f"_doc.{name}"))
+
+    known_op = F.when(F.col("is_envelope") & part("op").isin(*CHANGE_OPS), part("op"))
+    named = flagged.select("*", known_op.alias("cdc_op"))
+    return named.select(
+        *carried, "value", "is_tombstone", "is_envelope", "cdc_op",
+        *[F.when(F.col("cdc_op").isNotNull(), part(name)).alias(f"_{name}") for name in ("before", "after", "source")],
+    )
+
+
+def _image_column(column: T.StructField, decimal_mode: str) -> Column:
+    name = column.name
+    if isinstance(column.dataType, T.DecimalType):
+        decoded = wire.money(F.col(f"_json_{name}"), column.dataType, decimal_mode)
+    elif isinstance(column.dataType, T.LongType):
+        decoded = wire.integer(F.col(f"_row.{name}"))
+    elif isinstance(column.dataType, T.TimestampType):
+        decoded = wire.micro_timestamp(F.col(f"_row.{name}"))
+    else:
+        decoded = F.col(f"_row.{name}")
+    return decoded.alias(name)
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
@@ -98,8 +140,6 @@ def applicable(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("decode_ok") & ~F.col("is_tombstone"))
 
 
-
-
 def counter_columns() -> list[Column]:
     """Aggregates over decoded messages; messages = decoded + quarantined + tombstones."""
     ok, tombstone = F.col("decode_ok"), F.col("is_tombstone")

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 # Static settings have to be on the builder; changing them later is an error.
 SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,6 +20,13 @@ SESSION_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# HotSpot does not compile methods beyond this size. A wide decode exceeds it as
+# one generated method; as separate projections, which are split, it is compiled.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def build_session(app_name="cambist", master=None, shuffle_partitions=None, extra=None) -> SparkSession:
     """A session with this library's settings.
@@ -32,7 +38,7 @@ def build_session(app_name="cambist", master=None, shuffle_partitions=None, extr
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_CONF)
+    conf = {**SESSION_CONF, **RUNTIME_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -41,9 +47,10 @@ def build_session(app_name="cambist", master=None, shuffle_partitions=None, extr
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Epoch decoding and day buckets are defined in UTC, whoever built the session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """What this library relies on, in a session someone else built: days are UTC days."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
     return spark
 
 
