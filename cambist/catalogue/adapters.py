@@ -220,27 +220,27 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     op = F.when(k == 2, F.lit("x")).when(k == 6, F.lit("t")).otherwise(F.col("op"))
     in_before = (F.col("op") == "d") | ((F.col("op") == "u") & (k == 16))
-    null = F.lit("null")
-    before = F.when(k == 6, null).when(in_before, image).otherwise(null)
-    after = F.when(k == 6, null).when(in_before, null).otherwise(image)
     event_id = F.col("event_id").cast("string")
     lsn = F.when(k == 8, quoted(event_id)).when(k == 9, F.concat(F.lit("-"), (F.col("event_id") + 1).cast("string")))
-    source = F.when(k == 10, null).otherwise(
+    source = F.when(k == 10, F.lit("null")).otherwise(
         F.concat(
             F.lit('{"table":"payments","lsn":'), F.coalesce(lsn, event_id),
             F.lit(',"ts_ms":'), F.unix_millis("ts").cast("string"), F.lit("}"),
         )
     )
     envelope = F.concat(
-        F.lit('{"before":'), before, F.lit(',"after":'), after,
+        F.when(k == 7, F.lit('{"schema":{"type":"struct"},"payload":')).otherwise(F.lit("")),
+        F.when(in_before, F.lit('{"before":')).otherwise(F.lit('{"before":null,"after":')),
+        F.when(k == 6, F.lit("null")).otherwise(image),
+        F.when(in_before, F.lit(',"after":null')).otherwise(F.lit("")),
         F.lit(',"source":'), source, F.lit(',"op":'), quoted(op), F.lit("}"),
+        F.when(k == 7, F.lit("}")).otherwise(F.lit("")),
     )
     value = (
         F.when(k == 0, F.lit(None))
         .when(k == 1, F.lit("not json at all"))
-        .when(k == 4, null)
+        .when(k == 4, F.lit("null"))
         .when(k == 5, F.lit("[]"))
-        .when(k == 7, F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), envelope, F.lit("}")))
         .otherwise(envelope)
     )
     return e.select(

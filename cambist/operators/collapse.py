@@ -4,37 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CapturedTable
 from .decode import applicable
 
 # Log position first; time and arrival only decide where it is missing or equal.
+# A missing part comes before any value.
 ORDER_COLUMNS = ("cdc_lsn", "cdc_source_ts", "partition", "offset")
 
 
-def change_order(prefix: str = "", available: Sequence[str] = ORDER_COLUMNS) -> list[Column]:
-    """The total order of changes to one row, oldest first; missing parts are -1."""
-    parts = []
-    for name in ORDER_COLUMNS:
-        if name not in available:
-            continue
-        value = F.col(f"{prefix}{name}")
-        if name == "cdc_source_ts":
-            value = F.unix_millis(value)
-        parts.append(F.coalesce(value.cast("bigint"), F.lit(-1).cast("bigint")))
-    return parts
-
-
 def newest_per_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key.
 
     ``row_number() = 1`` is planned as a group limit on both sides of the
     shuffle, so each task sends at most one row per key: a key that holds a
-    third of all changes costs its task count, not its row count.
+    third of all changes costs its task count, not its row count. Ordering by
+    bare columns adds no projection, so an input that is already hashed by key
+    is not shuffled again.
     """
-    newest_first = [part.desc() for part in change_order(available=changes.columns)]
+    newest_first = [F.col(c).desc_nulls_last() for c in ORDER_COLUMNS if c in changes.columns]
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
     return changes.withColumn("_position", position).where("_position = 1").drop("_position")
 

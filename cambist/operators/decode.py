@@ -12,7 +12,6 @@ from ..functions import wire
 from ..schemas import CHANGE_OPS, DELETE_OP, PAYMENTS, STRING, TRUNCATE_OP, UPSERT_OPS, CapturedTable, columns
 
 COORDINATES = ("topic", "partition", "offset", "kafka_timestamp")
-JSON_SPACE = " \t\r\n"
 
 
 def envelope_schema(table: CapturedTable) -> T.StructType:
@@ -88,15 +87,15 @@ def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str
     )
     messages = bronze.select(*carried, raw.alias("value")).select("*", parsed.alias("_doc"))
 
-    # Trimming is left to the few messages that do not simply end in a brace.
+    # Space around a document is looked for only where it does not simply end in a brace.
     closes = F.col("value").endswith("}")
-    bare = F.btrim(F.col("value"), F.lit(JSON_SPACE))
-    is_tombstone = F.col("value").isNull() | (~closes & (bare == "null"))
+    is_tombstone = F.col("value").isNull() | (~closes & F.col("value").rlike(r"^[ \t\r\n]*null[ \t\r\n]*$"))
+    ends_in_brace = closes | F.col("value").rlike(r"\}[ \t\r\n]+$")
     # A payload that is present but no object hides whatever else the document holds.
     hidden = F.col("value").contains('"payload"') & F.array_contains(F.json_object_keys("value"), "payload")
     is_envelope = (
         F.col("_doc.unfit").isNull()
-        & (closes | bare.endswith("}"))
+        & ends_in_brace
         & (F.col("_doc.payload").isNotNull() | ~F.coalesce(hidden, F.lit(False)))
     )
     wrapped = F.col("_doc.payload").isNotNull()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import PAYMENTS, CapturedTable
-from .collapse import change_order
+from .collapse import ORDER_COLUMNS
 
 
 def merge_changes(
@@ -33,7 +33,7 @@ def _paired(target: DataFrame, batch: DataFrame, table: CapturedTable) -> DataFr
 
 def _merge_state(target: DataFrame, batch: DataFrame, table: CapturedTable) -> DataFrame:
     key = table.key[0]
-    newer = F.struct(*change_order("s.")) > F.struct(*change_order("t."))
+    newer = F.struct(*[f"s.{c}" for c in ORDER_COLUMNS]) > F.struct(*[f"t.{c}" for c in ORDER_COLUMNS])
     take_batch = F.col(f"t.{key}").isNull() | (F.col(f"s.{key}").isNotNull() & newer)
     names = table.state_schema.names
     return _paired(target, batch, table).select(

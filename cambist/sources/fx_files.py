@@ -12,7 +12,7 @@ from ..schemas import LANDED_FX, RAW_FX_RATES
 
 def read_rate_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: a daily document may be spread over lines."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def land_rates(rates: DataFrame, path: str) -> None:

@@ -108,7 +108,7 @@ class SilverStore:
         pending = pending.select(*names)
         if version == 0:
             return newest_per_key(pending, keys)
-        pending = newest_per_key(pending, keys).repartition(buckets, *keys)
+        pending = pending.repartition(buckets, *keys)
         return newest_per_key(self._base(version, buckets).unionByName(pending), keys)
 
     def current(self) -> DataFrame:
