@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,16 +15,38 @@ BROADCAST_ROWS = 2_000_000
 SALTS = 32
 
 
-def published_rates(rates: DataFrame, base: str = REPORTING_CURRENCY) -> DataFrame:
-    """One usable rate per (currency, date) against ``base``.
+@dataclass(frozen=True)
+class FeedSpan:
+    """What the rates alone say about the size of a lookup."""
+
+    currencies: int
+    first_day: dt.date | None
+    last_day: dt.date | None
+
+    @property
+    def calendar_rows(self) -> int:
+        """An upper bound of the rows of ``effective_days``."""
+        return self.currencies * ((self.last_day - self.first_day).days + 1) if self.first_day else 0
+
+
+def usable_rates(rates: DataFrame, base: str = REPORTING_CURRENCY) -> DataFrame:
+    usable = (F.upper("base_currency") == base.upper()) & (F.col("rate") > 0)
+    return rates.where(usable).withColumn("currency", F.upper("currency"))
+
+
+def feed_span(usable: DataFrame) -> FeedSpan:
+    """One small job over the rates; no fact is read."""
+    row = usable.agg(F.count_distinct("currency"), F.min("rate_date"), F.max("rate_date")).first()
+    return FeedSpan(*row)
+
+
+def published_rates(usable: DataFrame) -> DataFrame:
+    """One rate per (currency, date).
 
     Where a date is given twice the last one wins: by load time and file where
     the input has them, else the higher rate.
     """
-    newest = [F.col(c).desc_nulls_last() for c in ("loaded_at", "source_file") if c in rates.columns]
-    usable = rates.where((F.upper("base_currency") == base.upper()) & (F.col("rate") > 0)).withColumn(
-        "currency", F.upper("currency")
-    )
+    newest = [F.col(c).desc_nulls_last() for c in ("loaded_at", "source_file") if c in usable.columns]
     position = F.row_number().over(
         Window.partitionBy("currency", "rate_date").orderBy(*newest, F.col("rate").desc())
     )
@@ -41,37 +66,27 @@ def rate_currencies(rates: DataFrame, base: str = REPORTING_CURRENCY) -> DataFra
     )
 
 
-def effective_days(published: DataFrame) -> DataFrame:
-    """Each day from a currency's first rate to the last day of the feed, with the rate in force.
+def effective_days(published: DataFrame, feed_end: Column) -> DataFrame:
+    """Each day from a currency's first rate to the end of the feed, with the rate in force.
 
     The feed ends on the same day for all currencies, so a later date has the
     rate of that day: the calendar never has to reach the payments' last date,
     and finding that date never has to scan them.
     """
     next_date = F.lead("rate_date").over(Window.partitionBy("currency").orderBy("rate_date"))
-    in_force = published.withColumn("_next", next_date)
-    last_day = F.coalesce(F.date_sub("_next", 1), _feed_end(published))
-    return in_force.select(
-        "currency",
-        F.explode(F.sequence("rate_date", last_day)).alias("rate_day"),
-        F.col("rate_date").alias("published_on"),
-        "rate",
+    last_day = F.coalesce(F.date_sub("_next", 1), feed_end)
+    return (
+        published.where(F.col("rate_date") <= feed_end)
+        .withColumn("_next", next_date)
+        .select(
+            "currency",
+            F.explode(F.sequence("rate_date", last_day)).alias("rate_day"),
+            F.col("rate_date").alias("published_on"),
+            "rate",
+        )
     )
 
 
-def _feed_end(published: DataFrame) -> Column:
-    return published.agg(F.max("rate_date")).scalar()
-
-
-def calendar_rows(published: DataFrame) -> int:
-    """An upper bound of what ``effective_days`` returns, from the rates alone."""
-    span = published.agg(
-        F.count_distinct("currency").alias("currencies"),
-        F.coalesce(F.date_diff(F.max("rate_date"), F.min("rate_date")) + 1, F.lit(0)).alias("days"),
-    ).first()
-    return span["currencies"] * span["days"]
-
-
 def asof_rate(
     facts: DataFrame,
     rates: DataFrame,
@@ -88,16 +103,18 @@ def asof_rate(
     shuffled. Beyond that both sides are hashed on (currency, day, salt): the
     salt splits a currency-day that holds a large part of all facts.
     """
-    published = published_rates(rates, base)
-    days = effective_days(published)
-    code = F.upper(F.col(currency))
-    keyed = facts.withColumn("_code", F.when(code != base.upper(), code)).withColumn(
-        "_day", F.least(F.col(as_of).cast("date"), _feed_end(published))
+    usable = usable_rates(rates, base)
+    span = feed_span(usable)
+    feed_end = F.lit(span.last_day).cast("date")
+    days = effective_days(published_rates(usable), feed_end).select(
+        F.col("currency").alias("_code"), F.col("rate_day").alias("_day"), "published_on", "rate"
     )
+    code, day = F.upper(F.col(currency)), F.col(as_of).cast("date")
     # least() skips NULLs; a fact without a date has no rate.
-    keyed = keyed.withColumn("_day", F.when(F.col(as_of).isNotNull(), F.col("_day")))
-    days = days.select(F.col("currency").alias("_code"), F.col("rate_day").alias("_day"), "published_on", "rate")
-    if calendar_rows(published) <= broadcast_rows:
+    keyed = facts.withColumn("_code", F.when(code != base.upper(), code)).withColumn(
+        "_day", F.when(day.isNotNull(), F.least(day, feed_end))
+    )
+    if span.calendar_rows <= broadcast_rows:
         joined = keyed.join(F.broadcast(days), ["_code", "_day"], "left")
     else:
         # A NULL code never matches; the salt also spreads those rows.

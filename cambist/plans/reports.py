@@ -54,7 +54,7 @@ def merchant_exists(gold_revenue: DataFrame, merchant_id: int) -> bool:
 
 def known_merchants(gold_revenue: DataFrame, merchants: DataFrame) -> DataFrame:
     """The set form of the probe: those of ``merchants`` with any revenue."""
-    return merchants.join(gold_revenue.select("merchant_id"), "merchant_id", "left_semi")
+    return merchants.join(gold_revenue.select("merchant_id").distinct(), "merchant_id", "left_semi")
 
 
 def merchant_revenue(

@@ -65,10 +65,10 @@ PAYMENTS = CapturedTable(
     topic="cdc.public.payments",
     key=("payment_id",),
     image=columns(
-    payment_id=BIGINT, merchant_id=BIGINT, shopper_id=BIGINT, amount=MONEY, currency=STRING,
-    payment_method=STRING, payment_status=STRING, country_code=STRING, created_at=TIMESTAMP,
-    updated_at=TIMESTAMP
-),
+        payment_id=BIGINT, merchant_id=BIGINT, shopper_id=BIGINT, amount=MONEY, currency=STRING,
+        payment_method=STRING, payment_status=STRING, country_code=STRING, created_at=TIMESTAMP,
+        updated_at=TIMESTAMP,
+    ),
 )
 
 MERCHANTS = CapturedTable(
@@ -76,9 +76,8 @@ MERCHANTS = CapturedTable(
     topic="cdc.public.merchants",
     key=("merchant_id",),
     image=columns(
-    merchant_id=BIGINT, merchant_name=STRING, country_code=STRING, category=STRING,
-    created_at=TIMESTAMP
-),
+        merchant_id=BIGINT, merchant_name=STRING, country_code=STRING, category=STRING, created_at=TIMESTAMP
+    ),
 )
 
 REFUNDS = CapturedTable(
@@ -86,9 +85,8 @@ REFUNDS = CapturedTable(
     topic="cdc.public.refunds",
     key=("refund_id",),
     image=columns(
-    refund_id=BIGINT, payment_id=BIGINT, refund_amount=MONEY, refund_reason=STRING,
-    created_at=TIMESTAMP
-),
+        refund_id=BIGINT, payment_id=BIGINT, refund_amount=MONEY, refund_reason=STRING, created_at=TIMESTAMP
+    ),
 )
 
 CAPTURED_TABLES = {table.name: table for table in (PAYMENTS, MERCHANTS, REFUNDS)}

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cambist.functions.money import to_base_half_even
-from cambist.operators.asof import asof_rate, calendar_rows, published_rates, rate_currencies
+from cambist.operators.asof import asof_rate, feed_span, rate_currencies, usable_rates
 from cambist.operators.rates import (
     gap_runs,
     landing_rows,
@@ -154,7 +154,7 @@ def test_empty_feed(spark):
 
 
 def test_broadcast_only_when_counted_small(spark, feed):
-    assert calendar_rows(published_rates(feed)) == 3 * 4
+    assert feed_span(usable_rates(feed)).calendar_rows == 3 * 4
     facts = spark.createDataFrame([], "currency string, day date")
 
     def plan(**options):
