@@ -251,3 +251,59 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
     )
+
+
+def change(spec_name: str, op: Column, lsn: Column, image: Column) -> Column:
+    """A change of another captured table, ``image`` being a struct."""
+    envelope = F.struct(
+        F.when(op == "d", image).alias("before"),
+        F.when(op != "d", image).alias("after"),
+        F.struct(F.lit(spec_name).alias("table"), lsn.alias("lsn"), F.lit(1767225600000).alias("ts_ms")).alias("source"),
+        op.alias("op"),
+    )
+    return F.to_json(envelope)
+
+
+def merchant_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier is created and renamed; the health ones are deleted between the two, a stale rename follows."""
+    supplier = table(spark, sf_dir, "supplier")
+    key, category = F.col("s_suppkey"), pick(CATEGORIES, F.col("s_suppkey") % 5)
+
+    def image(name: Column) -> Column:
+        return F.struct(
+            key.alias("merchant_id"),
+            name.alias("merchant_name"),
+            pick(COUNTRIES, F.col("s_nationkey") % 5).alias("country_code"),
+            category.alias("category"),
+            F.lit(1767225600000000).alias("created_at"),
+        )
+
+    renamed = F.concat(F.col("s_name"), F.lit(" Ltd"))
+    last_op = F.when(category == "health", F.lit("d")).otherwise(F.lit("u"))
+    values = F.array(
+        change("merchants", last_op, key * 10 + 3, image(renamed)),
+        change("merchants", F.lit("c"), key * 10 + 1, image(F.col("s_name"))),
+        change("merchants", F.lit("u"), key * 10 + 2, image(F.upper("s_name"))),
+    )
+    return supplier.select(F.explode(values).alias("value"))
+
+
+def refund_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order is refunded in full; the refund is read in a snapshot, then given its reason."""
+    p = payments(spark, sf_dir)
+    cents = (F.col("amount") * 100).cast("bigint")
+
+    def image(reason: Column) -> Column:
+        return F.struct(
+            F.col("payment_id").alias("refund_id"),
+            F.col("payment_id").alias("payment_id"),
+            base64_of(minimal_digits(-cents)).alias("refund_amount"),
+            reason.alias("refund_reason"),
+            F.unix_micros("created_at").alias("created_at"),
+        )
+
+    values = F.array(
+        change("refunds", F.lit("u"), F.col("payment_id") * 2 + 1, image(F.col("payment_status"))),
+        change("refunds", F.lit("r"), F.col("payment_id") * 2, image(F.lit("unknown"))),
+    )
+    return p.select(F.explode(values).alias("value"))

@@ -207,8 +207,6 @@ merchants AS (
   FROM supplier
 )"""
 
-_IMAGE = """'{' || CASE k WHEN 17 THEN '"payment_id":"' || user_id || '",' ELSE '"payment_id":' || user_id || ',' END"""
-
 _CLAUSES = _with(
     EVENTS, _DECODED, _latest("first_half", "hour(kafka_timestamp) < 12"),
     _latest("second_half", "hour(kafka_timestamp) >= 12"),
@@ -306,8 +304,13 @@ SELECT * FROM loaded WHERE payment_date < (SELECT start_date FROM start)"""
 )
 
 ORACLES: dict[str, str] = {
+    "bronze_projection": """
+        SELECT props AS value, CAST(user_id AS VARCHAR) AS message_key, 'cdc.public.payments' AS topic,
+               CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", CAST(ts AS TIMESTAMP) AS kafka_timestamp
+        FROM events""",
     "decode_changes": f"{_CHANGES} SELECT * EXCLUDE (kafka_timestamp) FROM decoded",
     "decode_decimal_forms": f"{_with(EVENTS)} {_FORMS}",
+    "quarantine_rows": f"""{_CHANGES} SELECT topic, "partition", "offset", reason FROM decoded WHERE reason IS NOT NULL""",
     "bronze_reconciliation": f"""{_CHANGES}
         SELECT topic, "partition", count(*) AS messages, count(*) FILTER (WHERE decode_ok) AS decoded,
                count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined,
@@ -325,6 +328,16 @@ ORACLES: dict[str, str] = {
           SELECT 1 FROM target t WHERE t.payment_id = s.payment_id
             AND coalesce(s.cdc_lsn, -1) <= coalesce(t.cdc_lsn, -1))""",
     "silver_current": _CURRENT,
+    "merchants_current": f"""{_with(_MERCHANTS)}
+        SELECT merchant_id, merchant_name || ' Ltd' AS merchant_name, country_code, category,
+               TIMESTAMP '2026-01-01 00:00:00' AS created_at, merchant_id * 10 + 3 AS cdc_lsn,
+               TIMESTAMP '2026-01-01 00:00:00' AS cdc_source_ts
+        FROM merchants WHERE category <> 'health'""",
+    "refunds_current": f"""{_with(PAYMENTS)}
+        SELECT payment_id AS refund_id, payment_id, CAST(-amount AS DECIMAL(12,2)) AS refund_amount,
+               payment_status AS refund_reason, created_at, payment_id * 2 + 1 AS cdc_lsn,
+               TIMESTAMP '2026-01-01 00:00:00' AS cdc_source_ts
+        FROM payments""",
     "silver_after_compaction": _CURRENT,
     "silver_stream": _CURRENT,
     "gold_daily_merchant_revenue": f"{_REVENUE} SELECT * FROM revenue",

@@ -13,7 +13,7 @@ from ..functions import wire
 from ..functions.money import to_base_half_even
 from ..operators import asof, collapse, decode, merge, rates
 from ..plans import facts, gold, quality, reports, staging
-from ..schemas import FEED_CURRENCIES, MONEY, PAYMENTS
+from ..schemas import FEED_CURRENCIES, MERCHANTS, MONEY, PAYMENTS, REFUNDS
 from ..session import prepare, scratch_dir
 from ..sources import change_log, fx_files
 from ..sources.silver_store import SilverStore
@@ -63,9 +63,16 @@ def halves(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 # -- change events -------------------------------------------------------
 @query
 def bronze_projection(spark, sf_dir):
-    return change_log.to_bronze(a.messages(spark, sf_dir)).select(
-        "value", "message_key", "topic", "partition", "offset", "kafka_timestamp"
+    """Records of the raw ``props`` texts, which both engines have verbatim."""
+    records = a.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.lit(PAYMENTS.topic).alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
     )
+    return change_log.to_bronze(records)
 
 
 @query
@@ -97,7 +104,7 @@ def decode_decimal_forms(spark, sf_dir):
 
 @query
 def quarantine_rows(spark, sf_dir):
-    return decode.quarantine(decoded(spark, sf_dir)).select("value", "topic", "partition", "offset", "reason")
+    return decode.quarantine(decoded(spark, sf_dir)).select("topic", "partition", "offset", "reason")
 
 
 @query
@@ -135,6 +142,16 @@ def silver_current(spark, sf_dir):
     return collapse.current_rows(decoded(spark, sf_dir), PAYMENTS)
 
 
+@query
+def merchants_current(spark, sf_dir):
+    return collapse.current_rows(decode.decoded_changes(a.merchant_messages(spark, sf_dir), MERCHANTS), MERCHANTS)
+
+
+@query
+def refunds_current(spark, sf_dir):
+    return collapse.current_rows(decode.decoded_changes(a.refund_messages(spark, sf_dir), REFUNDS), REFUNDS)
+
+
 @query
 def silver_after_compaction(spark, sf_dir):
     bronze = change_log.to_bronze(a.messages(spark, sf_dir))
