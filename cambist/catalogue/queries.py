@@ -99,7 +99,9 @@ def decode_decimal_forms(spark, sf_dir):
     }
     pairs = [F.struct(F.lit(name).alias("form"), text.alias("text")) for name, text in forms.items()]
     exploded = events.select("event_id", F.inline(F.array(*pairs)))
-    return exploded.select("event_id", "form", wire.money(F.col("text"), MONEY).alias("amount"))
+    parsed = exploded.select("event_id", "form", F.try_parse_json("text").alias("json"))
+    texts = parsed.select("*", wire.variant_text(F.col("json")).alias("text"))
+    return texts.select("event_id", "form", wire.money(F.col("json"), F.col("text"), MONEY).alias("amount"))
 
 
 @query

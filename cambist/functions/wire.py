@@ -65,14 +65,18 @@ def unscaled_integer(encoded: Column) -> Column:
     return F.when(F.length(encoded) > 0, F.conv(eight_bytes, 16, -10).try_cast("bigint"))
 
 
-def money(json: Column, decimal_type: T.DecimalType, mode: str = "auto") -> Column:
+def variant_text(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "string")
+
+
+def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str = "auto") -> Column:
     """An amount in any of the forms a connector can be told to send.
 
-    ``json`` is the JSON text of the value, so that a string can be told from a
-    number by its quote. It is referred to many times: pass a plain column.
-    ``auto`` reads a string as base64 if it is valid base64 and as plain digits
-    otherwise, so digits that happen to be valid base64 (``"1499"``) need
-    ``string`` or ``double`` mode to be read as digits.
+    ``text`` is ``variant_text(variant)`` as a column of its own, since it is
+    referred to many times. Only for text that could be a string or another
+    JSON value is the value's type looked up. ``auto`` reads a string as base64
+    if it is valid base64 and as plain digits otherwise, so digits that happen
+    to be valid base64 (``"1499"``) need ``string`` or ``double`` mode.
     """
     if mode not in DECIMAL_MODES:
         raise ValueError(f"decimal mode must be one of {DECIMAL_MODES}, not {mode!r}")
@@ -82,21 +86,25 @@ def money(json: Column, decimal_type: T.DecimalType, mode: str = "auto") -> Colu
     target = decimal_type.simpleString()
     scale = decimal_type.scale
     unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
-    string = json.substr(F.lit(2), F.length(json) - 2)
 
     def scaled(unscaled: Column) -> Column:
         return (unscaled.cast("decimal(19,0)") * unit).try_cast(target)
 
-    from_base64, from_digits = scaled(unscaled_integer(string)), string.try_cast(target)
-    is_base64 = string.rlike(STRICT_BASE64)
+    kind = F.schema_of_variant(variant)
+    from_base64, from_digits = scaled(unscaled_integer(text)), text.try_cast(target)
+    is_base64 = text.rlike(STRICT_BASE64)
+    looks_like_a_number = text.rlike("^-?[0-9]")
     if mode == "auto":
-        from_string = F.when(is_base64, from_base64).otherwise(from_digits)
+        from_string = F.when(is_base64, from_base64).when(looks_like_a_number, from_digits)
     elif mode == "precise":
-        from_string = F.when(is_base64, from_base64)
+        # Fractions are numbers; they reach this point without their type.
+        fraction = text.contains(".") & (kind != "STRING") & looks_like_a_number
+        from_string = F.when(is_base64, from_base64).when(fraction, from_digits)
     else:
-        from_string = from_digits
+        from_string = F.when(looks_like_a_number, from_digits)
+    whole = F.when(kind == "BIGINT", scaled(text.try_cast("bigint"))).when(kind.startswith("DECIMAL"), from_digits)
     return (
-        F.when(json.startswith('"'), from_string)
-        .when(json.rlike("^-?[0-9]+$"), scaled(json.try_cast("bigint")))
-        .when(json.rlike("^-?[0-9]"), json.try_cast(target))
+        F.when(text.isNull(), None)
+        .when(text.rlike("^(?:-?[0-9]+|true)$") & (kind != "STRING"), whole)
+        .otherwise(from_string)
     )

@@ -37,11 +37,9 @@ def decoded_changes(
     """
     carried = [name for name in COORDINATES if name in bronze.columns]
     opened = opened_envelopes(bronze, table, value_column)
-    row = F.when(F.col("cdc_op") == DELETE_OP, F.col("_before")).otherwise(F.coalesce("_after", "_before"))
-    chosen = opened.select(*carried, "value", "is_tombstone", "is_envelope", "cdc_op", "_source", row.alias("_row"))
     # Amounts become columns of their own first: decoding refers to them many times.
     decimals = [f.name for f in table.image.fields if isinstance(f.dataType, T.DecimalType)]
-    typed = chosen.select("*", *[F.to_json(f"_row.{name}").alias(f"_json_{name}") for name in decimals]).select(
+    typed = opened.select("*", *[wire.variant_text(F.col(f"_row.{name}")).alias(f"_text_{name}") for name in decimals]).select(
         *carried,
         "value",
         "is_envelope",
@@ -63,19 +61,16 @@ def decoded_changes(
         .when(F.col("cdc_op") == TRUNCATE_OP, "truncate")
         .otherwise("missing_key")
     )
-    decoded = typed.select(
+    return typed.select(
         *[c for c in typed.columns if c != "is_envelope"],
         decode_ok.alias("decode_ok"),
         reason.alias("reason"),
         F.current_timestamp().alias("ingested_at"),
     )
-    # A generator output cannot be substituted into a filter above it. As plain
-    # projections, `where(decode_ok)` would be pushed down and repeat the decode.
-    return decoded.select(F.inline(F.array(F.struct(*decoded.columns))))
 
 
 def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str = "value") -> DataFrame:
-    """Messages with the envelope's parts; the parts are NULL unless the operation is known."""
+    """Messages with their operation, source and row image; these are NULL unless the operation is known."""
     raw = F.col(value_column)
     if isinstance(bronze.schema[value_column].dataType, T.BinaryType):
         raw = F.make_valid_utf8(raw.cast("string"))
@@ -108,16 +103,21 @@ def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str
 
     known_op = F.when(F.col("is_envelope") & part("op").isin(*CHANGE_OPS), part("op"))
     named = flagged.select("*", known_op.alias("cdc_op"))
-    return named.select(
+    row = F.when(F.col("cdc_op") == DELETE_OP, part("before")).otherwise(F.coalesce(part("after"), part("before")))
+    opened = named.select(
         *carried, "value", "is_tombstone", "is_envelope", "cdc_op",
-        *[F.when(F.col("cdc_op").isNotNull(), part(name)).alias(f"_{name}") for name in ("before", "after", "source")],
+        *[F.when(F.col("cdc_op").isNotNull(), p).alias(n) for n, p in (("_row", row), ("_source", part("source")))],
     )
+    # A generator output cannot be substituted into what is above it. As plain
+    # projections, `where(decode_ok)` would be pushed down and repeat all of this.
+    parts = F.struct("is_tombstone", "is_envelope", "cdc_op", "_row", "_source")
+    return opened.select(*carried, "value", F.inline(F.array(parts)))
 
 
 def _image_column(column: T.StructField, decimal_mode: str) -> Column:
     name = column.name
     if isinstance(column.dataType, T.DecimalType):
-        decoded = wire.money(F.col(f"_json_{name}"), column.dataType, decimal_mode)
+        decoded = wire.money(F.col(f"_row.{name}"), F.col(f"_text_{name}"), column.dataType, decimal_mode)
     elif isinstance(column.dataType, T.LongType):
         decoded = wire.integer(F.col(f"_row.{name}"))
     elif isinstance(column.dataType, T.TimestampType):

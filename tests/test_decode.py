@@ -23,7 +23,8 @@ def decode(spark, *messages, **options):
 
 def amounts(spark, *texts, mode="auto"):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, json string")
-    decoded = frame.select("i", wire.money(F.col("json"), MONEY, mode).alias("amount"))
+    parsed = frame.select("i", F.try_parse_json("json").alias("v")).select("*", wire.variant_text(F.col("v")).alias("t"))
+    decoded = parsed.select("i", wire.money(F.col("v"), F.col("t"), MONEY, mode).alias("amount"))
     return [r.amount for r in decoded.orderBy("i").collect()]
 
 
@@ -59,7 +60,7 @@ def test_digits_that_look_like_base64_need_a_declared_mode(spark):
     assert amounts(spark, quoted("1499"), mode="string") == [Decimal("1499.00")]
     assert amounts(spark, quoted("149.99"), mode="precise") == [None]
     with pytest.raises(ValueError):
-        wire.money(F.col("x"), MONEY, "exact")
+        wire.money(F.col("x"), F.col("x"), MONEY, "exact")
 
 
 def test_amounts_round_trip(spark):
