@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, token_files
+from . import near_duplicates, packing, token_files
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -21,3 +21,44 @@ def op3_token_files(spark, sf_dir):
 @query
 def op4_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_near_duplicates(spark, sf_dir):
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLES["op8_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) ELSE w END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+classes AS (
+  SELECT min(doc_id) AS cid, any_value(n) AS n, s FROM (SELECT doc_id, len(s) AS n, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
+class_items AS (SELECT cid, n, unnest(s) AS x FROM classes),
+ranked AS (
+  SELECT i.cid, i.n, i.x, row_number() OVER (PARTITION BY i.cid ORDER BY f.df, i.x) AS r
+  FROM class_items i JOIN (SELECT x, count(*) AS df FROM class_items GROUP BY x) f USING (x)),
+prefix AS (SELECT cid, n, x FROM ranked WHERE r <= n - ceil(0.8 * n) + 1),
+candidates AS (
+  SELECT DISTINCT p.cid AS a, q.cid AS b FROM prefix p JOIN prefix q USING (x)
+  WHERE p.cid < q.cid AND 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)),
+links AS (
+  SELECT a, b FROM (
+    SELECT c.a, c.b, count(*) AS common, any_value(i.n) + any_value(j.n) AS total
+    FROM candidates c JOIN class_items i ON i.cid = c.a JOIN class_items j ON j.cid = c.b AND j.x = i.x GROUP BY c.a, c.b)
+  WHERE 100 * common >= 80 * (total - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT cid, cid AS r FROM classes UNION SELECT e.b, reach.r FROM reach JOIN edges e ON e.a = reach.cid),
+roots AS (SELECT cid, min(r) AS component_id FROM reach GROUP BY cid),
+members AS (
+  SELECT t.doc_id, len(t.s) AS n, c.cid FROM (SELECT doc_id, list_sort(s) AS s FROM sets) t LEFT JOIN classes c ON c.s = t.s)
+SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles, coalesce(r.component_id, m.doc_id) AS component_id,
+  m.doc_id = coalesce(r.component_id, m.doc_id) AS kept
+FROM members m LEFT JOIN roots r ON r.cid = m.cid
+"""
