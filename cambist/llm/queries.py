@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import near_duplicates, packing, token_files
+from . import near_duplicates, packing, repeats, token_files
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -62,3 +62,29 @@ SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles, coalesce(r.component_id, m.d
   m.doc_id = coalesce(r.component_id, m.doc_id) AS kept
 FROM members m LEFT JOIN roots r ON r.cid = m.cid
 """
+
+
+@query
+def op10_repeats(spark, sf_dir):
+    return repeats.removal_report(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op10_repeats"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)),
+again AS (SELECT x FROM windows GROUP BY x HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 35)))) AS p FROM windows WHERE x IN (SELECT x FROM again) GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, w.w, coalesce(len(g.p), 0) AS n_removed, p
+  FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id),
+flat AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words) s
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(p) AS i FROM gone) g WHERE g.doc_id = s.doc_id AND g.i = s.i) GROUP BY doc_id)
+SELECT k.doc_id, CAST(len(k.w) AS BIGINT) AS n_words, CAST(k.n_removed AS BIGINT) AS n_removed, sha256(coalesce(f.t, '')) AS kept_sha256
+FROM kept k LEFT JOIN flat f ON f.doc_id = k.doc_id
+"""

@@ -109,10 +109,22 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def text(self, i: int, j: int) -> bytes:
-        """Words i to j as they stand, joined by one space."""
-        data = self.data
-        return b" ".join([data[s:e].tobytes() for s, e in zip(self.start[i:j].tolist(), self.end[i:j].tolist())])
+    def joined(self, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all words, or of a sorted choice, each row's joined by one space, and the rows' bounds."""
+        start, end, first = self.start, self.end, self.first
+        if chosen is not None:
+            start, end, first = start[chosen], end[chosen], np.searchsorted(chosen, first)
+        behind = end.copy()  # the byte after a word becomes the space, but for a row's last
+        inner = np.ones(len(end), bool)
+        inner[first[1:][first[1:] > first[:-1]] - 1] = False
+        behind[inner] += 1
+        mark = np.zeros(len(self.data) + 1, np.int8)
+        mark[start] += 1
+        np.subtract.at(mark, behind, 1)
+        data = self.data.copy()
+        data[end[inner]] = 0x20
+        sums = np.concatenate([[0], np.cumsum(behind - start)])
+        return data[np.cumsum(mark[:-1], dtype=np.int8) > 0], sums[first]
 
     def windows(self, size: int, seed=11) -> tuple[np.ndarray, np.ndarray]:
         """Word positions at which ``size`` words of one text start, and the codes of those words."""
