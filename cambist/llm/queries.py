@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import near_duplicates, packing, repeats, token_files
+from . import decontamination, near_duplicates, packing, repeats, token_files
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -88,3 +88,8 @@ flat AS (
 SELECT k.doc_id, CAST(len(k.w) AS BIGINT) AS n_words, CAST(k.n_removed AS BIGINT) AS n_removed, sha256(coalesce(f.t, '')) AS kept_sha256
 FROM kept k LEFT JOIN flat f ON f.doc_id = k.doc_id
 """
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
