@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,13 +106,18 @@ class Index:
         self.first = np.searchsorted(which, np.arange(len(self.terms) + 1))
         self.most = np.array([self.impact[a:b].max() for a, b in zip(self.first[:-1], self.first[1:])])
         self.block = max(BLOCK, -(-len(items) // MOST_BLOCKS))
+        self.rows, self.weights = self.row.tolist(), self.impact.tolist()  # lists for the search's single steps
         self.maxima = np.zeros((len(self.terms), -(-len(items) // self.block)), np.float32)
         np.maximum.at(self.maxima, (which, self.row // self.block), self.impact)
 
     def search(self, terms: np.ndarray, least: float) -> list[tuple[int, float]]:
         """All items scoring ``least`` or more, by block-max WAND over the terms' postings."""
         out, slack = [], least - 1e-9
-        cursors = [[int(self.row[self.first[t]]), int(self.first[t]), int(self.first[t + 1]), int(t)] for t in terms]
+        rows, weights = self.rows, self.weights
+        blocks = self.maxima[terms].sum(axis=0)
+        if blocks.max(initial=0) < slack - 1e-4:  # single precision
+            return out
+        cursors = [[rows[a], a, b, t] for t, a, b in zip(terms.tolist(), self.first[terms].tolist(), self.first[terms + 1].tolist())]
         while cursors:
             cursors.sort()
             bound, pivot = 0.0, None
@@ -126,12 +132,12 @@ class Index:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
             block = item // self.block
-            if sum(float(self.maxima[c[3], block]) for c in cursors[: pivot + 1]) < slack:
+            if blocks[block] < slack - 1e-4 or sum(self.maxima[[c[3] for c in cursors[: pivot + 1]], block].tolist()) < slack - 1e-4:
                 # No item from here to the block's end, or to the next list's item, can reach it.
                 ahead = cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.ids)
                 target = max(item + 1, min((block + 1) * self.block, ahead))
             elif cursors[0][0] == item:
-                score = math.fsum(self.impact[c[1]] for c in cursors[: pivot + 1])
+                score = math.fsum(weights[c[1]] for c in cursors[: pivot + 1])
                 if score >= slack:
                     out.append((item, score))
                 target = item + 1
@@ -139,8 +145,8 @@ class Index:
                 target = item
             for c in cursors[: pivot + 1]:
                 if c[0] < target:
-                    c[1] += int(np.searchsorted(self.row[c[1] : c[2]], target))
-                    c[0] = int(self.row[c[1]]) if c[1] < c[2] else -1
+                    c[1] = bisect_left(rows, target, c[1], c[2])
+                    c[0] = rows[c[1]] if c[1] < c[2] else -1
             cursors = [c for c in cursors if c[1] < c[2]]
         return out
 
@@ -169,10 +175,18 @@ def find_in_words(index: Index, words: Words, least: float, overlap: float) -> l
     term = place[known]
     row, begin, end = _passages(words.first)
     a, b = np.searchsorted(known, begin), np.searchsorted(known, end)
-    sums = np.zeros((len(term) + 1, index.maxima.shape[1]), np.float32)
-    np.cumsum(index.maxima[term], axis=0, out=sums[1:])
-    # Running sums of a few hundred thousand floats round by less than this.
-    open_ = np.flatnonzero((sums[b] - sums[a]).max(axis=1, initial=0) >= least - 0.02)
+    # A passage is whole strides of its row; a word counts once in each.
+    of = np.searchsorted(words.first, known, "right") - 1
+    strides = np.concatenate([[0], np.cumsum(-(-words.counts // STRIDE))])
+    stride = strides[of] + (known - words.first[of]) // STRIDE
+    once = np.unique(stride * len(index.terms) + term)
+    sums = np.zeros((len(once) + 1, index.maxima.shape[1]), np.float32)
+    np.cumsum(index.maxima[once % len(index.terms)], axis=0, out=sums[1:])
+    low = strides[row] + (begin - words.first[:-1][row]) // STRIDE
+    high = strides[row] + -(-(end - words.first[:-1][row]) // STRIDE)
+    bounds = np.searchsorted(once // len(index.terms), np.arange(strides[-1] + 1))
+    # Running sums of some hundred thousand floats round by less than the margin.
+    open_ = np.flatnonzero((sums[bounds[high]] - sums[bounds[low]]).max(axis=1, initial=0) >= least - 0.02)
     best: dict = {}
     for k in open_.tolist():
         for item, score in index.search(np.unique(term[a[k] : b[k]]), least):
