@@ -155,7 +155,7 @@ class Leaves:
         field = {f.name: values.field(i) for i, f in enumerate(values.type)}
         self.cid, self.n = field["cid"].to_numpy(), field["n"].to_numpy()
         self.comp = field["comp"].to_numpy() if "comp" in field else self.cid
-        self.side = field["side"].to_numpy() if "side" in field else None
+        self.side = field["side"].to_numpy(zero_copy_only=False) if "side" in field else None
         self.sketch = matrix(field["sketch"], 4, np.uint64)
 
     def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
