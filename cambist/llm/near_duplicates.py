@@ -37,7 +37,7 @@ from .components import components
 from .shared import as_binary, by_size, map_arrow, matrix, record, saved, texts_of
 from .words import Words, mix
 
-PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 8
+PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 4
 #: Of 128 sketch places, 19 differ on average at similarity 0.8, with a deviation of 4.
 MOST_DIFFERENT = 40
 BLOCK = 256
