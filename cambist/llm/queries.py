@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, near_duplicates, packing, repeats, token_files
+from . import decontamination, near_duplicates, packing, repeats, token_files, toxicity
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -93,3 +93,9 @@ FROM kept k LEFT JOIN flat f ON f.doc_id = k.doc_id
 @query
 def op1_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")

@@ -38,9 +38,9 @@ WINDOW, SEED = 35, 12
 _LONGS = pa.list_(pa.int64())
 _INTS = pa.list_(pa.int32())
 _SCANNED = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("whole", pa.string()), ("anchors", _LONGS), ("places", _INTS)]
+    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("whole", pa.string()), ("anchors", _LONGS), ("places", _INTS)]
 )
-_SCANNED_DDL = "doc_id long, n_words long, k1 long, k2 long, whole string, anchors array<long>, places array<int>"
+_SCANNED_DDL = "doc_id long, text_hash long, n_words long, k1 long, k2 long, whole string, anchors array<long>, places array<int>"
 _WINDOWS = pa.schema([("cid", pa.int64()), ("place", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
 _EMPTY = sha256(b"").hexdigest()
 
@@ -87,7 +87,7 @@ def _scanner(window: int, seed: int):
             whole = [sha256(text[a:b]).hexdigest() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
             start = np.repeat(words.first[:-1], np.diff(bounds))
             yield record(
-                _SCANNED, doc_id=part.column("doc_id"), n_words=words.counts, k1=keys[:, 0], k2=keys[:, 1], whole=whole,
+                _SCANNED, doc_id=part.column("doc_id"), text_hash=part.column("text_hash"), n_words=words.counts, k1=keys[:, 0], k2=keys[:, 1], whole=whole,
                 anchors=lists(code.view(np.int64), bounds, pa.int64()), places=lists((place - start).astype(np.int32), bounds, pa.int32()),
             )
 
@@ -102,7 +102,7 @@ def _extender(window: int, seed: int):
             words = Words(part.column("text"))
             same = _same(words, part)
             anchor, bounds = flat(part.column("places"))
-            row = np.repeat(np.arange(len(part)), np.diff(bounds))
+            row = np.repeat(np.arange(part.num_rows), np.diff(bounds))
             keep = same[row]
             at, row = anchor[keep].astype(np.int64) + words.first[:-1][row[keep]], row[keep]
             low = np.maximum(at - (window - seed), words.first[:-1][row])
@@ -181,7 +181,7 @@ def repeats(docs: DataFrame, window=WINDOW, seed=SEED, with_text=False) -> tuple
     The latter by (k1, k2): n_removed, kept_sha256, spans (word bounds of the maximal
     repeats) and, if asked for, kept_text. Texts not listed keep everything.
     """
-    scanned = saved(map_arrow(texts_of(docs), _scanner(window, seed), _SCANNED_DDL), "scanned")
+    scanned = saved(map_arrow(texts_of(docs).withColumn("text_hash", F.xxhash64("text")), _scanner(window, seed), _SCANNED_DDL), "scanned")
     classes = (
         scanned.where(F.col("n_words") >= window)
         .groupBy("k1", "k2")
@@ -213,7 +213,7 @@ def repeats(docs: DataFrame, window=WINDOW, seed=SEED, with_text=False) -> tuple
     wholly = classes.where("copies > 1").select(
         "k1", "k2", F.col("n_words").alias("n_removed"), F.lit(_EMPTY).alias("kept_sha256"), F.array(F.lit(0), F.col("n_words").cast("int")).alias("spans"), *none
     )
-    return scanned.select("doc_id", "n_words", "k1", "k2", "whole"), partly.unionByName(wholly)
+    return scanned.select("doc_id", "text_hash", "n_words", "k1", "k2", "whole"), partly.unionByName(wholly)
 
 
 def removal_report(docs: DataFrame, window=WINDOW) -> DataFrame:
@@ -223,3 +223,21 @@ def removal_report(docs: DataFrame, window=WINDOW) -> DataFrame:
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
         F.coalesce("spans", F.array().cast("array<int>")).alias("spans"),
     )
+
+
+def without_repeats(docs: DataFrame, window=WINDOW) -> DataFrame:
+    """The documents with repeated passages cut out of their texts, all columns kept; ``n_chars`` follows the text.
+
+    A text of which nothing goes stays as it is, byte for byte.
+    """
+    key = F.xxhash64(F.col("text").cast("string"))
+    rows, changed = repeats(docs, window, with_text=True)
+    by_text = rows.where("n_words > 0").select("text_hash", "k1", "k2").distinct().join(changed.select("k1", "k2", "kept_text"), ["k1", "k2"])
+    new = by_text.select(F.col("text_hash").alias("_hash"), F.col("kept_text").alias("_kept"))
+    joined = docs.withColumn("_text_hash", key).join(new, F.col("_text_hash") == F.col("_hash"), "left")
+    text = F.coalesce("_kept", F.col("text").cast("string"))
+    out = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast(kind)))
+    return out.select(*docs.columns)
