@@ -1,4 +1,9 @@
-"""Documents made ready for training, stage by stage; each stage calls one operator of ``cambist.llm``."""
+"""Documents made ready for training, stage by stage; each stage calls one operator of ``cambist.llm``.
+
+Toxic documents go, one document of each group of near copies stays, repeated passages
+are cut out of texts, documents that hold benchmark items go, and what is left is packed
+into sequences. Each stage is written as Parquet and read again by the next.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +11,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cambist.llm import packing
+from cambist.llm import decontamination, near_duplicates, packing, repeats, toxicity
 from cambist.llm.shared import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies: runs of five words, similarity of 0.8 or more.
+SHINGLE_WORDS, PERCENT = 5, 80
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents graded at least 1 by the severity model, learned from this stage's documents and ``labels``, go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return near_duplicates.one_of_each(docs, SHINGLE_WORDS, PERCENT)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 35 words or more that stand in two places are cut out; documents stay."""
+    return repeats.without_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item is found go."""
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's ids, cut and packed into sequences; returns pieces."""
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack_sequences)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("substring_repeats", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
 
-#: SQL cannot express the stages; tests compare each with a brute-force version.
+#: SQL cannot express the first and last stage; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
