@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, near_duplicates, packing, repeats, token_files, toxicity
+from . import decontamination, language, near_duplicates, packing, repeats, token_files, toxicity
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -99,3 +99,9 @@ def op1_decontamination(spark, sf_dir):
 def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.severity(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
+
+
+@query
+def op9_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
