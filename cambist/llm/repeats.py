@@ -181,34 +181,37 @@ def repeats(docs: DataFrame, window=WINDOW, seed=SEED, with_text=False) -> tuple
     The latter by (k1, k2): n_removed, kept_sha256, spans (word bounds of the maximal
     repeats) and, if asked for, kept_text. Texts not listed keep everything.
     """
-    scanned = saved(map_arrow(texts_of(docs).withColumn("text_hash", F.xxhash64("text")), _scanner(window, seed), _SCANNED_DDL), "scanned")
+    scanned = map_arrow(texts_of(docs).withColumn("text_hash", F.xxhash64("text")), _scanner(window, seed), _SCANNED_DDL)
+    scanned = saved(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")  # fixed by the write
     classes = (
         scanned.where(F.col("n_words") >= window)
         .groupBy("k1", "k2")
-        .agg(F.count("*").alias("copies"), F.min("doc_id").alias("of"), F.first("n_words").alias("n_words"))
-        .withColumn("cid", F.monotonically_increasing_id())
+        .agg(
+            F.count("*").alias("copies"), F.min("row").alias("cid"), F.first("n_words").alias("n_words"),
+            F.min_by("doc_id", "row").alias("of"), F.min_by("text_hash", "row").alias("of_hash"),
+        )
     )
     classes = saved(classes, "classes")
     # One row of each class: the anchors of copies are the same.
-    one = scanned.where(F.col("n_words") >= window).select("doc_id", "k1", "k2", "anchors", "places")
-    one = one.join(classes.select("k1", "k2", "of", "cid", "copies"), ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("of")))
+    one = scanned.select(F.col("row").alias("cid"), "anchors", "places").join(classes.select("cid"), "cid", "left_semi")
     found = one.select("cid", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("cid", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
-    found = saved(found, "anchors")
-    # Rows of one class may repeat if its doc_id does: places are then counted once.
-    shared = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min(F.struct("cid", "place")).alias("lo"), F.max(F.struct("cid", "place")).alias("hi"))
-    shared = shared.where("n > 1 and lo <> hi").select("anchor")
+    # Written first, so that the join's sides are plain exchanges and a hot anchor's can be split.
+    shared = saved(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared")
     seeds = found.join(shared, "anchor", "left_semi").groupBy("cid").agg(F.collect_set("place").alias("places"))
-    owners = classes.select("cid", "k1", "k2", "of", "n_words", "copies").join(seeds, "cid")
-    texts = texts_of(docs)
-    owned = texts.join(owners, texts.doc_id.eqNullSafe(owners.of)).select("cid", "text", "k1", "k2", "n_words", "copies", "places")
+    owners = classes.select("cid", "k1", "k2", "of", "of_hash", "copies").join(seeds, "cid")
+    texts = texts_of(docs).withColumn("text_hash", F.xxhash64("text"))
+    owned = texts.join(owners, F.col("text_hash").eqNullSafe(F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of")))
+    owned = owned.select("cid", "text", "k1", "k2", "copies", "places")
+    if not scanned.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        owned = owned.dropDuplicates(["cid"])  # the very same row more than once
     owned = saved(owned, "owned")
-    windows = saved(map_arrow(owned.select("cid", "text", "k1", "k2", "places"), _extender(window, seed), "cid long, place int, w1 long, w2 long"), "windows")
-    codes = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("cid", "place")).alias("lo"), F.max(F.struct("cid", "place")).alias("hi"))
-    codes = codes.where("n > 1 and lo <> hi").select("w1", "w2")
+    # Found twice, for the count and for the join: writing them would take more than the texts.
+    windows = map_arrow(owned.select("cid", "text", "k1", "k2", "places"), _extender(window, seed), "cid long, place int, w1 long, w2 long")
+    codes = saved(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "codes")
     starts = windows.join(codes, ["w1", "w2"], "left_semi").groupBy("cid").agg(F.collect_set("place").alias("starts"))
     ddl = "cid long, n_removed long, kept_sha256 string, spans array<int>" + ", kept_text string" * with_text
     partly = map_arrow(owned.where("copies = 1").join(starts, "cid").select("cid", "text", "k1", "k2", "starts"), _remover(window, with_text), ddl)
-    partly = classes.select("cid", "k1", "k2").join(partly.dropDuplicates(["cid"]), "cid").drop("cid")
+    partly = classes.select("cid", "k1", "k2").join(partly, "cid").drop("cid")
     none = [F.lit("").alias("kept_text")] * with_text
     wholly = classes.where("copies > 1").select(
         "k1", "k2", F.col("n_words").alias("n_removed"), F.lit(_EMPTY).alias("kept_sha256"), F.array(F.lit(0), F.col("n_words").cast("int")).alias("spans"), *none
