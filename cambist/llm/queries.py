@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language, near_duplicates, packing, repeats, token_files, toxicity
+from . import decontamination, language, licenses, mtree, near_duplicates, packing, repeats, token_files, toxicity
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -105,3 +105,26 @@ def op2_toxicity(spark, sf_dir):
 def op9_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs))
+
+
+@query
+def op5_licenses(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_top_products(spark, sf_dir):
+    return mtree.greatest_products(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op6_top_products"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 5
+"""
