@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language, licenses, mtree, near_duplicates, packing, repeats, token_files, toxicity
+from . import decontamination, edit_counts, language, licenses, mtree, near_duplicates, packing, repeats, token_files, toxicity
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -128,3 +128,8 @@ scores AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 5
 """
+
+
+@query
+def op7_edited_counts(spark, sf_dir):
+    return edit_counts.edited_counts(table(spark, sf_dir, "documents"))
