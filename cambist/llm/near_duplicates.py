@@ -12,10 +12,12 @@
    from the texts.
 4. Only components are asked for, so pairs are emitted sparingly: first a forest per leaf,
    best pairs first; then, between classes not yet connected, every pair that is left. A
-   leaf whose classes are all connected is done. Nodes that stay large are groups of copies:
-   each is compared with one of its classes, and what that does not connect, block by block.
+   leaf whose classes are all connected is done. Nodes that stay large are groups of copies;
+   those that share a class are taken together, once. One class of a group is compared with
+   the rest, some times over; what that leaves apart is compared on full sets, block against
+   block, and each task returns only links that connect.
 
-So a group of n near copies costs about n pairs, not n^2, and no group meets in one task.
+So a group of n near copies makes about n rows, not n^2, and no group meets in one task.
 
 Defined cases: without words or with null text a document is linked with nothing and is its
 own component; a text of fewer words than a shingle is one shingle; a component's id is its
@@ -40,7 +42,8 @@ from .words import Words, mix
 PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 4
 #: Of 128 sketch places, 19 differ on average at similarity 0.8, with a deviation of 4.
 MOST_DIFFERENT = 40
-BLOCK = 256
+#: Bytes of full sets in a block; two meet in a task.
+BLOCK_BYTES = 4 << 20
 PIVOT_ROUNDS = 3
 _U = np.uint64
 _random = np.random.default_rng(8)
@@ -155,7 +158,6 @@ class Leaves:
         field = {f.name: values.field(i) for i, f in enumerate(values.type)}
         self.cid, self.n = field["cid"].to_numpy(), field["n"].to_numpy()
         self.comp = field["comp"].to_numpy() if "comp" in field else self.cid
-        self.side = field["side"].to_numpy(zero_copy_only=False) if "side" in field else None
         self.sketch = matrix(field["sketch"], 4, np.uint64)
 
     def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,8 +165,6 @@ class Leaves:
         left, right = [], []
         for d in range(1, int(self.sizes.max(initial=1))):
             keep = (self.leaf[:-d] == self.leaf[d:]) & (self.comp[:-d] != self.comp[d:])
-            if self.side is not None:
-                keep &= self.side[:-d] != self.side[d:]
             i = np.flatnonzero(keep)
             for at in range(0, len(i), 1 << 17):
                 a = i[at : at + (1 << 17)]
@@ -181,20 +181,10 @@ class Leaves:
         a, b = self.pairs(percent)
         differ = self.sketch[a] ^ self.sketch[b]
         worst = np.bitwise_count((differ | (differ >> _U(1))) & _LANES).sum(axis=1)
-        root, keep = {}, []
-
-        def find(x):
-            while root.get(x, x) != x:
-                root[x] = root.get(root[x], root[x])
-                x = root[x]
-            return x
-
-        for k in np.lexsort((self.cid[b], self.cid[a], worst)).tolist():
-            leaf = int(self.leaf[a[k]])
-            x, y = find((leaf, int(self.comp[a[k]]))), find((leaf, int(self.comp[b[k]])))
-            if x != y:
-                root[x] = y
-                keep.append(k)
+        order = np.lexsort((self.cid[b], self.cid[a], worst))
+        a, b = a[order], b[order]
+        leaf = self.leaf[a].tolist()
+        keep = _spanning(list(zip(leaf, self.comp[a].tolist())), list(zip(leaf, self.comp[b].tolist())))
         return a[keep], b[keep]
 
 
@@ -264,6 +254,61 @@ def _confirmer(percent: int):
     return confirm
 
 
+def common_counts(sets: list[np.ndarray], width=4096) -> np.ndarray:
+    """How many codes each two of the sets share, by products of their presence matrix, some columns at a time."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    code, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1  # a code of one set is shared by none
+    place = np.cumsum(often) - 1
+    keep = often[column]
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(often.sum()), width):
+        a, b = np.searchsorted(column, (at, at + width))
+        present = np.zeros((len(sets), width), np.float32)
+        present[row[a:b], column[a:b] - at] = 1
+        out += present @ present.T
+    return np.rint(out).astype(np.int64)
+
+
+def _linker(percent: int):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members in batch.column("members"):
+                values = members.values
+                cid, comp = values.field("cid").to_numpy(), values.field("comp").to_numpy()
+                sets = [np.frombuffer(c.as_buffer(), np.uint64) for c in values.field("codes")]
+                size = np.array([len(s) for s in sets])
+                both = common_counts(sets)
+                linked = 100 * both >= percent * (size[:, None] + size - both)
+                a, b = np.nonzero(np.triu(linked & (comp[:, None] != comp), 1))
+                keep = _spanning(comp[a].tolist(), comp[b].tolist())
+                x, y = cid[a[keep]], cid[b[keep]]
+                yield record(_PAIRS, a=np.minimum(x, y), b=np.maximum(x, y))
+
+    return link
+
+
+def _spanning(left: list, right: list) -> list[int]:
+    """Places of pairs, in order, that connect what those before them do not."""
+    root, keep = {}, []
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    for k, (x, y) in enumerate(zip(left, right)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            keep.append(k)
+    return keep
+
+
 # -- the join ------------------------------------------------------------
 def _grouped(rows: DataFrame, *more: str) -> DataFrame:
     return rows.groupBy("node", *more).agg(F.collect_list(F.struct(*[c for c in rows.columns if c not in ("node", "size", *more)])).alias("members"))
@@ -294,39 +339,50 @@ def _leaves(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return saved(seeds, "seeds"), saved(large, "large")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """All pairs of blocks of each node, members with the side they are on; a block by itself is halved at random."""
-    sized = rows.join(rows.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("count")), "node")
-    block = F.pmod(F.xxhash64("cid", "node"), F.col("count")).cast("int")
-    spread = sized.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-    return spread.select(
-        "node", "cid", "comp", "n", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") < F.col("other")).alias("first")
-    )
+def _blobs(large: DataFrame) -> DataFrame:
+    """Classes of nodes that stayed large, once each: nodes that share a class are one group, its name in ``node``."""
+    least = large.groupBy("node").agg(F.min("cid").alias("v"))
+    stars = large.select("node", F.col("cid").alias("u")).join(least, "node").select("u", "v").distinct()
+    roots = components(stars).select(F.col("node").alias("cid"), F.col("root").alias("node"))
+    return saved(large.select("cid", "n", "sketch").dropDuplicates(["cid"]).join(roots, "cid").select("node", "cid", "n", "sketch"), "groups")
+
+
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows with their component, of nodes whose classes are not all connected."""
+    rows = rows.join(labels, "cid")
+    ends = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node")
+    return rows.join(ends, "node").select("node", "cid", "comp", "n", "sketch")
 
 
-def _candidates(seeds: DataFrame, large: DataFrame, labels: DataFrame, percent: int, step: int, last: bool) -> DataFrame:
-    def open_rows(rows):
-        rows = rows.join(labels, "cid")
-        ends = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node")
-        return rows.join(ends, "node")
-
-    small = open_rows(seeds).select("node", "cid", "comp", "n", "sketch")
-    pairs = map_arrow(_grouped(small), _pairing(percent, not last), "a long, b long")
-    rows = open_rows(large).select("node", "cid", "comp", "n", "sketch")
-    if last:
-        blocks = _blocks(rows)
-        inside = blocks.where("i = j").select("node", "i", "j", "cid", "comp", "n", "sketch")
-        across = blocks.where("i < j").select("node", "i", "j", "cid", "comp", "n", "sketch", F.col("first").alias("side"))
-        for part in (inside, across):
-            pairs = pairs.unionByName(map_arrow(_grouped(part, "i", "j"), _pairing(percent, False), "a long, b long"))
-    else:
-        pivots = rows.groupBy("node").agg(F.min_by(F.struct("cid", "comp", "n", "sketch"), F.xxhash64("cid", "node", F.lit(step))).alias("p"))
+def _candidates(seeds: DataFrame, groups: DataFrame | None, labels: DataFrame, percent: int, step: int, last: bool) -> DataFrame:
+    """Pairs to confirm: a forest of each leaf and one class of each group against the rest; at last all pairs of leaves."""
+    pairs = map_arrow(_grouped(_open(seeds, labels)), _pairing(percent, not last), "a long, b long")
+    if groups is not None and not last:
+        rows = _open(groups, labels)
+        pivots = rows.groupBy("node").agg(F.min_by(F.struct("cid", "comp", "n", "sketch"), F.xxhash64("cid", F.lit(step))).alias("p"))
         beside = rows.join(pivots, "node").where(F.col("p.comp") != F.col("comp"))
         beside = beside.select("cid", "n", "sketch", F.col("p.cid").alias("p_cid"), F.col("p.n").alias("p_n"), F.col("p.sketch").alias("p_sketch"))
         pairs = pairs.unionByName(map_arrow(beside, _to_pivot(percent), "a long, b long"))
     return pairs.distinct()
 
 
+def _within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is not connected yet in each group, by its full sets, block against block."""
+    rows = _open(groups, labels).select("node", "cid", "comp", "n")
+    blocks = rows.groupBy("node").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("int").alias("count"))
+    spread = (
+        rows.join(blocks, "node")
+        .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("count")).cast("int"))
+        .join(sets, "cid")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    )
+    members = spread.select("node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "comp", "codes")
+    open_ = members.groupBy("node", "i", "j").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.collect_list(F.struct("cid", "comp", "codes")).alias("members")
+    )
+    return map_arrow(open_.where("lo <> hi").select("members"), _linker(percent), "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("cid").alias("a"), F.col("codes").alias("x"))
     y = sets.select(F.col("cid").alias("b"), F.col("codes").alias("y"))
@@ -369,18 +425,17 @@ def near_duplicates(docs: DataFrame, size=5, percent=80) -> DataFrame:
         sets = map_arrow(owned.select("cid", "text", "k1", "k2"), _set_maker(size), "cid long, codes binary")
         sets = saved(sets.dropDuplicates(["cid"]), "sets")
         tried = docs.sparkSession.createDataFrame([], "a long, b long, linked boolean")
-        rounds = 1 if large.isEmpty() else PIVOT_ROUNDS
+        groups = None if large.isEmpty() else _blobs(large)
+        rounds = 1 if groups is None else PIVOT_ROUNDS
         for step in range(rounds + 1):
             last = step == rounds
-            pairs = _candidates(seeds, large, found, percent, step, last).join(tried, ["a", "b"], "left_anti")
+            pairs = _candidates(seeds, groups, found, percent, step, last).join(tried, ["a", "b"], "left_anti")
             seen = saved(_confirmed(pairs, sets, percent), "tried")
-            if seen.where("linked").isEmpty():
-                if last:
-                    break
-                if step:
-                    continue
-            else:
-                found = _relabelled(found, seen.where("linked"))
+            links = seen.where("linked").select("a", "b")
+            if last and groups is not None:
+                links = saved(links.unionByName(_within_groups(groups, found, sets, percent)), "links")
+            if not links.isEmpty():
+                found = _relabelled(found, links)
             tried = tried.unionByName(seen)
     by_class = classes.join(found, "cid", "left").select("k1", "k2", "least_id", F.coalesce("comp", "cid").alias("comp"))
     least = by_class.groupBy("comp").agg(F.min("least_id").alias("component_id"))
