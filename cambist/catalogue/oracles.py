@@ -303,6 +303,51 @@ UNION ALL
 SELECT * FROM loaded WHERE payment_date < (SELECT start_date FROM start)"""
 )
 
+
+
+def _fact_of(name: str, payments: str, rates: str) -> str:
+    """The fact over other payments and rates, as a further common table."""
+    looked_up = _LOOKED_UP.replace("looked_up AS", f"looked_up_{name} AS").replace("FROM payments p", f"FROM {payments} p")
+    looked_up = looked_up.replace("JOIN rates r", f"JOIN {rates} r")
+    return looked_up + "," + _FACT.replace("fact AS", f"{name} AS").replace("FROM looked_up", f"FROM looked_up_{name}")
+
+
+_REFRESHED = (
+    _with(PAYMENTS, RATES)
+    + """,
+raised AS (
+  SELECT rate_date, base_currency, currency,
+         rate_e8 + CASE WHEN year(rate_date) >= 2000 THEN 1000000 ELSE 0 END AS rate_e8,
+         CAST(rate + CASE WHEN year(rate_date) >= 2000 THEN 0.01 ELSE 0 END AS DECIMAL(18,8)) AS rate
+  FROM rates
+),
+known AS (
+  SELECT * REPLACE (CAST(date_trunc('month', payment_date) AS DATE) AS payment_date) FROM payments WHERE payment_date <= DATE '2000-12-31'
+),
+flawed AS (
+  SELECT * REPLACE (CAST(CASE WHEN payment_id % 97 = 0 THEN NULL WHEN payment_id % 89 = 0 THEN payment_date - INTERVAL 12 MONTH
+                         ELSE payment_date END AS DATE) AS payment_date) FROM known
+),
+repaired AS (
+  SELECT * REPLACE (CAST(CASE WHEN payment_id % 79 = 0 AND payment_date >= DATE '2000-12-01' THEN payment_date - INTERVAL 1 MONTH
+                         ELSE payment_date END AS DATE) AS payment_date) FROM known WHERE payment_id % 83 <> 0
+),
+"""
+    + _fact_of("loaded", "flawed", "rates")
+    + ","
+    + _fact_of("anew", "repaired", "raised")
+    + """,
+start AS (SELECT max(payment_date) - 7 AS start_date FROM loaded),
+redone AS (
+  SELECT a.* FROM anew a LEFT JOIN loaded l USING (payment_id)
+  WHERE a.payment_date >= (SELECT start_date FROM start)
+     OR (l.payment_id IS NOT NULL AND (l.payment_date IS NULL OR l.payment_date >= (SELECT start_date FROM start)))
+)
+SELECT * FROM redone
+UNION ALL
+SELECT * FROM loaded WHERE payment_date < (SELECT start_date FROM start) AND payment_id NOT IN (SELECT payment_id FROM redone)"""
+)
+
 ORACLES: dict[str, str] = {
     "bronze_projection": """
         SELECT props AS value, CAST(user_id AS VARCHAR) AS message_key, 'cdc.public.payments' AS topic,
@@ -376,6 +421,7 @@ ORACLES: dict[str, str] = {
     + " SELECT * FROM runs",
     "fct_payments_usd": f"{_FACTS} SELECT * FROM fact",
     "fct_payments_usd_incremental": _INCREMENTAL,
+    "fct_payments_usd_refreshed": _REFRESHED,
     "fct_daily_revenue_usd": f"{_FACTS} {_DAILY_REVENUE}",
     "unconverted_by_currency": f"""{_FACTS}
         SELECT currency, count(*) AS payment_count, min(payment_date) AS first_date, max(payment_date) AS last_date

@@ -219,7 +219,7 @@ def dim_merchants(spark, sf_dir):
 @query
 def fx_parse_documents(spark, sf_dir):
     parsed = rates.parse_rate_documents(a.rate_documents(spark, sf_dir))
-    return rates.rates_in_range(parsed, FEED_START, FEED_END, FEED_CURRENCIES)
+    return rates.rates_in_range(parsed.drop("rate_text"), FEED_START, FEED_END, FEED_CURRENCIES)
 
 
 @query
@@ -310,6 +310,29 @@ def fct_payments_usd_incremental(spark, sf_dir):
     return facts.incremental_fact(loaded, payments, corrected)
 
 
+@query
+def fct_payments_usd_refreshed(spark, sf_dir):
+    """The written fact: loaded to the end of 2000 with flaws, refreshed from payments and rates put right since.
+
+    Flaws, by payment_id: every 97th without a date, every 89th a year early, every
+    79th of the last month a month late; every 83rd is deleted meanwhile. All are
+    dated on the first of their month, for some 70 partitions instead of 2,000.
+    """
+    payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
+    known = payments.where(F.col("payment_date") <= F.lit(dt.date(2000, 12, 31)))
+    known = known.withColumn("payment_date", F.trunc("payment_date", "month"))
+    every, day = (lambda n: F.col("payment_id") % n == 0), F.col("payment_date")
+    last = F.lit(dt.date(2000, 12, 1))
+    first_day = F.when(every(97), None).when(every(89), F.add_months(day, -12)).otherwise(day)
+    path = f"{scratch_dir(spark, 'fact')}/fact"
+    facts.build_fact(path, known.withColumn("payment_date", first_day), feed)
+    corrected = feed.withColumn("rate", F.when(F.year("rate_date") >= 2000, _raised("0.01")).otherwise(F.col("rate")))
+    moved = F.when(every(79) & (day >= last), F.add_months(day, -1)).otherwise(day)
+    facts.refresh_fact(spark, path, known.where(~every(83)).withColumn("payment_date", moved), corrected)
+    written = spark.read.parquet(path)
+    return written.select(*facts.fct_payments_usd(payments, feed).columns)
+
+
 @query
 def fct_daily_revenue_usd(spark, sf_dir):
     fact = facts.fct_payments_usd(a.payments(spark, sf_dir), a.rates(spark, sf_dir))
@@ -368,7 +391,7 @@ def health_metrics(spark, sf_dir):
 @query
 def report_merchant_revenue(spark, sf_dir):
     revenue = gold.daily_merchant_revenue(a.payments(spark, sf_dir))
-    return reports.merchant_revenue(revenue, REPORT_MERCHANT, REPORT_START, REPORT_END, reports.MAX_LIMIT).days
+    return reports.merchant_revenue(revenue, REPORT_MERCHANT, REPORT_START, REPORT_END).days
 
 
 @query

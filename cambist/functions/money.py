@@ -23,13 +23,16 @@ def or_zero(amount: Column) -> Column:
 
 
 def to_usd_half_up(amount: Column, rate: Column) -> Column:
-    """The fact table's conversion: a rate is units per USD, so divide; cast rounds half up."""
-    return F.when(rate > 0, (amount / rate).cast("decimal(18,2)"))
+    """The fact table's conversion: a rate is units per USD, so divide; the cast rounds half up.
+
+    A result too large for the column is NULL, as a payment without a rate is.
+    """
+    return F.when(rate > 0, F.try_divide(amount, rate).try_cast("decimal(18,2)"))
 
 
 def to_base_half_even(amount: Column, rate: Column) -> Column:
-    """The lookup's conversion: banker's rounding to cents; NULL without a usable rate."""
-    return F.when(rate != 0, F.bround(amount / rate, 2).cast("decimal(18,2)"))
+    """The lookup's conversion: banker's rounding to cents; NULL without a usable rate or if too large."""
+    return F.when(rate != 0, F.bround(F.try_divide(amount, rate), 2).try_cast("decimal(18,2)"))
 
 
 def plain_decimal_string(value: Column) -> Column:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import is_settled, to_usd_half_up
 from ..operators.asof import asof_rate
 from ..schemas import REPORTING_CURRENCY
-from ..sources.layers import replace_table
+from ..session import scratch_dir
+from ..sources.layers import remove_folder, replace_table
 
 RESTATEMENT_DAYS = 7
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def fct_payments_usd(payments: DataFrame, rates: DataFrame, currency: str = REPORTING_CURRENCY) -> DataFrame:
@@ -83,22 +88,34 @@ def refresh_fact(
 ) -> None:
     """Bring the fact table up to date by rewriting only the days that change.
 
-    Those are the days of the window, and older days from which a payment has
-    moved into it. Finding the latter reads two columns of the older days; where
-    the source never changes a payment's date, ``dates_can_move=False`` saves it.
+    The window's days, and the payments without a date, are taken anew from
+    ``payments``: what was deleted there goes. A payment that stood in them and
+    now has an older day, a repaired date among them, is moved to that day; one
+    that has come into them leaves its older day. Older days are otherwise left
+    as they are, so a payment deleted there, or first seen with a day before the
+    window, is not noticed; a whole build does. Finding payments that came in
+    reads two columns of the older days; where the source never changes a
+    payment's date, ``dates_can_move=False`` saves it.
     """
-    fact = spark.read.parquet(path)
-    start = restatement_start(fact, days).first()["start_date"]
-    in_window = F.col("payment_date") >= F.lit(start)
-    changed = fct_payments_usd(payments.where(in_window), rates)
-    touched = fact.where(in_window)
+    loaded = partition_days(spark, path)
+    fact = spark.read.schema(fct_payments_usd(payments, rates).schema).parquet(path)
+    dated = [d for d in loaded if d is not None]
+    start = (max(dated) if dated else dt.date(1900, 1, 1)) - dt.timedelta(days=days)
+    in_window = F.coalesce(F.col("payment_date") >= F.lit(start), F.lit(True))  # without a date: always
+    recent = payments.where(in_window)
+    left = fact.where(in_window).select("payment_id").join(recent, "payment_id", "left_anti")
+    moved_out = payments.where(~in_window).join(left, "payment_id", "left_semi")
+    # Written once: the days, the older rows it replaces and the new partitions all come from it.
+    scratch = scratch_dir(spark, "fact-changes")
+    fct_payments_usd(recent.unionByName(moved_out), rates).write.parquet(scratch)
+    changed = spark.read.schema(fact.schema).parquet(scratch)
+
+    older = [d for d in _days(changed) if d is not None and d < start]
     if dates_can_move:
-        moved = fact.where(~in_window).join(changed, "payment_id", "left_semi")
-        moved_days = _days(moved)
-        if moved_days:
-            touched = fact.where(in_window | F.col("payment_date").isin(moved_days))
-    merged = merge_fact(touched, changed)
-    emptied = set(_days(touched)) - set(_days(merged))
+        older += _days(fact.where(~in_window).join(changed.select("payment_id"), "payment_id", "left_semi"))
+    kept = fact.where(F.col("payment_date").isin(sorted(set(older)))) if older else fact.limit(0)
+    merged = merge_fact(kept, changed)
+    full = set(_days(merged))
     (
         merged.hint("rebalance", "payment_date")
         .write.mode("overwrite")
@@ -106,10 +123,18 @@ def refresh_fact(
         .partitionBy("payment_date")
         .parquet(path)
     )
-    # A dynamic overwrite leaves a partition alone that gets no rows.
-    for day in sorted(emptied):
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/payment_date={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    # A dynamic overwrite leaves a partition alone that gets no rows. Should the job
+    # end before this, the next refresh finds the same partitions empty again.
+    touched = {d for d in loaded if d is None or d >= start} | set(older)
+    for day in touched - full:
+        remove_folder(f"{path.rstrip('/')}/payment_date={NO_DAY if day is None else day}")
+
+
+def partition_days(spark: SparkSession, path: str) -> set:
+    """The days a fact table has partitions for, from folder names alone; None for payments without a date."""
+    names = {re.search(r"payment_date=([^/]+)/", f) for f in spark.read.parquet(path).inputFiles()}
+    found = {m[1] for m in names if m}
+    return {None if d == NO_DAY else dt.date.fromisoformat(d) for d in found}
 
 
 def _days(frame: DataFrame) -> list:

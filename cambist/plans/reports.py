@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.money import money_string, or_zero
 
 MAX_DAYS = 366
-DEFAULT_LIMIT = 1_000
-MAX_LIMIT = 10_000
 
 
 class InvalidArgument(ValueError):
@@ -29,23 +27,56 @@ class UnknownMerchant(LookupError):
 
 @dataclass(frozen=True)
 class RevenueReport:
+    """``days`` are all of the range, or its first ``limit`` where a caller asks for a page; then ``truncated`` says so."""
+
     merchant_id: int
     start_date: dt.date
     end_date: dt.date
     days: DataFrame
     totals: DataFrame
+    total_days: int | None = None
+    truncated: bool = False
+
+
+def _whole_number(value) -> bool:
+    return isinstance(value, int) and not isinstance(value, bool)
+
+
+def _day(value) -> bool:
+    return isinstance(value, dt.date) and not isinstance(value, dt.datetime)
+
+
+def _country(value) -> bool:
+    return value is None or (isinstance(value, str) and len(value) == 2)
 
 
-def _require_int(name: str, value) -> int:
-    if isinstance(value, bool) or not isinstance(value, int):
-        raise InvalidArgument(f"{name} must be an integer, not {value!r}")
-    return value
+def _page(value) -> bool:
+    return value is None or (_whole_number(value) and value > 0)
 
 
-def _require_date(name: str, value) -> dt.date:
-    if isinstance(value, dt.datetime) or not isinstance(value, dt.date):
-        raise InvalidArgument(f"{name} must be a date, not {value!r}")
-    return value
+#: What each argument has to be: a test, and how to say it.
+ARGUMENTS = {
+    "merchant_id": (_whole_number, "a whole number"),
+    "start_date": (_day, "a date without a time"),
+    "end_date": (_day, "a date without a time"),
+    "activity_date": (_day, "a date without a time"),
+    "limit": (_page, "a positive whole number, or nothing for all days"),
+    "country_code": (_country, "two letters, or nothing for all countries"),
+}
+
+
+def checked(**arguments) -> None:
+    """Every argument against its rule; the first that breaks it is named."""
+    for name, value in arguments.items():
+        fits, wanted = ARGUMENTS[name]
+        if not fits(value):
+            raise InvalidArgument(f"{name}: expected {wanted}, got {value!r}")
+
+
+def checked_range(start: dt.date, end: dt.date) -> None:
+    length = (end - start).days
+    if not 0 <= length <= MAX_DAYS:
+        raise InvalidArgument(f"a range goes forward by {MAX_DAYS} days at most; {start} to {end} goes {length}")
 
 
 def merchant_exists(gold_revenue: DataFrame, merchant_id: int) -> bool:
@@ -62,43 +93,29 @@ def merchant_revenue(
     merchant_id: int,
     start_date: dt.date,
     end_date: dt.date,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
 ) -> RevenueReport:
-    """Revenue days of one merchant on an inclusive range, and totals per currency.
+    """All revenue days of one merchant on an inclusive range, and totals per currency.
 
-    ``limit`` bounds the days listed; the totals cover the whole range. Totals
-    never add currencies up. Money leaves as text.
+    With a ``limit`` only the first days are listed, and the report tells how many
+    there are; totals cover the whole range either way. Totals never add currencies
+    up. Money leaves as text.
     """
-    _require_int("merchant_id", merchant_id)
-    _require_int("limit", limit)
-    _require_date("start_date", start_date)
-    _require_date("end_date", end_date)
-    if end_date < start_date:
-        raise InvalidArgument("end_date must not precede start_date")
-    if (end_date - start_date).days > MAX_DAYS:
-        raise InvalidArgument(f"the range must not exceed {MAX_DAYS} days")
-    if not 1 <= limit <= MAX_LIMIT:
-        raise InvalidArgument(f"limit must be between 1 and {MAX_LIMIT}")
+    checked(merchant_id=merchant_id, start_date=start_date, end_date=end_date, limit=limit)
+    checked_range(start_date, end_date)
     if not merchant_exists(gold_revenue, merchant_id):
-        raise UnknownMerchant(f"no revenue recorded for merchant {merchant_id}")
+        raise UnknownMerchant(f"merchant {merchant_id} has no revenue on any day")
 
-    selected = gold_revenue.where(
-        (F.col("merchant_id") == merchant_id) & F.col("revenue_date").between(F.lit(start_date), F.lit(end_date))
-    )
-    days = (
-        selected.orderBy("revenue_date", "currency")
-        .limit(limit)
-        .select(
-            "revenue_date",
-            "merchant_id",
-            "currency",
-            "payment_count",
-            money_string(or_zero(F.col("gross_amount"))).alias("gross_amount"),
-            money_string(or_zero(F.col("average_amount"))).alias("average_amount"),
-            "distinct_shoppers",
-        )
-    )
-    return RevenueReport(merchant_id, start_date, end_date, days, currency_totals(selected))
+    own = gold_revenue.where(F.col("merchant_id") == merchant_id)
+    selected = own.where(F.col("revenue_date").between(F.lit(start_date), F.lit(end_date)))
+    as_text = {c: money_string(or_zero(F.col(c))) for c in ("gross_amount", "average_amount")}
+    listed = ("revenue_date", "merchant_id", "currency", "payment_count", "gross_amount", "average_amount", "distinct_shoppers")
+    days = selected.withColumns(as_text).select(*listed).orderBy("revenue_date", "currency")
+    totals = currency_totals(selected)
+    if limit is None:
+        return RevenueReport(merchant_id, start_date, end_date, days, totals)
+    total = selected.count()
+    return RevenueReport(merchant_id, start_date, end_date, days.limit(limit), totals, total, total > limit)
 
 
 def currency_totals(revenue: DataFrame) -> DataFrame:
@@ -108,11 +125,9 @@ def currency_totals(revenue: DataFrame) -> DataFrame:
 
 def payment_method_mix_for(gold_mix: DataFrame, activity_date: dt.date, country_code: str | None = None) -> DataFrame:
     """Methods of one day by volume; a day without activity gives an empty frame."""
-    _require_date("activity_date", activity_date)
+    checked(activity_date=activity_date, country_code=country_code)
     selected = gold_mix.where(F.col("activity_date") == F.lit(activity_date))
     if country_code is not None:
-        if not isinstance(country_code, str) or len(country_code) != 2:
-            raise InvalidArgument("country_code must have two letters")
         selected = selected.where(F.col("country_code") == country_code.upper())
     return selected.select("country_code", "payment_method", "payment_count", "share_pct").orderBy(
         F.col("payment_count").desc(), "country_code", "payment_method"

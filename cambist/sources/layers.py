@@ -63,3 +63,14 @@ def replace_table(frame: DataFrame, path: str, partition_by: str | None = None)
         .partitionBy(partition_by)
         .parquet(path)
     )
+
+
+def remove_folder(path: str) -> None:
+    """Delete one folder of a table, in any store Arrow knows; nothing there is no error."""
+    from pyarrow import fs
+
+    scheme, mark, rest = path.partition("://")
+    known = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    store, root = fs.FileSystem.from_uri(f"{known}://{rest}" if mark else path.removeprefix("file:"))
+    if store.get_file_info(root).type == fs.FileType.Directory:
+        store.delete_dir(root)

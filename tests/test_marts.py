@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from cambist.functions import money
 from cambist.functions.money import money_string, or_zero
 from cambist.plans import facts, gold, quality, reports, staging
 from cambist.schemas import PAYMENTS, RAW_FX_SEED, RAW_MERCHANTS, RAW_PAYMENTS
@@ -117,17 +118,52 @@ def test_refresh_rewrites_the_window_and_the_days_payments_left(spark, staged, t
     late = late.unionByName(late.where("payment_id = 1006").withColumn("payment_id", F.lit(1011).cast("bigint")))
     restated = rates.withColumn("rate", F.when(F.col("currency") == "GBP", F.lit("0.50").cast("decimal(18,8)")).otherwise(F.col("rate")))
     for _ in range(2):
-        facts.refresh_fact(spark, path, late.where("payment_id <> 1007"), restated)
+        facts.refresh_fact(spark, path, late, restated)
         after = read()
         assert spark.read.parquet(path).count() == 11
         assert after[1004][0] == Decimal("88.50") and after[1010] == (Decimal("21.05"), "2026-01-05")
         assert after[1011][0] == Decimal("250.00") and after[1007] == before[1007]
     assert not (tmp_path / "fact" / "payment_date=2025-12-01").exists()
     expected = {r.payment_id: r.amount_usd for r in facts.incremental_fact(
-        facts.fct_payments_usd(payments, rates), late.where("payment_id <> 1007"), restated).collect()}
+        facts.fct_payments_usd(payments, rates), late, restated).collect()}
     assert {i: a for i, (a, _) in after.items()} == expected
 
 
+def test_refresh_takes_the_undated_and_the_moved_once(spark, staged, tmp_path):
+    payments, rates, _ = staged
+    path, date = str(tmp_path / "fact"), F.col("payment_date")
+
+    def dated(changes, gone=()):
+        value = date
+        for payment_id, to in changes.items():
+            value = F.when(F.col("payment_id") == payment_id, F.lit(to).cast("date")).otherwise(value)
+        return payments.where(~F.col("payment_id").isin(*gone)).withColumn("payment_date", value)
+
+    newest = payments.agg(F.max("payment_date")).first()[0]
+    some = [r.payment_id for r in payments.where(date == newest).select("payment_id").collect()]
+    facts.build_fact(path, dated({1001: None, 1002: None}), rates)
+    steps = [
+        dated({1001: newest, 1002: None}),  # one repaired into the window
+        dated({1001: newest, 1002: "2025-11-05"}),  # the other before it
+        dated({1001: None, 1002: "2025-11-05", some[0]: "2025-11-06"}),  # lost again; one moved out of the window
+        dated({1001: None, 1002: "2025-11-05", some[0]: "2025-11-06"}, gone=[1001, *some[1:]]),  # deleted at the source
+    ]
+    for wanted in steps:
+        for _ in range(2):
+            facts.refresh_fact(spark, path, wanted, rates)
+            got = sorted((r.payment_id, str(r.payment_date)) for r in spark.read.parquet(path).collect())
+            assert len({i for i, _ in got}) == len(got)
+            now = {r.payment_id: str(r.payment_date) for r in wanted.collect()}
+            assert all(now.get(i) == d for i, d in got if i in (1001, 1002, *some))
+            assert {i for i, _ in got} >= set(now)
+
+
+def test_amounts_too_large_are_unconverted(spark):
+    row = spark.sql("select cast('9999999999.99' as decimal(12,2)) a, cast('0.00000001' as decimal(18,8)) r")
+    got = row.select(money.to_usd_half_up(F.col("a"), F.col("r")), money.to_base_half_even(F.col("a"), F.col("r"))).first()
+    assert got == (None, None)
+
+
 def test_refresh_ignores_what_is_older_than_the_window(spark, staged):
     payments, rates, _ = staged
     loaded = facts.fct_payments_usd(payments, rates)
@@ -228,9 +264,18 @@ def test_revenue_report(revenue):
     assert reports.merchant_revenue(revenue, 1, FIRST, FIRST).days.count() == 2
 
 
+def test_all_days_unless_a_page_is_asked_for(spark, revenue):
+    year = [(FIRST + dt.timedelta(d), 1, c, 1, None, None, 1) for d in range(366) for c in ("CHF", "EUR", "GBP", "SEK")]
+    many = spark.createDataFrame(year, revenue.schema)
+    whole = reports.merchant_revenue(many, 1, FIRST, FIRST + dt.timedelta(365))
+    assert whole.days.count() == 1464 and not whole.truncated
+    page = reports.merchant_revenue(many, 1, FIRST, FIRST + dt.timedelta(365), limit=10)
+    assert page.days.count() == 10 and page.total_days == 1464 and page.truncated
+
+
 def test_totals_cover_the_range_whatever_the_limit(revenue):
     report = reports.merchant_revenue(revenue, 1, FIRST, SECOND, limit=1)
-    assert report.days.count() == 1
+    assert report.days.count() == 1 and report.truncated
     assert {r.currency: r.amount for r in report.totals.collect()} == {"EUR": "1234567.99", "USD": "500.00"}
 
 
@@ -239,7 +284,7 @@ def test_revenue_arguments(revenue):
         dict(start_date=SECOND, end_date=FIRST),
         dict(end_date=FIRST + dt.timedelta(367)),
         dict(limit=0),
-        dict(limit=10_001),
+        dict(limit=1.5),
         dict(limit=True),
         dict(merchant_id="1 OR 1=1; DROP TABLE x--"),
         dict(start_date="yesterday"),
@@ -258,7 +303,7 @@ def test_report_pushes_its_filters_to_the_scan(spark, revenue, tmp_path):
     replace_table(revenue, path)
     plan = reports.merchant_revenue(spark.read.parquet(path), 1, FIRST, SECOND).days._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(merchant_id,1)" in plan and "GreaterThanOrEqual(revenue_date,2026-01-01)" in plan
-    assert "TakeOrderedAndProject" in plan
+    assert "TakeOrderedAndProject" not in plan  # nothing is cut off
 
 
 def test_method_mix_report(spark):
