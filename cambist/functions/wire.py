@@ -32,7 +32,9 @@ def wire_type(column: T.StructField) -> T.DataType:
 
 
 def integer(text: Column) -> Column:
-    return text.try_cast("bigint")
+    """A whole number, also one written with a fraction of zeros; a true fraction is NULL."""
+    whole = F.regexp_extract(text, r"^([+-]?[0-9]+)\.0+$", 1)
+    return F.coalesce(text.try_cast("bigint"), whole.try_cast("bigint"))
 
 
 def log_position(text: Column) -> Column:

@@ -12,7 +12,6 @@ from ..schemas import REPORTING_CURRENCY
 
 # Rows of (currency, day) that may be broadcast: about 180 currencies over 30 years.
 BROADCAST_ROWS = 2_000_000
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -94,17 +93,21 @@ def asof_rate(
     as_of: str = "payment_date",
     base: str = REPORTING_CURRENCY,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
+    span: FeedSpan | None = None,
 ) -> DataFrame:
     """Add ``rate`` and ``published_on``: the last rate on or before ``as_of``.
 
     The base currency gets rate 1; no earlier rate gives NULL. The rates are
     broadcast only if their calendar is counted to be small, so ``facts`` is not
     shuffled. Beyond that both sides are hashed on (currency, day, salt): the
-    salt splits a currency-day that holds a large part of all facts.
+    salt splits a currency-day that holds a large part of all facts. After the feed
+    has stopped that is every later payment of a currency, so there are as many salts
+    as shuffle partitions, which follow the size of the facts. ``span`` spares the job
+    that counts the rates, where the caller knows it.
     """
     usable = usable_rates(rates, base)
-    span = feed_span(usable)
+    span = span or feed_span(usable)
     feed_end = F.lit(span.last_day).cast("date")
     days = effective_days(published_rates(usable), feed_end).select(
         F.col("currency").alias("_code"), F.col("rate_day").alias("_day"), "published_on", "rate"
@@ -118,8 +121,10 @@ def asof_rate(
         joined = keyed.join(F.broadcast(days), ["_code", "_day"], "left")
     else:
         # A NULL code never matches; the salt also spreads those rows.
+        salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
         days = days.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = keyed.join(days, ["_code", "_day", "_salt"], "left").drop("_salt")
+        # The hint keeps a small calendar from being broadcast after all.
+        joined = keyed.join(days.hint("shuffle_hash"), ["_code", "_day", "_salt"], "left").drop("_salt")
     one = F.when(code == base.upper(), F.lit(1).cast("decimal(18,8)"))
     return joined.withColumn("rate", F.coalesce(one, F.col("rate"))).drop("_code", "_day")

@@ -91,6 +91,7 @@ def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str
     is_envelope = (
         F.col("_doc.unfit").isNull()
         & ends_in_brace
+        & _one_document(F.col("value"))
         & (F.col("_doc.payload").isNotNull() | ~F.coalesce(hidden, F.lit(False)))
     )
     wrapped = F.col("_doc.payload").isNotNull()
@@ -114,6 +115,16 @@ def opened_envelopes(bronze: DataFrame, table: CapturedTable, value_column: str
     return opened.select(*carried, "value", F.inline(F.array(parts)))
 
 
+def _one_document(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing more.
+
+    The parser stops where the first value ends. As a member of an object, a text
+    that ends early takes the member after it along, or breaks the object.
+    """
+    keys = F.json_object_keys(F.concat(F.lit('{"document":'), text, F.lit(',"~end~":0}')))
+    return F.coalesce(F.try_element_at(keys, F.lit(2)) == "~end~", F.lit(False))
+
+
 def _image_column(column: T.StructField, decimal_mode: str) -> Column:
     name = column.name
     if isinstance(column.dataType, T.DecimalType):

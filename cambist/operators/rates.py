@@ -20,7 +20,9 @@ _DOCUMENT = "base string, date string, rates map<string,string>"
 def parse_rate_documents(documents: DataFrame, value_column: str = "value") -> DataFrame:
     """One row per usable rate; a bad date, or a null, unreadable or non-positive rate gives none.
 
-    Rates are read as text, so the digits of the document are what is stored.
+    Rates are read as text. ``rate_text`` has the digits of the document, which are
+    what is landed; ``rate`` is the same in the rates' column type. A positive rate
+    too small for that type is kept, as 0.
     """
     doc = documents.select(F.from_json(value_column, _DOCUMENT).alias("doc"))
     base = F.coalesce(F.when(F.col("doc.base") != "", F.col("doc.base")), F.lit(REPORTING_CURRENCY))
@@ -29,12 +31,16 @@ def parse_rate_documents(documents: DataFrame, value_column: str = "value") -> D
         F.upper(base).alias("base_currency"),
         F.explode("doc.rates").alias("currency", "rate_text"),
     )
-    return exploded.select(
+    typed = exploded.select(
         "rate_date",
         "base_currency",
         F.upper("currency").alias("currency"),
         F.col("rate_text").try_cast("decimal(18,8)").alias("rate"),
-    ).where(F.col("rate_date").isNotNull() & (F.col("rate") > 0))
+        "rate_text",
+    )
+    # Some digit of the number itself is not 0, and it has no minus.
+    positive = F.col("rate_text").rlike("^[ +]*[0-9.]*[1-9]")
+    return typed.where(F.col("rate_date").isNotNull() & F.col("rate").isNotNull() & positive)
 
 
 def rates_in_range(
@@ -47,13 +53,9 @@ def rates_in_range(
 
 
 def landing_rows(rates: DataFrame) -> DataFrame:
-    """Rates as they are landed: all text."""
-    return rates.select(
-        F.col("rate_date").cast("string").alias("rate_date"),
-        "base_currency",
-        "currency",
-        plain_decimal_string(F.col("rate")).alias("rate"),
-    )
+    """Rates as they are landed: all text, the document's own digits where they are known."""
+    own = F.col("rate_text") if "rate_text" in rates.columns else plain_decimal_string(F.col("rate"))
+    return rates.select(F.col("rate_date").cast("string").alias("rate_date"), "base_currency", "currency", own.alias("rate"))
 
 
 def newest_rates(raw: DataFrame) -> DataFrame:
@@ -77,21 +79,20 @@ def rates_daily(
 ) -> DataFrame:
     """The rate in force for every traded currency on every date that occurs.
 
-    Dates come from the data, not from a calendar. They are gathered into one
-    array (at most one entry per calendar day) and exploded per currency, so
-    the grid needs no cross join. ``rates`` has one row per currency and day.
+    Dates come from the data, not from a calendar. They are gathered into arrays
+    (at most one entry per calendar day, or currency) and exploded, so the grid
+    needs no cross join and payments are read once. ``rates`` has one row per currency and day.
     """
-    spine = (
-        payments.select(F.col("payment_date").alias("calendar_date"))
-        .union(rates.select(F.col("rate_date").alias("calendar_date")))
-        .distinct()
+    # One pass over the payments: their dates and currencies, a row of two sets.
+    traded = payments.agg(
+        F.collect_set("payment_date").alias("dates"),
+        F.collect_set(F.when(F.col("currency") != reporting_currency, F.col("currency"))).alias("currencies"),
     )
-    all_dates = spine.agg(F.collect_set("calendar_date")).scalar()
+    fed = rates.agg(F.collect_set("rate_date").alias("fed"))
     grid = (
-        payments.select("currency")
-        .where(F.col("currency") != reporting_currency)
-        .distinct()
-        .select("currency", F.explode(all_dates).alias("calendar_date"))
+        traded.withColumn("fed", fed.scalar())
+        .select(F.explode("currencies").alias("currency"), F.array_union("dates", "fed").alias("days"))
+        .select("currency", F.explode("days").alias("calendar_date"))
     )
     published = rates.where(F.col("base_currency") == reporting_currency).select(
         F.col("rate_date").alias("calendar_date"), "currency", F.col("rate").alias("published_rate")

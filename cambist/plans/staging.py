@@ -30,7 +30,7 @@ def stg_payments(raw: DataFrame) -> DataFrame:
 
 
 def stg_fx_rates(raw: DataFrame) -> DataFrame:
-    """Rates as units per base unit. A rate of zero or below is bad data, not a cheap currency."""
+    """Rates as units per base unit; only positive ones are rates."""
     return raw.select(
         F.col("rate_date").cast("date").alias("rate_date"),
         _code("base_currency"),

@@ -210,3 +210,16 @@ def test_decode_is_narrow_and_without_python(spark):
     plan = decoded_changes(bronze(spark, [message()])).where("decode_ok")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
     assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("tail", ["{0}", " garbage }}", "}}", "]}}", ",{0}", "]}},{{}}", "\n{0}", ' "}}'])
+def test_more_than_one_document_is_quarantined(spark, tail):
+    good = message()
+    rows = decoded_changes(bronze(spark, [good + tail.format(good), good + " \n", " " + good])).orderBy("offset").collect()
+    assert [(r.decode_ok, r.reason) for r in rows] == [(False, "not_an_envelope"), (True, None), (True, None)]
+
+
+def test_whole_keys_with_a_fraction_of_zeros(spark):
+    texts = [message().replace('"payment_id": 1001', f'"payment_id": {key}') for key in ("1001.0", "1001.00", "1001.5", '"1001.0"')]
+    rows = decoded_changes(bronze(spark, texts)).orderBy("offset").collect()
+    assert [r.payment_id for r in rows] == [1001, 1001, None, 1001]

@@ -106,7 +106,7 @@ def test_rows_are_kept_apart_and_tombstones_left_out(spark):
 def test_any_split_order_and_repetition_gives_the_same_state(spark, tmp_path):
     event = st.tuples(st.integers(1, 4), st.sampled_from("curd"), st.integers(1, 8))
 
-    @settings(max_examples=3, deadline=None)
+    @settings(max_examples=15, deadline=None)
     @given(st.lists(event, min_size=1, max_size=20), st.randoms(use_true_random=False))
     def check(events, random):
         texts = [message(op, lsn, payment_id=key, status=f"{op}{lsn}") for key, op, lsn in dict.fromkeys(events)]
