@@ -2,21 +2,26 @@
 
     python -m cambist.jobs bronze --root s3a://bucket/lake --brokers kafka:9092
     python -m cambist.jobs silver --root ...
-    python -m cambist.jobs compact | gold | land-rates | load-rates | facts --root ...
+    python -m cambist.jobs compact | publish | rebuild | dimensions | gold --root ...
+    python -m cambist.jobs land-rates | load-rates | facts | checks --root ...
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .operators.collapse import current_rows
+from .operators.decode import decoded_changes
 from .operators.rates import newest_rates, parse_rate_documents
-from .plans import facts, gold, staging
-from .schemas import CAPTURED_TABLES, PAYMENTS, CapturedTable
+from .plans import facts, gold, quality, staging
+from .schemas import BRONZE, CAPTURED_TABLES, PAYMENTS, RAW_MERCHANTS, CapturedTable
 from .session import build_session
 from .sources import fx_files
-from .sources.change_log import FileLogSource, KafkaSource, bronze_stream
+from .sources.change_log import BATCH_OFFSETS, FileLogSource, KafkaSource, bronze_stream, offset_gaps
 from .sources.layers import Lakehouse, replace_table
 from .sources.silver_store import SilverStore
 from .streaming.bronze import run_bronze
@@ -27,8 +32,8 @@ def bronze_name(table: CapturedTable) -> str:
     return f"{table.name}_cdc_raw"
 
 
-def silver_store(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS, buckets: int = 8) -> SilverStore:
-    return SilverStore(spark, lake.path("silver", table.name), table, buckets)
+def silver_store(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS) -> SilverStore:
+    return SilverStore(spark, lake.path("silver", f"{table.name}_changes"), table)
 
 
 def ingest(spark: SparkSession, lake: Lakehouse, source: KafkaSource | FileLogSource, table: CapturedTable = PAYMENTS):
@@ -36,18 +41,55 @@ def ingest(spark: SparkSession, lake: Lakehouse, source: KafkaSource | FileLogSo
     run_bronze(source.stream(spark, table.topic), lake.path("bronze", name), lake.checkpoint(name))
 
 
-def apply_changes(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS, buckets: int = 8, on_batch=None):
-    """For a replay after a decoder change give the store and its checkpoint a new place; bronze stays."""
-    bronze = bronze_stream(spark, lake.path("bronze", bronze_name(table)))
-    run_silver(bronze, silver_store(spark, lake, table, buckets), lake.checkpoint(f"silver_{table.name}"), on_batch)
+def apply_changes(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS, on_batch=None, files: int = 1_000):
+    """``files``: bronze files in one batch."""
+    bronze = bronze_stream(spark, lake.path("bronze", bronze_name(table)), files)
+    run_silver(bronze, silver_store(spark, lake, table), lake.checkpoint(f"silver_{table.name}"), on_batch)
+
+
+def publish(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS):
+    """The current rows as a table by creation day; marts read it."""
+    silver_store(spark, lake, table).publish(lake.path("silver", table.name))
+
+
+def rebuild(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS):
+    """The published table again from all of bronze, as after a change of the decoder; the change log is not read."""
+    decoded = decoded_changes(lake.read(spark, "bronze", bronze_name(table), BRONZE), table)
+    rows = current_rows(decoded, table).withColumn("created_date", F.to_date("created_at"))
+    replace_table(rows, lake.path("silver", table.name), "created_date")
+
+
+def published(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS) -> DataFrame:
+    """Current rows by creation day, as last published."""
+    return lake.read(spark, "silver", table.name)
 
 
 def rebuild_marts(spark: SparkSession, lake: Lakehouse):
-    gold.rebuild_gold(silver_store(spark, lake).current(), lake)
+    gold.rebuild_gold(published(spark, lake), lake)
+
+
+def build_dimensions(spark: SparkSession, lake: Lakehouse, seed: str):
+    merchants = staging.stg_merchants(fx_files.read_seed(spark, seed, RAW_MERCHANTS))
+    replace_table(staging.dim_merchants(merchants), lake.path("marts", "dim_merchants"))
 
 
-def land_rates(spark: SparkSession, lake: Lakehouse, documents: str):
-    fx_files.land_rates(parse_rate_documents(fx_files.read_rate_documents(spark, documents)), lake.path("raw", "fx_landing"))
+def land_rates(
+    spark: SparkSession,
+    lake: Lakehouse,
+    documents: str,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    currencies: list[str] | None = None,
+):
+    """Rates of the documents, of the days and currencies asked for; of all where nothing is."""
+    found = parse_rate_documents(fx_files.read_rate_documents(spark, documents))
+    for wanted in (
+        F.col("rate_date") >= F.lit(start) if start else None,
+        F.col("rate_date") <= F.lit(end) if end else None,
+        F.col("currency").isin([c.upper() for c in currencies]) if currencies else None,
+    ):
+        found = found if wanted is None else found.where(wanted)
+    fx_files.land_rates(found, lake.path("raw", "fx_landing"))
 
 
 def load_rates(spark: SparkSession, lake: Lakehouse):
@@ -72,34 +114,73 @@ def build_warehouse(spark: SparkSession, lake: Lakehouse, payments: DataFrame, r
     replace_table(daily, lake.path("marts", "fct_daily_revenue_usd"))
 
 
+def check(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    """Violations of every written model, and what to watch: each model is read from where it was written."""
+    payments = staging.stg_payments(published(spark, lake))
+    fact = spark.read.parquet(lake.path("marts", "fct_payments_usd"))
+    models = {
+        "stg_payments": payments,
+        "stg_fx_rates": staged_rates(spark, lake),
+        "fct_payments_usd": fact,
+        "fct_daily_revenue_usd": spark.read.parquet(lake.path("marts", "fct_daily_revenue_usd")),
+    }
+    found = quality.check_all(models).select(
+        F.concat_ws(".", "model", "check_name").alias("metric"), F.col("violations").alias("value"), (F.col("violations") == 0).alias("healthy")
+    )
+    unconverted = facts.unconverted_by_currency(fact).select(
+        F.concat(F.lit("unconverted."), "currency").alias("metric"), F.col("payment_count").alias("value"), F.lit(False).alias("healthy")
+    )
+    gaps = offset_gaps(lake.read(spark, "bronze", bronze_name(PAYMENTS), BRONZE)).select(
+        F.concat_ws(".", F.lit("missing_offsets"), "topic", F.col("partition").cast("string")).alias("metric"),
+        F.col("missing_offsets").alias("value"), (F.col("missing_offsets") == 0).alias("healthy"),
+    )
+    return found.unionByName(unconverted).unionByName(gaps)
+
+
+JOBS = ("bronze", "silver", "compact", "publish", "rebuild", "dimensions", "gold", "land-rates", "load-rates", "facts", "checks")
+
+
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="cambist.jobs")
-    parser.add_argument("job", choices=("bronze", "silver", "compact", "gold", "land-rates", "load-rates", "facts"))
+    parser.add_argument("job", choices=JOBS)
     parser.add_argument("--root", required=True)
     parser.add_argument("--table", choices=sorted(CAPTURED_TABLES), default="payments")
-    parser.add_argument("--buckets", type=int, default=8, help="buckets of the compacted base")
+    parser.add_argument("--shuffle-partitions", type=int, help="total shuffle bytes / 128 MB; Spark's own otherwise")
     parser.add_argument("--brokers", help="message log to read (bronze)")
+    parser.add_argument("--batch-offsets", type=int, default=BATCH_OFFSETS, help="offsets of a batch (bronze)")
     parser.add_argument("--log-files", help="folder of log records to read instead (bronze)")
+    parser.add_argument("--batch-files", type=int, default=1_000, help="files of a batch (bronze from files, silver)")
     parser.add_argument("--documents", help="folder of rate documents (land-rates)")
+    parser.add_argument("--start", type=dt.date.fromisoformat, help="first day (land-rates)")
+    parser.add_argument("--end", type=dt.date.fromisoformat, help="last day (land-rates)")
+    parser.add_argument("--currencies", nargs="*", help="only these (land-rates)")
+    parser.add_argument("--seed", help="CSV extract of merchants (dimensions)")
     parser.add_argument("--refresh", action="store_true", help="only the trailing window (facts)")
     args = parser.parse_args(argv)
-    spark, lake, table = build_session(f"cambist-{args.job}"), Lakehouse(args.root), CAPTURED_TABLES[args.table]
+    spark = build_session(f"cambist-{args.job}", shuffle_partitions=args.shuffle_partitions)
+    lake, table = Lakehouse(args.root), CAPTURED_TABLES[args.table]
     if args.job == "bronze":
-        source = KafkaSource(args.brokers) if args.brokers else FileLogSource(args.log_files)
-        ingest(spark, lake, source, table)
+        from_files = FileLogSource(args.log_files, args.batch_files)
+        ingest(spark, lake, KafkaSource(args.brokers, batch_offsets=args.batch_offsets) if args.brokers else from_files, table)
     elif args.job == "silver":
-        apply_changes(spark, lake, table, args.buckets, on_batch=print)
+        apply_changes(spark, lake, table, print, args.batch_files)
+        publish(spark, lake, table)
     elif args.job == "compact":
-        silver_store(spark, lake, table, args.buckets).compact()
+        silver_store(spark, lake, table).compact()
+    elif args.job in ("publish", "rebuild"):
+        {"publish": publish, "rebuild": rebuild}[args.job](spark, lake, table)
+    elif args.job == "dimensions":
+        build_dimensions(spark, lake, args.seed)
     elif args.job == "gold":
         rebuild_marts(spark, lake)
     elif args.job == "land-rates":
-        land_rates(spark, lake, args.documents)
+        land_rates(spark, lake, args.documents, args.start, args.end, args.currencies)
     elif args.job == "load-rates":
         load_rates(spark, lake)
+    elif args.job == "facts":
+        build_warehouse(spark, lake, staging.stg_payments(published(spark, lake)), args.refresh)
     else:
-        payments = staging.stg_payments(silver_store(spark, lake, PAYMENTS, args.buckets).current())
-        build_warehouse(spark, lake, payments, args.refresh)
+        check(spark, lake).orderBy("healthy", "metric").show(1_000, truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,14 +5,17 @@ and the batch, so a retried batch rewrites its own folder. Readers take the
 newest change per key over all of them. Being a maximum over a total order, the
 result does not depend on how events were split, ordered or repeated.
 
-``compact`` writes the fold as a Parquet table bucketed by key. Reads then meet
-only the changes made since, and these alone are shuffled: they are hashed into
-the same buckets, so the base, which grows with the data, stays in place.
+So folding needs no record of what was folded: ``compact`` writes the newest
+change per key of all complete batches as one more folder and then removes theirs.
+Between the two a key's change is there twice, which changes nothing.
+
+``publish`` writes the state as a plain table by creation day, which is what marts
+read, pruned to the days they need.
 """
 
 from __future__ import annotations
 
-import zlib
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +24,10 @@ from pyspark.sql import types as T
 
 from ..operators.collapse import live_rows, newest_per_key
 from ..schemas import BIGINT, INT, PAYMENTS, STRING, TIMESTAMP, CapturedTable, columns
-from .layers import replace_table
+from .layers import remove_folder, replace_table
 
+FOLDED = "folded"
 _BATCH_COLUMNS = columns(query_id=STRING, batch_id=BIGINT)
-_FOLDED = columns(query_id=STRING, last_batch_id=BIGINT, buckets=INT, version=BIGINT)
 _QUARANTINE = columns(
     value=STRING, topic=STRING, partition=INT, offset=BIGINT, kafka_timestamp=TIMESTAMP,
     reason=STRING, ingested_at=TIMESTAMP
@@ -36,7 +39,6 @@ class SilverStore:
     spark: SparkSession
     root: str
     table: CapturedTable = PAYMENTS
-    buckets: int = 8
 
     # -- layout ---------------------------------------------------------
     def changes_path(self) -> str:
@@ -45,12 +47,6 @@ class SilverStore:
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
 
-    def base_path(self, version: int) -> str:
-        return f"{self.root}/base/v{version}"
-
-    def folded_path(self) -> str:
-        return f"{self.root}/folded"
-
     @staticmethod
     def batch_folder(parent: str, query_id: str, batch_id: int) -> str:
         return f"{parent}/query_id={query_id}/batch_id={batch_id}"
@@ -63,9 +59,6 @@ class SilverStore:
         ):
             empty = self.spark.createDataFrame([], schema)
             empty.write.mode("ignore").parquet(self.batch_folder(path, "created", 0))
-        folded = T.StructType([f for f in _FOLDED.fields if f.name != "version"])
-        first = self.spark.createDataFrame([("created", 0, self.buckets)], folded)
-        first.write.mode("ignore").parquet(f"{self.folded_path()}/version=0")
         return self
 
     # -- writing --------------------------------------------------------
@@ -97,83 +90,40 @@ class SilverStore:
 
     def state(self) -> DataFrame:
         """The newest change per key, delete marks included."""
-        version, folded, buckets = self._published()
-        names, keys = self.table.state_schema.names, self.table.key
-        pending = self.changes()
-        if folded:
-            done = F.lit(False)
-            for query_id, last_batch in folded:
-                done = done | ((F.col("query_id") == query_id) & (F.col("batch_id") <= last_batch))
-            pending = pending.where(~done)
-        pending = pending.select(*names)
-        if version == 0:
-            return newest_per_key(pending, keys)
-        pending = pending.repartition(buckets, *keys)
-        return newest_per_key(self._base(version, buckets).unionByName(pending), keys)
+        return newest_per_key(self.changes().select(*self.table.state_schema.names), self.table.key)
 
     def current(self) -> DataFrame:
         return live_rows(self.state(), self.table)
 
-    # -- compaction -----------------------------------------------------
+    # -- upkeep ---------------------------------------------------------
+    def batches(self) -> set[tuple[str, int]]:
+        """(query, batch) of every folder of changes, from names alone: as many as since the last compaction."""
+        found = (re.search(r"query_id=([^/]+)/batch_id=([0-9]+)/", f) for f in self.changes().inputFiles())
+        return {(m[1], int(m[2])) for m in found if m}
+
     def compact(self) -> int:
-        """Fold what is written into a new base version and publish it.
+        """Fold the complete batches into one folder and remove theirs; returns how many they were.
 
-        The newest batch of each query is read but stays pending, as it may
-        still be being written; the one before it is complete. The record of
-        what was folded is written last and names the version, so a job that
-        dies in between leaves the previous version in force. One compaction
-        at a time.
+        The newest batch of each query stays, as it may still be being written; the
+        one before it is complete. One compaction at a time, and not while another
+        job reads the folders it removes.
         """
-        version, folded, _ = self._published()
-        upto = dict(folded)
-        newest = self.changes().groupBy("query_id").agg(F.max("batch_id").alias("newest"))
-        for row in newest.collect():
-            upto[row["query_id"]] = max(row["newest"] - 1, upto.get(row["query_id"], -1))
-
-        new = version + 1
-        keys = self.table.key
-        (
-            self.state()
-            .repartition(self.buckets, *keys)
-            .write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(self.buckets, *keys)
-            .sortBy(*keys)
-            .option("path", self.base_path(new))
-            .saveAsTable(self._base_table(new))
-        )
-        rows = [(query_id, last, self.buckets) for query_id, last in upto.items()]
-        published = T.StructType([f for f in _FOLDED.fields if f.name != "version"])
-        (
-            self.spark.createDataFrame(rows, published)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self.folded_path()}/version={new}")
-        )
-        return new
+        found = self.batches()
+        newest = {query: max(b for q, b in found if q == query) for query in {q for q, _ in found} - {FOLDED}}
+        complete = {(q, b) for q, b in found if q == FOLDED or b < newest[q]}
+        if len(complete) < 2:
+            return 0
+        name = F.struct(F.col("query_id").alias("q"), F.col("batch_id").alias("b"))
+        staying = F.lit(False)
+        for query, batch in sorted(newest.items()):
+            staying = staying | (name == F.struct(F.lit(query).alias("q"), F.lit(batch).cast("bigint").alias("b")))
+        folded = self.changes().where(~staying).select(*self.table.state_schema.names)
+        number = 1 + max((b for q, b in complete if q == FOLDED), default=0)
+        newest_per_key(folded, self.table.key).write.mode("overwrite").parquet(self.batch_folder(self.changes_path(), FOLDED, number))
+        for query, batch in sorted(complete):
+            remove_folder(self.batch_folder(self.changes_path(), query, batch))
+        return len(complete)
 
     def publish(self, path: str) -> None:
         """The state as a plain table partitioned by creation day, for pruned reads."""
         replace_table(self.current().withColumn("created_date", F.to_date("created_at")), path, "created_date")
-
-    def _published(self) -> tuple[int, list[tuple[str, int]], int]:
-        """Version in force and what it holds: one row per checkpoint ever used."""
-        folded = self.spark.read.schema(_FOLDED).parquet(self.folded_path())
-        rows = folded.join(folded.agg(F.max("version").alias("version")), "version").collect()
-        version = rows[0]["version"]
-        return version, [(r["query_id"], r["last_batch_id"]) for r in rows if version], rows[0]["buckets"]
-
-    def _base_table(self, version: int) -> str:
-        return f"{self.table.name}_base_{zlib.crc32(self.root.encode()):08x}_v{version}"
-
-    def _base(self, version: int, buckets: int) -> DataFrame:
-        """The base as a bucketed table; a new session's catalog learns of it here."""
-        name = self._base_table(version)
-        keys = ", ".join(self.table.key)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.table.state_schema.fields)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET"
-            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
-            f" LOCATION '{self.base_path(version)}'"
-        )
-        return self.spark.table(name).select(*self.table.state_schema.names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from test_merge import log_records
 from cambist import jobs
 from cambist.plans import staging
 from cambist.schemas import MERCHANTS, PAYMENTS
-from cambist.sources.change_log import FileLogSource
+from cambist.sources.change_log import FileLogSource, offset_gaps
 from cambist.sources.layers import Lakehouse
 
 
@@ -24,8 +25,9 @@ def test_from_log_to_marts(spark, tmp_path):
     def run():
         jobs.ingest(spark, lake, FileLogSource(log))
         jobs.apply_changes(spark, lake)
+        jobs.publish(spark, lake)
         jobs.rebuild_marts(spark, lake)
-        payments = staging.stg_payments(jobs.silver_store(spark, lake).current())
+        payments = staging.stg_payments(jobs.published(spark, lake))
         jobs.build_warehouse(spark, lake, payments, refresh=(tmp_path / "lake" / "marts").exists())
         return {n: lake.read(spark, "marts", n).collect() for n in ("fct_payments_usd", "fct_daily_revenue_usd")}
 
@@ -47,5 +49,40 @@ def test_from_log_to_marts(spark, tmp_path):
     assert lake.read(spark, "gold", "daily_merchant_revenue").first().gross_amount == Decimal("149.99")
 
 
+    compacted = [r.payment_status for r in jobs.published(spark, lake).orderBy("payment_id").collect()]
+    jobs.silver_store(spark, lake).compact()
+    jobs.publish(spark, lake)
+    assert [r.payment_status for r in jobs.published(spark, lake).orderBy("payment_id").collect()] == compacted
+    jobs.rebuild(spark, lake)
+    assert [r.payment_status for r in jobs.published(spark, lake).orderBy("payment_id").collect()] == compacted
+    found = {r.metric: (r.value, r.healthy) for r in jobs.check(spark, lake).collect()}
+    assert found["fct_payments_usd.unique_payment_id"] == (0, True)
+    assert found[f"missing_offsets.{PAYMENTS.topic}.0"] == (0, True)
+
+
+def test_land_rates_of_a_range(spark, tmp_path):
+    lake, docs = Lakehouse(str(tmp_path / "lake")), tmp_path / "docs"
+    docs.mkdir()
+    for day in range(1, 6):
+        (docs / f"{day}.json").write_text(json.dumps({"base": "USD", "date": f"2026-01-0{day}", "rates": {"EUR": "0.9", "GBP": 4e-9}}))
+    jobs.land_rates(spark, lake, str(docs), dt.date(2026, 1, 2), dt.date(2026, 1, 3), ["gbp"])
+    landed = spark.read.json(lake.path("raw", "fx_landing")).collect()
+    assert sorted((r.rate_date, r.currency) for r in landed) == [("2026-01-02", "GBP"), ("2026-01-03", "GBP")]
+    assert {float(r.rate) for r in landed} == {4e-9}
+
+
+def test_dimensions(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("merchant_id,merchant_name,country_code,category\n1, Shop ,nl,books\n")
+    lake = Lakehouse(str(tmp_path / "lake"))
+    jobs.build_dimensions(spark, lake, str(tmp_path / "m.csv"))
+    assert lake.read(spark, "marts", "dim_merchants").first().merchant_name == "Shop"
+
+
+def test_offset_gaps(spark):
+    rows = [("t", 0, o) for o in (3, 4, 4, 7)] + [("t", 1, 0)]
+    gaps = offset_gaps(spark.createDataFrame(rows, "topic string, partition int, offset long")).orderBy("partition").collect()
+    assert [(r.missing_offsets, r.repeated_records) for r in gaps] == [(2, 1), (0, 0)]
+
+
 def test_names():
     assert jobs.bronze_name(PAYMENTS) == "payments_cdc_raw" and MERCHANTS.topic == "cdc.public.merchants"

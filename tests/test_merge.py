@@ -47,8 +47,8 @@ def expected(status):
     return {} if status is None else {1001: status}
 
 
-def new_store(spark, tmp_path, **options):
-    return SilverStore(spark, str(tmp_path / uuid.uuid4().hex), **options).create()
+def new_store(spark, tmp_path):
+    return SilverStore(spark, str(tmp_path / uuid.uuid4().hex)).create()
 
 
 @pytest.mark.parametrize("name", SCENARIOS)
@@ -136,38 +136,41 @@ def test_retried_batch_does_not_duplicate(spark, tmp_path):
     assert metrics == {"batch_id": 1, "messages": 3, "decoded": 1, "quarantined": 1, "tombstones": 1}
 
 
-def test_compaction_drops_no_late_batch_and_survives_versions(spark, tmp_path):
-    store = new_store(spark, tmp_path, buckets=4)
+def test_compaction_drops_no_late_batch_and_no_delete(spark, tmp_path):
+    store = new_store(spark, tmp_path)
     apply_batch(store, bronze(spark, [message(payment_id=i) for i in range(50)]), "a", 0)
     apply_batch(store, bronze(spark, [message("u", 200, payment_id=7, status="refunded")]), "a", 1)
-    assert store.compact() == 1
     apply_batch(store, bronze(spark, [message("d", 300, payment_id=8)]), "b", 0)
-    assert store.compact() == 2
-    apply_batch(store, bronze(spark, [message("u", 50, payment_id=8)]), "b", 1)
+    store.compact()
+    apply_batch(store, bronze(spark, [message("u", 60, payment_id=9)]), "b", 1)
+    store.compact()
+    apply_batch(store, bronze(spark, [message("u", 50, payment_id=8)]), "b", 2)
     got = statuses(store.current())
     assert len(got) == 49 and got[7] == "refunded" and 8 not in got
 
 
-def test_interrupted_compaction_leaves_the_old_version_in_force(spark, tmp_path):
+def test_compaction_removes_what_it_folded(spark, tmp_path):
     store = new_store(spark, tmp_path)
-    apply_batch(store, bronze(spark, [message()]), "q", 0)
+    for batch in range(5):
+        apply_batch(store, bronze(spark, [message(payment_id=batch)]), "q", batch)
+    assert store.compact() == 4 and len(store.batches()) <= 3
+    assert ("q", 4) in store.batches() and ("q", 3) not in store.batches()
+    assert store.compact() == 0
+    apply_batch(store, bronze(spark, [message("u", 500, payment_id=0, status="refunded")]), "q", 5)
     store.compact()
-    # A base without its record: the job died before publishing.
-    store.state().limit(0).write.parquet(store.base_path(2))
-    assert statuses(store.current()) == {1001: "authorized"}
-    assert store.compact() == 2
-    assert statuses(store.current()) == {1001: "authorized"}
+    assert {q for q, _ in store.batches()} == {"folded", "q", "created"} - ({"created"} - {q for q, _ in store.batches()})
+    assert statuses(store.current()) == {0: "refunded", **{i: "authorized" for i in range(1, 5)}}
 
 
-def test_base_is_not_shuffled_on_read(spark, tmp_path):
-    store = new_store(spark, tmp_path, buckets=6)
-    apply_batch(store, bronze(spark, [message(payment_id=i) for i in range(20)]), "q", 0)
-    apply_batch(store, bronze(spark, [message("u", 200, payment_id=1)]), "q", 1)
+def test_interrupted_compaction_changes_nothing(spark, tmp_path):
+    store = new_store(spark, tmp_path)
+    for batch, status in enumerate(("authorized", "captured", "refunded")):
+        apply_batch(store, bronze(spark, [message("u", 100 + batch, status=status)]), "q", batch)
+    # Folded, and the job died before the folders went.
+    store.state().write.parquet(store.batch_folder(store.changes_path(), "folded", 1))
+    assert statuses(store.current()) == {1001: "refunded"}
     store.compact()
-    plan = store.current()._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange") == 1 and plan.count("REPARTITION_BY_NUM") == 1
-    assert statuses(store.current())[1] == "authorized"
+    assert statuses(store.current()) == {1001: "refunded"}
 
 
 def test_collapse_limits_each_key_before_the_shuffle(spark):
