@@ -186,7 +186,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     position as text · 9 negative log position · 10 no source · 11 amount as
     digits · 12 as whole cents · 13 as a number · 14 null · 15 unreadable
     creation time · 16 update without after image · 17 key as text · 18 empty
-    amount.
+    amount · 19 more text behind the document · 20 two documents · 21 key with a
+    fraction of zeros.
     """
     e, k = event_facts(spark, sf_dir), F.col("k")
     cents, micros = F.col("cents"), F.unix_micros("ts").cast("string")
@@ -202,6 +203,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key_member = (
         F.when(k == 3, F.lit(""))
         .when(k == 17, F.concat(F.lit('"payment_id":'), quoted(key), F.lit(",")))
+        .when(k == 21, F.concat(F.lit('"payment_id":'), key, F.lit(".0,")))
         .otherwise(F.concat(F.lit('"payment_id":'), key, F.lit(",")))
     )
     created = F.when(k == 15, F.lit('"unreadable"')).otherwise(micros)
@@ -241,6 +243,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 1, F.lit("not json at all"))
         .when(k == 4, F.lit("null"))
         .when(k == 5, F.lit("[]"))
+        .when(k == 19, F.concat(envelope, F.lit(" and more }")))
+        .when(k == 20, F.concat(envelope, F.lit("\n"), envelope))
         .otherwise(envelope)
     )
     return e.select(

@@ -82,8 +82,8 @@ ev AS (
 
 _DECODED = """
 read AS (
-  SELECT *, k IN (0, 4) AS is_tombstone, k IN (0, 1, 2, 4, 5, 6) AS no_row, k IN (0, 1, 2, 4, 5) AS no_op,
-         k IN (0, 1, 2, 4, 5, 10) AS no_source FROM ev
+  SELECT *, k IN (0, 4) AS is_tombstone, k IN (0, 1, 2, 4, 5, 6, 19, 20) AS no_row, k IN (0, 1, 2, 4, 5, 19, 20) AS no_op,
+         k IN (0, 1, 2, 4, 5, 10, 19, 20) AS no_source FROM ev
 ),
 decoded AS (
   SELECT 'cdc.public.payments' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
@@ -106,7 +106,8 @@ decoded AS (
          NOT no_op AND k <> 6 AND op = 'd' AS is_deleted,
          is_tombstone,
          NOT no_row AND NOT no_op AND k <> 3 AS decode_ok,
-         CASE k WHEN 1 THEN 'not_an_envelope' WHEN 5 THEN 'not_an_envelope' WHEN 2 THEN 'unknown_operation'
+         CASE k WHEN 1 THEN 'not_an_envelope' WHEN 5 THEN 'not_an_envelope' WHEN 19 THEN 'not_an_envelope'
+                WHEN 20 THEN 'not_an_envelope' WHEN 2 THEN 'unknown_operation'
                 WHEN 6 THEN 'truncate' WHEN 3 THEN 'missing_key' END AS reason,
          ts AS kafka_timestamp
   FROM read
@@ -228,7 +229,8 @@ hurt_once AS (
   FROM fact
 ),
 hurt AS (SELECT * FROM hurt_once UNION ALL SELECT * FROM hurt_once WHERE payment_method = 'google_pay'),
-hurt_feed AS (SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE currency = 'CHF')"""
+hurt_feed AS (SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE currency = 'CHF'),
+hurt_daily AS (SELECT payment_date, merchant_id, count(*) AS payments FROM hurt GROUP BY 1, 2)"""
     rows = [
         *[_count("stg_payments", f"not_null_{c}", f"SELECT count(*) FROM hurt WHERE {c} IS NULL")
           for c in ("payment_id", "amount", "currency", "payment_date")],
@@ -242,21 +244,23 @@ hurt_feed AS (SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE currency =
             _count(m, "not_null_merchant_id", "SELECT count(*) FROM merchants WHERE merchant_id IS NULL"),
             _count(m, "unique_merchant_id",
                    "SELECT count(*) FROM (SELECT 1 FROM merchants GROUP BY merchant_id HAVING count(*) > 1)"))],
-        _count("fx_rates_daily", "carried_forward_implies_a_rate_exists", "SELECT 0"),
+        _count("fx_rates_daily", "carried_forward_implies_a_rate_exists",
+               "SELECT count(*) FROM daily WHERE currency = 'GBP' AND published_rate IS NULL AND effective_rate IS NOT NULL"),
         _count("fct_payments_usd", "not_null_payment_id", "SELECT count(*) FROM hurt WHERE payment_id IS NULL"),
         _count("fct_payments_usd", "accepted_values_payment_status",
                "SELECT count(*) FROM hurt WHERE payment_status = 'held'"),
         _count("fct_payments_usd", "no_negative_converted_amounts",
-               "SELECT count(*) FROM hurt WHERE amount > 0 AND amount_usd < 0"),
+               "SELECT count(*) FROM hurt WHERE amount > 0 AND (CASE WHEN payment_id % 101 = 0 THEN -amount_usd ELSE amount_usd END) < 0"),
         _count("fct_payments_usd", "usd_payments_convert_one_to_one",
-               "SELECT count(*) FROM hurt WHERE currency = 'USD' AND (amount_usd <> amount OR fx_rate <> 1)"),
+               "SELECT count(*) FROM hurt WHERE currency = 'USD' AND (fx_rate <> 1 OR"
+               " (CASE WHEN payment_id % 101 = 0 THEN -amount_usd ELSE amount_usd END) <> amount)"),
         _count("fct_payments_usd", "unique_payment_id",
                "SELECT count(*) FROM (SELECT payment_id FROM hurt GROUP BY 1 HAVING count(*) > 1)"),
-        *[_count("fct_daily_revenue_usd", c, "SELECT 0") for c in (
-            "not_null_revenue_date", "not_null_merchant_id", "not_null_gross_amount_usd",
-            "revenue_never_exceeds_total_payments")],
+        *[_count("fct_daily_revenue_usd", c, f"SELECT count(*) FROM hurt_daily WHERE merchant_id = {m}") for c, m in (
+            ("not_null_revenue_date", 9), ("not_null_merchant_id", 7), ("not_null_gross_amount_usd", 5),
+            ("revenue_never_exceeds_total_payments", 3))],
     ]
-    return _with(PAYMENTS, RATES, _LOOKED_UP, _FACT, _MERCHANTS, damaged) + " " + " UNION ALL ".join(rows)
+    return _with(PAYMENTS, RATES, _LOOKED_UP, _FACT, _MERCHANTS, _DAILY, damaged) + " " + " UNION ALL ".join(rows)
 
 
 _HEALTH = (
@@ -266,7 +270,9 @@ counts AS (
   SELECT 'unconverted' AS metric, (SELECT count(*) FROM fact WHERE is_unconverted) AS value
   UNION ALL SELECT 'carried_forward', (SELECT count(*) FROM fact WHERE fx_rate_carried_forward)
   UNION ALL SELECT 'quarantined', (SELECT count(*) FROM decoded WHERE reason IS NOT NULL)
-  UNION ALL SELECT 'batches_not_reconciled', 0
+  UNION ALL SELECT 'batches_not_reconciled', (
+    SELECT count(*) FROM (SELECT count(*) AS m, count(*) FILTER (decode_ok) AS d, count(*) FILTER (reason IS NOT NULL) AS q,
+                                 count(*) FILTER (is_tombstone) AS t FROM decoded GROUP BY topic) WHERE m <> d + q + t)
   UNION ALL SELECT 'longest_rate_gap_days', (SELECT max(gap_days) FROM runs)
 )
 SELECT metric, value, CASE metric WHEN 'carried_forward' THEN TRUE WHEN 'longest_rate_gap_days' THEN value <= 2
@@ -359,7 +365,9 @@ ORACLES: dict[str, str] = {
     "bronze_reconciliation": f"""{_CHANGES}
         SELECT topic, "partition", count(*) AS messages, count(*) FILTER (WHERE decode_ok) AS decoded,
                count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined,
-               count(*) FILTER (WHERE is_tombstone) AS tombstones, TRUE AS reconciles
+               count(*) FILTER (WHERE is_tombstone) AS tombstones,
+               count(*) = count(*) FILTER (WHERE decode_ok) + count(*) FILTER (WHERE reason IS NOT NULL)
+                          + count(*) FILTER (WHERE is_tombstone) AS reconciles
         FROM decoded GROUP BY 1, 2""",
     "latest_change_per_key": f"{_LATEST} SELECT * EXCLUDE (kafka_timestamp, reason, topic) FROM latest",
     "merge_two_batches": _CURRENT,

@@ -347,25 +347,54 @@ def unconverted_by_currency(spark, sf_dir):
 
 
 # -- quality -------------------------------------------------------------
-def _damaged(spark, sf_dir) -> dict[str, DataFrame]:
-    """All models with damage: repeated payments and rates, missing amounts, unknown statuses."""
-    payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
+def _written(frame: DataFrame, label: str) -> DataFrame:
+    """A model as a run would leave it: computed once, read where it is needed."""
+    path = scratch_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _hurt_payments(spark, sf_dir) -> DataFrame:
+    """Payments with damage: missing amounts, unknown statuses, some of them twice."""
     status = F.col("payment_status")
+    payments = a.payments(spark, sf_dir)
     hurt = payments.withColumn("amount", F.when(status != "cancelled", F.col("amount"))).withColumn(
         "payment_status", F.when(status == "pending", F.lit("held")).otherwise(status)
     )
-    hurt = hurt.unionByName(hurt.where(F.col("payment_method") == "google_pay"))
-    hurt_feed = feed.unionByName(feed.where(F.col("currency") == "CHF"))
-    fact = facts.fct_payments_usd(hurt, hurt_feed)
-    merchants = staging.stg_merchants(a.raw_merchants(spark, sf_dir))
+    return hurt.unionByName(hurt.where(F.col("payment_method") == "google_pay"))
+
+
+def _damaged(spark, sf_dir) -> dict[str, DataFrame]:
+    """All models with damage, so that each check finds something.
+
+    Further damage, by fixed values: amounts of every 101st payment negated; daily
+    revenue without a date for merchant 9, a merchant for 7, an amount for 5, and more
+    settled than paid for 3; carried rates of GBP gone.
+    """
+    payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
+    hurt = _written(_hurt_payments(spark, sf_dir), "hurt-payments")
+    hurt_feed = _written(feed.unionByName(feed.where(F.col("currency") == "CHF")), "hurt-rates")
+    fact, usd = facts.fct_payments_usd(hurt, hurt_feed), F.col("amount_usd")
+    fact = _written(fact.withColumn("amount_usd", F.when(F.col("payment_id") % 101 == 0, -usd).otherwise(usd)), "hurt-fact")
+    daily, merchant = facts.fct_daily_revenue_usd(fact), F.col("merchant_id")
+    daily = daily.select(
+        F.when(merchant != 9, F.col("revenue_date")).alias("revenue_date"),
+        F.when(merchant != 7, merchant).alias("merchant_id"),
+        F.when(merchant != 5, F.col("gross_amount_usd")).alias("gross_amount_usd"),
+        "payment_count",
+        F.when(merchant == 3, F.col("payment_count") + 1).otherwise(F.col("settled_count")).alias("settled_count"),
+    )
+    grid = rates.rates_daily(payments, feed)
+    lost = F.col("is_carried_forward") & (F.col("currency") == "GBP")
+    merchants = _written(staging.stg_merchants(a.raw_merchants(spark, sf_dir)), "merchants")
     return {
         "stg_payments": hurt,
         "stg_fx_rates": hurt_feed,
         "stg_merchants": merchants,
         "dim_merchants": staging.dim_merchants(merchants),
-        "fx_rates_daily": rates.rates_daily(payments, feed),
+        "fx_rates_daily": grid.withColumn("effective_rate", F.when(~lost, F.col("effective_rate"))),
         "fct_payments_usd": fact,
-        "fct_daily_revenue_usd": facts.fct_daily_revenue_usd(fact),
+        "fct_daily_revenue_usd": daily,
     }
 
 
@@ -376,7 +405,7 @@ def dq_violations(spark, sf_dir):
 
 @query
 def dq_duplicate_payments(spark, sf_dir):
-    return quality.not_unique(_damaged(spark, sf_dir)["stg_payments"], "payment_id")
+    return quality.not_unique(_hurt_payments(spark, sf_dir), "payment_id")
 
 
 @query

@@ -69,25 +69,28 @@ def violating_rows(frame: DataFrame, model: str, check: str) -> DataFrame:
 
 
 def check_model(frame: DataFrame, model: str) -> DataFrame:
-    """(model, check_name, violations) for all checks of a model.
+    """(model, check_name, violations) for all checks of a model, in one pass over it.
 
-    The row conditions share one pass over the model; uniqueness takes a second
-    one, pre-aggregated per task.
+    Where a key has to be unique, rows are counted by key, with the row conditions
+    counted along; the sums over keys are then both. A repeated or a missing key is
+    one row per task after the partial aggregate.
     """
-    checks = row_checks(model)
-    results = []
-    if checks:
-        counted = frame.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
-        pairs = [F.struct(F.lit(name).alias("check_name"), F.col(name).alias("violations")) for name in checks]
-        results.append(counted.select(F.inline(F.array(*pairs))))
+    checks = {f"check_{i}": (name, condition) for i, (name, condition) in enumerate(row_checks(model).items())}
+    counts = [F.count_if(condition).alias(place) for place, (_, condition) in checks.items()]
+    names = {place: name for place, (name, _) in checks.items()}
     if model in UNIQUE_KEYS:
         key = UNIQUE_KEYS[model]
-        duplicates = not_unique(frame, *key).agg(F.count(F.lit(1)).alias("violations"))
-        results.append(duplicates.select(F.lit("unique_" + "_".join(key)).alias("check_name"), "violations"))
-    summary = results[0]
-    for more in results[1:]:
-        summary = summary.unionByName(more)
-    return summary.select(F.lit(model).alias("model"), "check_name", "violations")
+        by_key = frame.groupBy(*key).agg(F.count("*").alias("row_count"), *counts)
+        whole = F.lit(True)
+        for column in key:
+            whole = whole & F.col(column).isNotNull()
+        repeated = F.count_if(whole & (F.col("row_count") > 1)).alias("repeated")
+        counted = by_key.agg(*[F.coalesce(F.sum(place), F.lit(0)).alias(place) for place in checks], repeated)
+        names["repeated"] = "unique_" + "_".join(key)
+    else:
+        counted = frame.agg(*counts)
+    pairs = [F.struct(F.lit(name).alias("check_name"), F.col(place).alias("violations")) for place, name in names.items()]
+    return counted.select(F.lit(model).alias("model"), F.inline(F.array(*pairs)))
 
 
 def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
