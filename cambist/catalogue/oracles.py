@@ -178,8 +178,9 @@ daily AS (
 )"""
 
 _MISSING = """
-calendar AS (SELECT CAST(d AS DATE) AS missing_date
-             FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) AS g(d)),
+calendar AS (
+  SELECT CAST(unnest(generate_series(CAST(min(rate_date) AS TIMESTAMP), CAST(max(rate_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+         AS missing_date FROM rates),
 missing AS (
   SELECT w.currency, c.missing_date FROM {wanted} w CROSS JOIN calendar c
   WHERE NOT EXISTS (SELECT 1 FROM rates r WHERE r.currency = w.currency AND r.rate_date = c.missing_date)

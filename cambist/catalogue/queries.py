@@ -28,7 +28,6 @@ QUERIES: dict[str, Query] = {}
 REPORT_MERCHANT = 3
 REPORT_START, REPORT_END = dt.date(1997, 1, 1), dt.date(1997, 12, 31)
 MIX_DAY = dt.date(1998, 3, 4)
-FEED_START, FEED_END = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 
 
 def query(build: Query) -> Query:
@@ -50,6 +49,12 @@ def comparable(frame: DataFrame) -> DataFrame:
     )
 
 
+def feed_range(feed: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last day of the rates; a feed without rates has a range of one day."""
+    first, last = feed.agg(F.min("rate_date"), F.max("rate_date")).first()
+    return (first, last) if first else (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
+
+
 def decoded(spark, sf_dir):
     return decode.decoded_changes(change_log.to_bronze(a.messages(spark, sf_dir)), PAYMENTS)
 
@@ -218,8 +223,8 @@ def dim_merchants(spark, sf_dir):
 # -- rates ---------------------------------------------------------------
 @query
 def fx_parse_documents(spark, sf_dir):
-    parsed = rates.parse_rate_documents(a.rate_documents(spark, sf_dir))
-    return rates.rates_in_range(parsed.drop("rate_text"), FEED_START, FEED_END, FEED_CURRENCIES)
+    parsed = rates.parse_rate_documents(a.rate_documents(spark, sf_dir)).drop("rate_text")
+    return rates.rates_in_range(parsed, *feed_range(parsed), FEED_CURRENCIES)
 
 
 @query
@@ -285,14 +290,14 @@ def fx_rates_daily(spark, sf_dir):
 
 @query
 def fx_missing_dates(spark, sf_dir):
-    traded = a.payments(spark, sf_dir).select("currency").distinct()
-    return rates.missing_rate_dates(a.rates(spark, sf_dir), FEED_START, FEED_END, traded)
+    traded, feed = a.payments(spark, sf_dir).select("currency").distinct(), a.rates(spark, sf_dir)
+    return rates.missing_rate_dates(feed, *feed_range(feed), traded)
 
 
 @query
 def fx_gap_runs(spark, sf_dir):
-    traded = a.payments(spark, sf_dir).select("currency").distinct()
-    return rates.gap_runs(rates.missing_rate_dates(a.rates(spark, sf_dir), FEED_START, FEED_END, traded))
+    traded, feed = a.payments(spark, sf_dir).select("currency").distinct(), a.rates(spark, sf_dir)
+    return rates.gap_runs(rates.missing_rate_dates(feed, *feed_range(feed), traded))
 
 
 # -- facts ---------------------------------------------------------------
@@ -411,7 +416,7 @@ def dq_duplicate_payments(spark, sf_dir):
 @query
 def health_metrics(spark, sf_dir):
     payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
-    gaps = rates.gap_runs(rates.missing_rate_dates(feed, FEED_START, FEED_END, feed.select("currency")))
+    gaps = rates.gap_runs(rates.missing_rate_dates(feed, *feed_range(feed), feed.select("currency")))
     reconciled = decode.reconciliation(decoded(spark, sf_dir), "topic")
     return quality.health_metrics(reconciled, facts.fct_payments_usd(payments, feed), gaps)
 

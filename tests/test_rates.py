@@ -162,7 +162,9 @@ def test_broadcast_only_when_counted_small(spark, feed):
 
     assert "BroadcastHashJoin" in plan() and "NestedLoop" not in plan()
     with_salt = plan(broadcast_rows=11)
-    assert "_salt" in with_salt and "NestedLoop" not in with_salt and "Cartesian" not in with_salt
+    assert "ShuffledHashJoin" in with_salt and "_salt" in with_salt
+    assert not any(join in with_salt for join in ("BroadcastHashJoin", "NestedLoop", "Cartesian"))
+    assert "BroadcastHashJoin" in plan(span=feed_span(usable_rates(feed)))
 
 
 def brute_force(published, currency, day):
