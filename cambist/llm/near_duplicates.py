@@ -14,7 +14,7 @@
    best pairs first; then, between classes not yet connected, every pair that is left. A
    leaf whose classes are all connected is done. Nodes that stay large are groups of copies;
    those that share a class are taken together, once. One class of a group is compared with
-   the rest, some times over; what that leaves apart is compared on full sets, block against
+   the rest; what that leaves apart is compared on full sets, block against
    block, and each task returns only links that connect.
 
 So a group of n near copies makes about n rows, not n^2, and no group meets in one task.
@@ -39,12 +39,12 @@ from .components import components
 from .shared import as_binary, by_size, map_arrow, matrix, record, saved, texts_of
 from .words import Words, mix
 
-PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 4
+PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 3
 #: Of 128 sketch places, 19 differ on average at similarity 0.8, with a deviation of 4.
 MOST_DIFFERENT = 40
 #: Bytes of full sets in a block; two meet in a task.
 BLOCK_BYTES = 4 << 20
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 _U = np.uint64
 _random = np.random.default_rng(8)
 _FACTORS = _random.integers(0, 1 << 63, PLACES, dtype=np.uint64) * _U(2) + _U(1)
