@@ -1,17 +1,21 @@
 """Benchmark items found in documents: BM25 over an inverted index of the items, block-max WAND, then overlap.
 
-Items are indexed by word (ASCII letters lowered, ASCII punctuation parts words). A
-posting's impact is its BM25 weight as a share of the item's own score, so a score is the
-weighted share of an item that a passage holds, and one threshold fits all items. Terms'
-counts are of the whole benchmark table. Postings lie in item order in blocks, each with
-its greatest impact.
+Items are indexed by word (ASCII letters lowered, ASCII punctuation parts words), an item
+longer than a passage as equal parts of at most a passage's words. A word's BM25 weight in
+an item is dealt to the parts by its count in each; a posting's impact is that weight as a
+share of the part's own, so a score is the weighted share of a part that a passage holds,
+and one threshold fits items of any length. What holds the threshold's share of a whole
+item holds it of one part at least, and a part that is copied lies in two passages in a
+row, so one of them holds half of it wherever it stands. Terms' counts are of the whole
+benchmark table. Postings lie in part order in blocks, each with its greatest impact.
 
 Every document is cut into overlapping passages, and each passage is a query for all
-items at or above the threshold. Per passage the block maxima of its words are summed
-first, for all blocks at once; if no block can reach the threshold, none of its items
+parts at or above the threshold. Per passage the block maxima of its words are summed
+first, for all blocks at once; if no block can reach the threshold, none of its parts
 can. The other passages are searched by block-max WAND. What is retrieved is verified on
-the words around the passage: runs of ``GRAM`` words of the question and of the answer
-must be there, ``OVERLAP`` of each.
+the words around the passage, as many on each side as the item has (``AROUND`` at least):
+runs of ``GRAM`` words of the question and of the answer must be there, ``OVERLAP`` of
+each. The score reported is that of the best part.
 
 An item's answer is what follows its last question mark, or else its last sentence; the
 question is the rest. An item of one sentence is both.
@@ -42,6 +46,8 @@ from .words import PUNCTUATION, Words
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM = 0.5, 0.5, 3
 PASSAGE, STRIDE, AROUND = 64, 32, 64
+#: Passages whose bounds are summed at once: sums stay short and exact in a document of any length.
+CHUNK = 1024
 BLOCK, MOST_BLOCKS = 8, 32
 PART_BYTES = 16 << 20
 
@@ -90,28 +96,33 @@ class Index:
         self.questions = [np.unique(_grams(c, gram)) for c in _word_codes([q for q, _ in parts])]
         self.answers = [np.unique(_grams(c, gram)) for c in _word_codes([a for _, a in parts])]
         self.sizes = [(min(gram, len(a)), min(gram, len(b))) for a, b in zip(_word_codes([q for q, _ in parts]), _word_codes([a for _, a in parts]))]
-        rows, terms, impacts = [], [], []
+        self.lengths = [len(c) for c in codes]
+        self.item, rows, terms, impacts = [], [], [], []  # item: of each part
         for number, (code, (_, _, counts)) in enumerate(zip(codes, items)):
-            distinct, tf = np.unique(code, return_counts=True)
+            distinct, which, tf = np.unique(code, return_inverse=True, return_counts=True)
             df = np.array([counts[int(c)] for c in distinct], float)
             idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
             weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(code) / mean_length))
-            rows.append(np.full(len(distinct), number))
-            terms.append(distinct)
-            impacts.append(weight / weight.sum() if len(weight) else weight)
+            for held in np.array_split(which, max(1, -(-len(code) // PASSAGE))):
+                own, times = np.unique(held, return_counts=True)
+                share = weight[own] * (times / tf[own])
+                rows.append(np.full(len(own), len(self.item)))
+                terms.append(distinct[own])
+                impacts.append(share / share.sum() if len(share) else share)
+                self.item.append(number)
         row, term, impact = np.concatenate(rows), np.concatenate(terms), np.concatenate(impacts)
         self.terms, which = np.unique(term, return_inverse=True)
         order = np.lexsort((row, which))
         self.row, self.impact, which = row[order], impact[order], which[order]
         self.first = np.searchsorted(which, np.arange(len(self.terms) + 1))
         self.most = np.array([self.impact[a:b].max() for a, b in zip(self.first[:-1], self.first[1:])])
-        self.block = max(BLOCK, -(-len(items) // MOST_BLOCKS))
+        self.block = max(BLOCK, -(-len(self.item) // MOST_BLOCKS))
         self.rows, self.weights = self.row.tolist(), self.impact.tolist()  # lists for the search's single steps
-        self.maxima = np.zeros((len(self.terms), -(-len(items) // self.block)), np.float32)
+        self.maxima = np.zeros((len(self.terms), -(-len(self.item) // self.block)), np.float32)
         np.maximum.at(self.maxima, (which, self.row // self.block), self.impact)
 
     def search(self, terms: np.ndarray, least: float) -> list[tuple[int, float]]:
-        """All items scoring ``least`` or more, by block-max WAND over the terms' postings."""
+        """All parts scoring ``least`` or more, by block-max WAND over the terms' postings."""
         out, slack = [], least - 1e-9
         rows, weights = self.rows, self.weights
         blocks = self.maxima[terms].sum(axis=0)
@@ -128,21 +139,21 @@ class Index:
                     break
             if pivot is None:
                 break
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
+            part = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == part:
                 pivot += 1
-            block = item // self.block
+            block = part // self.block
             if blocks[block] < slack - 1e-4 or sum(self.maxima[[c[3] for c in cursors[: pivot + 1]], block].tolist()) < slack - 1e-4:
-                # No item from here to the block's end, or to the next list's item, can reach it.
-                ahead = cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.ids)
-                target = max(item + 1, min((block + 1) * self.block, ahead))
-            elif cursors[0][0] == item:
+                # No part from here to the block's end, or to the next list's part, can reach it.
+                ahead = cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.item)
+                target = max(part + 1, min((block + 1) * self.block, ahead))
+            elif cursors[0][0] == part:
                 score = math.fsum(weights[c[1]] for c in cursors[: pivot + 1])
                 if score >= slack:
-                    out.append((item, score))
-                target = item + 1
+                    out.append((part, score))
+                target = part + 1
             else:
-                target = item
+                target = part
             for c in cursors[: pivot + 1]:
                 if c[0] < target:
                     c[1] = bisect_left(rows, target, c[1], c[2])
@@ -189,12 +200,18 @@ def find_in_words(index: Index, words: Words, least: float, overlap: float) -> l
     open_ = np.flatnonzero((sums[bounds[high]] - sums[bounds[low]]).max(axis=1, initial=0) >= least - 0.02)
     best: dict = {}
     for k in open_.tolist():
-        for item, score in index.search(np.unique(term[a[k] : b[k]]), least):
-            r = int(row[k])
-            low = max(int(words.first[r]), int(begin[k]) - AROUND)
-            high = min(int(words.first[r + 1]), int(end[k]) + AROUND)
+        r, scores = int(row[k]), {}
+        for part, score in index.search(np.unique(term[a[k] : b[k]]), least):
+            item = index.item[part]
+            scores[item] = max(score, scores.get(item, 0))
+        for item, score in scores.items():
+            if score <= best.get((r, item), (0,))[0]:
+                continue
+            around = max(AROUND, index.lengths[item])
+            low = max(int(words.first[r]), int(begin[k]) - around)
+            high = min(int(words.first[r + 1]), int(end[k]) + around)
             question, answer = index.overlaps(item, words.code[low:high])
-            if question >= overlap and answer >= overlap and score > best.get((r, item), (0,))[0]:
+            if question >= overlap and answer >= overlap:
                 best[r, item] = (score, question, answer, int(begin[k] - words.first[r]))
     return [(r, item, *rest) for (r, item), rest in best.items()]
 

@@ -8,6 +8,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,39 @@ def test_contaminated(spark, documents):
     assert sorted(r.doc_id for r in left.collect()) == [*range(60), 200, 201, 202, 203, 204]
 
 
+@pytest.mark.parametrize("size", [64, 100, 150, 300, 1000])
+def test_long_items_are_found_at_any_offset(size):
+    rnd = random.Random(size)
+    word = lambda: f"w{int(rnd.paretovariate(0.7)) % 9000}"
+    items = [(k, " ".join(word() for _ in range(size)) + "? " + " ".join(f"a{k}x{i}" for i in range(size // 4))) for k in range(6)]
+    items += [(10 + k, " ".join(word() for _ in range(20))) for k in range(30)]
+    index, texts = index_of(items), []
+    for offset in (0, 1, 15, 16, 17, 31, 40, 500):
+        texts += [" ".join([word() for _ in range(offset)] + [t] + [word() for _ in range(70)]) for _, t in items[:6]]
+    cut = [t[: len(t) // 5] for _, t in items[:6]]  # the answer is missing
+    words = decontamination.Words(pa.array(texts + cut), decontamination.PUNCTUATION, lower=True)
+    found = decontamination.find_in_words(index, words, decontamination.THRESHOLD, decontamination.OVERLAP)
+    assert sorted((r, i) for r, i, *_ in found if i < 6) == [(r, r % 6) for r in range(len(texts))]
+    assert all(q == a == 1.0 for _, i, _, q, a, _ in found if i < 6)
+
+
+def test_what_holds_the_threshold_of_a_long_item_holds_it_of_a_part():
+    rnd = random.Random(4)
+    items = [(k, " ".join(f"w{int(rnd.expovariate(0.01))}" for _ in range(rnd.randint(65, 400)))) for k in range(40)]
+    codes = decontamination._word_codes([t for _, t in items])
+    index, df = index_of(items), Counter(int(c) for code in codes for c in set(code.tolist()))
+    mean = np.mean([len(c) for c in codes])
+    for number, code in enumerate(codes):
+        distinct, tf = np.unique(code, return_counts=True)
+        n = np.array([df[int(c)] for c in distinct])
+        weight = np.log(1 + (40 - n + 0.5) / (n + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(code) / mean))
+        for _ in range(20):
+            held = np.array([rnd.random() < 0.55 for _ in distinct])
+            if weight[held].sum() >= 0.5 * weight.sum():
+                got = index.search(np.searchsorted(index.terms, distinct[held]), 0.5)
+                assert number in {index.item[p] for p, _ in got}
+
+
 def test_contaminated_by_nothing(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(documents([(1, "a")]), none).count() == 0
