@@ -191,13 +191,17 @@ def find_in_words(index: Index, words: Words, least: float, overlap: float) -> l
     strides = np.concatenate([[0], np.cumsum(-(-words.counts // STRIDE))])
     stride = strides[of] + (known - words.first[of]) // STRIDE
     once = np.unique(stride * len(index.terms) + term)
-    sums = np.zeros((len(once) + 1, index.maxima.shape[1]), np.float32)
-    np.cumsum(index.maxima[once % len(index.terms)], axis=0, out=sums[1:])
     low = strides[row] + (begin - words.first[:-1][row]) // STRIDE
     high = strides[row] + -(-(end - words.first[:-1][row]) // STRIDE)
     bounds = np.searchsorted(once // len(index.terms), np.arange(strides[-1] + 1))
-    # Running sums of some hundred thousand floats round by less than the margin.
-    open_ = np.flatnonzero((sums[bounds[high]] - sums[bounds[low]]).max(axis=1, initial=0) >= least - 0.02)
+    bound = np.zeros(len(row), np.float32)
+    for at in range(0, len(row), CHUNK):  # passages lie in the order of their words
+        low_, high_ = bounds[low[at : at + CHUNK]], bounds[high[at : at + CHUNK]]
+        x, y = int(low_[0]), int(high_.max())
+        sums = np.zeros((y - x + 1, index.maxima.shape[1]))
+        np.cumsum(index.maxima[once[x:y] % len(index.terms)], axis=0, dtype=np.float64, out=sums[1:])
+        bound[at : at + CHUNK] = (sums[high_ - x] - sums[low_ - x]).max(axis=1, initial=0)
+    open_ = np.flatnonzero(bound >= least - 0.02)
     best: dict = {}
     for k in open_.tolist():
         r, scores = int(row[k]), {}

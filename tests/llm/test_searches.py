@@ -206,6 +206,16 @@ def test_what_holds_the_threshold_of_a_long_item_holds_it_of_a_part():
                 assert number in {index.item[p] for p, _ in got}
 
 
+def test_an_item_at_the_end_of_a_document_of_millions_of_words():
+    """Half of an item, just at the threshold, behind words whose running sums reach some ten thousand."""
+    index = index_of([(0, " ".join(f"w{i}" for i in range(60)))])
+    stride = " ".join(["u"] * 19 + [f"w{i}" for i in range(13)])  # two of them hold 26 of 60 words
+    text = " ".join([stride] * 160_000) + " u" * 64 + " " + " ".join(f"w{i}" for i in range(30))
+    words = decontamination.Words(pa.array([text]), decontamination.PUNCTUATION, lower=True)
+    found = decontamination.find_in_words(index, words, 0.5, 0.4)
+    assert [(r, i) for r, i, *_ in found] == [(0, 0)] and found[0][2] == pytest.approx(0.5)
+
+
 def test_contaminated_by_nothing(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(documents([(1, "a")]), none).count() == 0
