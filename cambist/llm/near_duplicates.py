@@ -42,8 +42,8 @@ from .words import Words, mix
 PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 3
 #: Of 128 sketch places, 19 differ on average at similarity 0.8, with a deviation of 4.
 MOST_DIFFERENT = 40
-#: Bytes of full sets in a block; two meet in a task.
-BLOCK_BYTES = 4 << 20
+#: Bytes of full sets and number of sets in a block; two blocks meet in a task, which compares ``AT_ONCE`` sets with as many at a time.
+BLOCK_BYTES, BLOCK_SETS, AT_ONCE = 4 << 20, 4096, 1024
 PIVOT_ROUNDS = 1
 _U = np.uint64
 _random = np.random.default_rng(8)
@@ -184,7 +184,7 @@ class Leaves:
         order = np.lexsort((self.cid[b], self.cid[a], worst))
         a, b = a[order], b[order]
         leaf = self.leaf[a].tolist()
-        keep = _spanning(list(zip(leaf, self.comp[a].tolist())), list(zip(leaf, self.comp[b].tolist())))
+        keep, _ = _spanning(list(zip(leaf, self.comp[a].tolist())), list(zip(leaf, self.comp[b].tolist())))
         return a[keep], b[keep]
 
 
@@ -254,25 +254,52 @@ def _confirmer(percent: int):
     return confirm
 
 
-def common_counts(sets: list[np.ndarray], width=4096) -> np.ndarray:
-    """How many codes each two of the sets share, by products of their presence matrix, some columns at a time."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    code, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    often = times > 1  # a code of one set is shared by none
-    place = np.cumsum(often) - 1
-    keep = often[column]
-    row, column = row[keep], place[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    for at in range(0, int(often.sum()), width):
-        a, b = np.searchsorted(column, (at, at + width))
-        present = np.zeros((len(sets), width), np.float32)
-        present[row[a:b], column[a:b] - at] = 1
-        out += present @ present.T
+def common_counts(sets: list[np.ndarray], others: list[np.ndarray], width=4096) -> np.ndarray:
+    """How many codes each of the sets shares with each of the others, by products of their presence matrices, some columns at a time."""
+    own, code = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+    other, code2 = np.repeat(np.arange(len(others)), [len(s) for s in others]), np.concatenate(others)
+    both = np.intersect1d(code, code2)
+
+    def placed(row, code):
+        column = np.searchsorted(both, code)
+        keep = np.flatnonzero(np.concatenate([both, both[:1]])[column] == code) if len(both) else np.zeros(0, np.int64)
+        keep = keep[np.argsort(column[keep], kind="stable")]
+        return row[keep], column[keep]
+
+    (x, left), (y, right) = placed(own, code), placed(other, code2)
+    out = np.zeros((len(sets), len(others)), np.float32)
+    for at in range(0, len(both), width):
+        parts = []
+        for row, column, n in ((x, left, len(sets)), (y, right, len(others))):
+            a, b = np.searchsorted(column, (at, at + width))
+            present = np.zeros((n, min(width, len(both) - at)), np.float32)
+            present[row[a:b], column[a:b] - at] = 1
+            parts.append(present)
+        out += parts[0] @ parts[1].T
     return np.rint(out).astype(np.int64)
 
 
+def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of linked sets that connect what is not connected yet; ``AT_ONCE`` sets against as many in turn."""
+    size, out = np.array([len(s) for s in sets]), []
+    _, comp = np.unique(comp, return_inverse=True)
+    for i in range(0, len(sets), AT_ONCE):
+        for j in range(i, len(sets), AT_ONCE):
+            x, y = slice(i, i + AT_ONCE), slice(j, j + AT_ONCE)
+            if len(np.unique(np.concatenate([comp[x], comp[y]]))) < 2:
+                continue
+            both = common_counts(sets[x], sets[y])
+            linked = 100 * both >= percent * (size[x, None] + size[y] - both)
+            linked &= comp[x, None] != comp[y]
+            a, b = np.nonzero(np.triu(linked, 1) if i == j else linked)
+            a, b = a + i, b + j
+            keep, root = _spanning(comp[a].tolist(), comp[b].tolist())
+            out += zip(a[keep].tolist(), b[keep].tolist())
+            if keep:
+                comp = np.array([root(c) for c in range(comp.max() + 1)])[comp]
+    return out
+
+
 def _linker(percent: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,19 +307,15 @@ def _linker(percent: int):
                 values = members.values
                 cid, comp = values.field("cid").to_numpy(), values.field("comp").to_numpy()
                 sets = [np.frombuffer(c.as_buffer(), np.uint64) for c in values.field("codes")]
-                size = np.array([len(s) for s in sets])
-                both = common_counts(sets)
-                linked = 100 * both >= percent * (size[:, None] + size - both)
-                a, b = np.nonzero(np.triu(linked & (comp[:, None] != comp), 1))
-                keep = _spanning(comp[a].tolist(), comp[b].tolist())
-                x, y = cid[a[keep]], cid[b[keep]]
+                places = np.array(_linked(sets, comp, percent), np.int64).reshape(-1, 2)
+                x, y = cid[places[:, 0]], cid[places[:, 1]]
                 yield record(_PAIRS, a=np.minimum(x, y), b=np.maximum(x, y))
 
     return link
 
 
-def _spanning(left: list, right: list) -> list[int]:
-    """Places of pairs, in order, that connect what those before them do not."""
+def _spanning(left: list, right: list):
+    """Places of pairs, in order, that connect what those before them do not; and what names a connected part."""
     root, keep = {}, []
 
     def find(x):
@@ -306,7 +329,7 @@ def _spanning(left: list, right: list) -> list[int]:
         if x != y:
             root[x] = y
             keep.append(k)
-    return keep
+    return keep, find
 
 
 # -- the join ------------------------------------------------------------
@@ -369,7 +392,7 @@ def _candidates(seeds: DataFrame, groups: DataFrame | None, labels: DataFrame, p
 def _within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect what is not connected yet in each group, by its full sets, block against block."""
     rows = _open(groups, labels).select("node", "cid", "comp", "n")
-    blocks = rows.groupBy("node").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("int").alias("count"))
+    blocks = rows.groupBy("node").agg(F.ceil(F.greatest(F.sum("n") * 8 / BLOCK_BYTES, F.count("*") / BLOCK_SETS)).cast("int").alias("count"))
     spread = (
         rows.join(blocks, "node")
         .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("count")).cast("int"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
 
@@ -79,6 +80,24 @@ def test_a_large_group_of_near_copies(spark, documents, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == groups(rows, 2)[0]
 
 
+def test_thousands_of_short_classes_below_the_threshold_take_little_memory():
+    random_ = np.random.default_rng(3)
+    base = np.arange(22, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base, random_.integers(100, 4000, 8).astype(np.uint64)])) for _ in range(5000)]
+    for a, b in ((10, 4990), (4990, 2500), (7, 8)):  # linked across places far apart
+        sets[b] = sets[a].copy()
+        sets[b][-1] = 10_000 + b
+    kind = pa.list_(pa.struct([("cid", pa.int64()), ("comp", pa.int64()), ("codes", pa.binary())]))
+    members = pa.array([[{"cid": i, "comp": i + 7, "codes": s.tobytes()} for i, s in enumerate(sets)]], kind)
+    tracemalloc.start()
+    (out,) = near_duplicates._linker(80)(iter([pa.record_batch([members], ["members"])]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {(r["a"], r["b"]) for r in out.to_pylist()}
+    assert len(got) == 3 and (7, 8) in got and {x for pair in got for x in pair} == {7, 8, 10, 2500, 4990}
+    assert peak < 200 << 20
+
+
 def test_near_duplicates_of_nothing(spark, documents):
     assert near_duplicates.near_duplicates(documents([])).count() == 0
     assert near_duplicates.one_of_each(documents([])).count() == 0
