@@ -57,12 +57,28 @@ class EliasFano:
         """The i-th value, from one stretch between two listed places."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        begin = int(self.directory[i // SAMPLE])
-        stop = int(self.directory[i // SAMPLE + 1]) + 1 if i // SAMPLE + 1 < len(self.directory) else 8 * len(self.highs)
-        bits = np.unpackbits(self.highs[begin >> 3 : (stop + 7) >> 3], bitorder="little")[begin & 7 :]
-        one = np.flatnonzero(bits)[i % SAMPLE] + begin
+        one = self._stretch(i // SAMPLE)[i % SAMPLE]
         return int(self._value(np.array([one - i]), self._low(np.array([i])))[0])
 
+    def select_many(self, places) -> np.ndarray:
+        """The values at many places, in their order, from the stretches behind the listed places they need."""
+        places = np.asarray(places, np.int64)
+        if len(places) and not (0 <= places.min() and places.max() < self.n):
+            raise IndexError(places)
+        order = np.argsort(places, kind="stable")
+        wanted, ones = places[order], np.empty(len(places), np.int64)
+        samples, first = np.unique(wanted // SAMPLE, return_index=True)
+        for sample, a, b in zip(samples.tolist(), first.tolist(), [*first[1:].tolist(), len(wanted)]):
+            ones[order[a:b]] = self._stretch(sample)[wanted[a:b] % SAMPLE]
+        return self._value(ones - places, self._low(places))
+
+    def _stretch(self, sample: int) -> np.ndarray:
+        """The set bits' places from one listed place to the next."""
+        begin = int(self.directory[sample])
+        stop = int(self.directory[sample + 1]) + 1 if sample + 1 < len(self.directory) else 8 * len(self.highs)
+        bits = np.unpackbits(self.highs[begin >> 3 : (stop + 7) >> 3], bitorder="little")[begin & 7 :]
+        return np.flatnonzero(bits) + begin
+
     def all(self) -> np.ndarray:
         places = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
         return self._value(places - np.arange(self.n), self._low(np.arange(self.n)))

@@ -79,6 +79,27 @@ def test_elias_fano(values):
     assert [again.select(i) for i in range(len(values))] == values.tolist()
 
 
+def test_many_selects():
+    values = np.cumsum(np.random.default_rng(2).integers(0, 900, 3000)) - 50_000
+    again, _ = EliasFano.from_bytes(EliasFano.of(values).to_bytes())
+    for places in (np.arange(3000), np.array([2999, 0, 255, 256, 257, 256, 1024]), np.array([], int)):
+        assert again.select_many(places).tolist() == values[places].tolist()
+    for places in ([-1], [0, 3000]):
+        with pytest.raises(IndexError):
+            again.select_many(places)
+
+
+def test_rows_are_read_by_the_select_directory(monkeypatch):
+    ends = np.arange(1, 701) * 3
+    data = token_files.shard_bytes([None, *range(699)], ends, np.arange(2100) % 50)
+    whole = EliasFano.all
+    monkeypatch.setattr(EliasFano, "all", lambda self: whole(self) if self.n == 699 else pytest.fail("all ends were decoded"))
+    batch = pa.record_batch([pa.array(["s"]), pa.array([data], pa.binary())], ["shard", "content"])
+    (rows,) = token_files._read(iter([batch]))
+    assert rows.column("begin").to_pylist() == (ends - 3).tolist() and set(rows.column("n_tokens").to_pylist()) == {3}
+    assert rows.column("ids_crc32")[1].as_py() == crc([3, 4, 5])
+
+
 def test_bounds_take_little_space():
     ends = np.cumsum(np.random.default_rng(1).integers(100, 3000, 20_000))
     assert len(EliasFano.of(ends).to_bytes()) * 8 < 16 * len(ends)
