@@ -11,14 +11,15 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.collapse import current_rows
-from .operators.decode import decoded_changes
-from .operators.rates import newest_rates, parse_rate_documents
+from .operators.decode import decoded_changes, reconciliation
+from .operators.rates import gap_runs, missing_rate_dates, newest_rates, parse_rate_documents, rates_daily
 from .plans import facts, gold, quality, staging
-from .schemas import BRONZE, CAPTURED_TABLES, PAYMENTS, RAW_MERCHANTS, CapturedTable
+from .schemas import BRONZE, CAPTURED_TABLES, PAYMENTS, RAW_MERCHANTS, REPORTING_CURRENCY, CapturedTable
 from .session import build_session
 from .sources import fx_files
 from .sources.change_log import BATCH_OFFSETS, FileLogSource, KafkaSource, bronze_stream, offset_gaps
@@ -114,27 +115,60 @@ def build_warehouse(spark: SparkSession, lake: Lakehouse, payments: DataFrame, r
     replace_table(daily, lake.path("marts", "fct_daily_revenue_usd"))
 
 
-def check(spark: SparkSession, lake: Lakehouse) -> DataFrame:
-    """Violations of every written model, and what to watch: each model is read from where it was written."""
-    payments = staging.stg_payments(published(spark, lake))
+def rate_gaps(payments: DataFrame, feed: DataFrame) -> DataFrame:
+    """Runs of days without a rate of a currency paid in or fed, from the first fed day to the last fed or paid, today at most."""
+    fed = feed.agg(F.min("rate_date").alias("first"), F.max("rate_date").alias("last")).first()
+    paid = payments.agg(F.min("payment_date").alias("first"), F.least(F.max("payment_date"), F.current_date()).alias("last")).first()
+    start = fed["first"] or paid["first"] or dt.date(1970, 1, 1)
+    end = max([d for d in (fed["last"], paid["last"]) if d], default=start)
+    currencies = payments.select("currency").unionByName(feed.select("currency")).where(F.upper("currency") != REPORTING_CURRENCY)
+    return gap_runs(missing_rate_dates(feed, start, max(start, end), currencies))
+
+
+def check(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> DataFrame:
+    """Violations of every model, and what to watch: written models are read from where they were written.
+
+    The staged models and the daily grid of rates are not written and come from what
+    they are built from; ``seed`` is the merchants' extract. A model that is not there
+    to be checked is a row of its own, not healthy.
+    """
+    payments, feed = staging.stg_payments(published(spark, lake)), staged_rates(spark, lake)
     fact = spark.read.parquet(lake.path("marts", "fct_payments_usd"))
+    bronze = lake.read(spark, "bronze", bronze_name(PAYMENTS), BRONZE)
     models = {
         "stg_payments": payments,
-        "stg_fx_rates": staged_rates(spark, lake),
+        "stg_fx_rates": feed,
+        "fx_rates_daily": rates_daily(payments, feed),
         "fct_payments_usd": fact,
         "fct_daily_revenue_usd": spark.read.parquet(lake.path("marts", "fct_daily_revenue_usd")),
     }
+    if seed:
+        models["stg_merchants"] = staging.stg_merchants(fx_files.read_seed(spark, seed, RAW_MERCHANTS))
+    try:
+        models["dim_merchants"] = lake.read(spark, "marts", "dim_merchants")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    absent = [(f"{m}.not_checked", 1, False) for m in ("stg_merchants", "dim_merchants") if m not in models]
+    rows = spark.createDataFrame(absent, "metric string, value long, healthy boolean")
+    health = quality.health_metrics(reconciliation(decoded_changes(bronze, PAYMENTS), "topic"), fact, rate_gaps(payments, feed))
     found = quality.check_all(models).select(
         F.concat_ws(".", "model", "check_name").alias("metric"), F.col("violations").alias("value"), (F.col("violations") == 0).alias("healthy")
     )
     unconverted = facts.unconverted_by_currency(fact).select(
         F.concat(F.lit("unconverted."), "currency").alias("metric"), F.col("payment_count").alias("value"), F.lit(False).alias("healthy")
     )
-    gaps = offset_gaps(lake.read(spark, "bronze", bronze_name(PAYMENTS), BRONZE)).select(
+    gaps = offset_gaps(bronze).select(
         F.concat_ws(".", F.lit("missing_offsets"), "topic", F.col("partition").cast("string")).alias("metric"),
         F.col("missing_offsets").alias("value"), (F.col("missing_offsets") == 0).alias("healthy"),
     )
-    return found.unionByName(unconverted).unionByName(gaps)
+    for part in (unconverted, gaps, health, rows):
+        found = found.unionByName(part)
+    return found
+
+
+def write_checks(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> None:
+    replace_table(check(spark, lake, seed), lake.path("marts", "checks"))
 
 
 JOBS = ("bronze", "silver", "compact", "publish", "rebuild", "dimensions", "gold", "land-rates", "load-rates", "facts", "checks")
@@ -154,7 +188,7 @@ def main(argv=None) -> None:
     parser.add_argument("--start", type=dt.date.fromisoformat, help="first day (land-rates)")
     parser.add_argument("--end", type=dt.date.fromisoformat, help="last day (land-rates)")
     parser.add_argument("--currencies", nargs="*", help="only these (land-rates)")
-    parser.add_argument("--seed", help="CSV extract of merchants (dimensions)")
+    parser.add_argument("--seed", help="CSV extract of merchants (dimensions, checks)")
     parser.add_argument("--refresh", action="store_true", help="only the trailing window (facts)")
     args = parser.parse_args(argv)
     spark = build_session(f"cambist-{args.job}", shuffle_partitions=args.shuffle_partitions)
@@ -180,7 +214,7 @@ def main(argv=None) -> None:
     elif args.job == "facts":
         build_warehouse(spark, lake, staging.stg_payments(published(spark, lake)), args.refresh)
     else:
-        check(spark, lake).orderBy("healthy", "metric").show(1_000, truncate=False)
+        write_checks(spark, lake, args.seed)
 
 
 if __name__ == "__main__":

@@ -60,6 +60,35 @@ def test_from_log_to_marts(spark, tmp_path):
     assert found[f"missing_offsets.{PAYMENTS.topic}.0"] == (0, True)
 
 
+def test_checks_of_every_model(spark, tmp_path):
+    lake, log, docs, seed = Lakehouse(str(tmp_path / "lake")), str(tmp_path / "log"), tmp_path / "docs", str(tmp_path / "m.csv")
+    docs.mkdir()
+    for day in ("2026-01-01", "2026-01-06"):
+        (docs / f"{day}.json").write_text(json.dumps({"base": "USD", "date": day, "rates": {"EUR": 0.92}}))
+    (tmp_path / "m.csv").write_text("merchant_id,merchant_name,country_code,category\n1,Shop,nl,books\n1,Shop,nl,books\n,None,nl,books\n")
+    log_records(spark, [message("c", 100), "bad"]).write.parquet(log)
+    jobs.land_rates(spark, lake, str(docs))
+    jobs.load_rates(spark, lake)
+    jobs.ingest(spark, lake, FileLogSource(log))
+    jobs.apply_changes(spark, lake)
+    jobs.publish(spark, lake)
+    jobs.build_warehouse(spark, lake, staging.stg_payments(jobs.published(spark, lake)))
+    missing = {r.metric: (r.value, r.healthy) for r in jobs.check(spark, lake).collect()}
+    assert missing["dim_merchants.not_checked"] == missing["stg_merchants.not_checked"] == (1, False)
+    jobs.build_dimensions(spark, lake, seed)
+    merchants = lake.read(spark, "marts", "dim_merchants").collect()
+    jobs.write_checks(spark, lake, seed)
+    found = {r.metric: (r.value, r.healthy) for r in lake.read(spark, "marts", "checks").collect()}
+    assert found["stg_merchants.unique_merchant_id"] == (1, False) and found["stg_merchants.not_null_merchant_id"] == (1, False)
+    keys = [r.merchant_id for r in merchants]
+    assert found["dim_merchants.not_null_merchant_id"][0] == keys.count(None)
+    assert found["dim_merchants.unique_merchant_id"][0] == (keys.count(1) > 1)
+    assert found["fx_rates_daily.carried_forward_implies_a_rate_exists"] == (0, True)
+    assert found["quarantined"] == (1, False) and found["batches_not_reconciled"] == (0, True)
+    assert found["longest_rate_gap_days"][0] >= 4 and not found["longest_rate_gap_days"][1]
+    assert not any(m.endswith("not_checked") for m in found)
+
+
 def test_land_rates_of_a_range(spark, tmp_path):
     lake, docs = Lakehouse(str(tmp_path / "lake")), tmp_path / "docs"
     docs.mkdir()
