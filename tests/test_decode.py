@@ -7,7 +7,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import bronze, envelope, image, message, wire_amount
+from messages import bronze, envelope, image, message, wire_amount
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 from decimal import Decimal
 
-from conftest import message
+from messages import message
 from test_merge import log_records
 
 from cambist import jobs

@@ -6,7 +6,7 @@ import json
 import uuid
 
 import pytest
-from conftest import bronze, envelope, message
+from messages import bronze, envelope, message
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
