@@ -3,7 +3,8 @@
 A value is cut at ``low`` bits. Low parts stand side by side; high parts are a bit
 row in which one number i sets bit (high_i + i). The i-th value's high part is then
 select1(i) - i. Every ``SAMPLE``-th set bit's place is listed, so that a select reads
-one short stretch. About 2 + log2(universe / n) bits a value, no table of offsets.
+one short stretch. About 2 + log2(universe / n) bits a value, no table of offsets:
+the listed places are as wide as the longest needs, four bytes in any usual file.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import struct
 import numpy as np
 
 SAMPLE = 256
-_HEAD = struct.Struct("<QQBQQQ")
+_HEAD = struct.Struct("<QQBBQQQ")
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
@@ -32,7 +33,7 @@ class EliasFano:
         values = np.asarray(values).astype(np.int64)
         n = len(values)
         if not n:
-            return cls(0, 0, 0, b"", np.zeros(0, np.uint8), np.zeros(0, np.uint64))
+            return cls(0, 0, 0, b"", np.zeros(0, np.uint8), np.zeros(0, np.uint32))
         base = int(values[0])
         shifted = values.view(np.uint64) - np.uint64(base % (1 << 64))
         low = max(0, (int(shifted[-1]) // n).bit_length() - 1)
@@ -40,7 +41,9 @@ class EliasFano:
         row = np.zeros(int(ones[-1]) + 1, np.uint8)
         row[ones.astype(np.int64)] = 1
         lows = _pack(shifted & np.uint64((1 << low) - 1), low) if low else b""
-        return cls(n, base, low, lows, np.packbits(row, bitorder="little"), ones[::SAMPLE])
+        places = ones[::SAMPLE]
+        narrow = int(places[-1]) < 1 << 32
+        return cls(n, base, low, lows, np.packbits(row, bitorder="little"), places.astype(np.uint32 if narrow else np.uint64))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -84,15 +87,16 @@ class EliasFano:
         return self._value(places - np.arange(self.n), self._low(np.arange(self.n)))
 
     def to_bytes(self) -> bytes:
-        highs, directory = self.highs.tobytes(), self.directory.astype("<u8").tobytes()
-        head = _HEAD.pack(self.n, self.base % (1 << 64), self.low, len(self.lows), len(highs), len(directory))
+        width = self.directory.itemsize
+        highs, directory = self.highs.tobytes(), self.directory.astype(f"<u{width}").tobytes()
+        head = _HEAD.pack(self.n, self.base % (1 << 64), self.low, width, len(self.lows), len(highs), len(directory))
         return head + self.lows + highs + directory
 
     @classmethod
     def from_bytes(cls, data: bytes, at: int = 0) -> tuple["EliasFano", int]:
         """The sequence at a place of a file, and the place behind it."""
-        n, base, low, a, b, c = _HEAD.unpack_from(data, at)
+        n, base, low, width, a, b, c = _HEAD.unpack_from(data, at)
         at += _HEAD.size
         highs = np.frombuffer(data, np.uint8, b, at + a)
-        directory = np.frombuffer(data, "<u8", c // 8, at + a + b)
+        directory = np.frombuffer(data, f"<u{width}", c // width, at + a + b)
         return cls(n, base - (1 << 64) * (base >> 63), low, data[at : at + a], highs, directory), at + a + b + c

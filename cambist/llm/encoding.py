@@ -3,9 +3,10 @@
 Both vocabularies part a text at white space before any merge: no token goes on
 from another character into white space. So a text is a sequence of stretches (a
 word, for the byte vocabulary with the white space before it), and a stretch has
-the same ids wherever it stands. A worker keeps the ids of the stretches it has
-seen, by 64-bit code, in sorted arrays; they are dropped at a bound, which
-changes no result. A row with rarer kinds of white space is one stretch.
+the same ids wherever it stands. A worker keeps the ids of the short stretches it
+has seen, by their bytes; they are dropped at a bound, which changes no result. A row
+with rarer kinds of white space, or with what may be a special token's string (which
+the library takes as that token), is one stretch.
 """
 
 from __future__ import annotations
@@ -15,13 +16,12 @@ import re
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-from .words import _base, _gaps, mix, span_codes, Words
+from .words import Words, _gaps, byte_codes, same_bytes
 
-#: Distinct stretches and their ids kept at most by a Python worker.
-KEPT, KEPT_IDS = 3_000_000, 16_000_000
+#: Distinct stretches, the bytes of one, and their ids kept at most by a Python worker: some 60 MB.
+KEPT, KEPT_BYTES, KEPT_IDS = 300_000, 64, 2_000_000
 END_ID = 1
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 PLAIN_SPACE = _gaps((0x20, 0x0A, 0x0D, 0x09))
@@ -47,6 +47,13 @@ def _printable() -> dict[int, int]:
 _SHOWN = _printable()
 
 
+def _special_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows that hold ``<|``, with which every special token of the vocabularies begins."""
+    at = np.flatnonzero(data[:-1] == 0x3C) if len(data) else np.zeros(0, np.int64)
+    at = at[data[at + 1] == 0x7C]
+    return np.unique(np.searchsorted(offsets, at, "right") - 1)
+
+
 def _rare_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(_RARE[data])
     if not len(at):
@@ -70,17 +77,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         self.words_only = name == WORD_VOCABULARY
         self.reset()
 
     def reset(self):
-        self.codes = np.zeros(0, np.uint64)
+        self.kept: dict[bytes, int] = {}
         self.marks: dict[str, list[int]] = {}
-        self.slots = np.zeros(0, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1, np.int64)
+        self.bounds = np.zeros(1 << 12, np.int64)
+        self.known = 0
 
     # -- stretches -------------------------------------------------------
     def stretches(self, texts: pa.Array):
@@ -88,7 +94,7 @@ class Encoder:
         words = Words(texts, gaps=PLAIN_SPACE, seed=3)
         start, end, code, offsets = words.start, words.end, words.code, words.offsets
         first = words.first
-        rare = _rare_rows(words.data, offsets)
+        rare = np.union1d(_rare_rows(words.data, offsets), _special_rows(words.data, offsets))
         if self.words_only and not len(rare):
             return words.data, start, end, code, first
         row = np.repeat(np.arange(len(offsets) - 1), words.counts)
@@ -106,17 +112,7 @@ class Encoder:
             row = np.concatenate([row[keep], rare])
         order = np.lexsort((start, row))
         start, end, row = start[order], end[order], row[order]
-        return words.data, start, end, self._span_codes(words.data, start, end), np.searchsorted(row, np.arange(len(offsets)))
-
-    @staticmethod
-    def _span_codes(data, start, end, segment=1 << 20):
-        table, odd, inverse = _base(3)
-        out, a = np.zeros(len(start), np.uint64), 0
-        while a < len(start):
-            b = max(a + 1, int(np.searchsorted(end, start[a] + segment, "right")))
-            out[a:b] = span_codes(table[data[start[a] : end[b - 1]]], start[a:b] - start[a], end[a:b] - start[a], odd, inverse)
-            a = b
-        return mix(out + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return words.data, start, end, byte_codes(words.data, start, end, 3), np.searchsorted(row, np.arange(len(offsets)))
 
     # -- ids -------------------------------------------------------------
     def _merged(self, part: str) -> list[int]:
@@ -144,7 +140,8 @@ class Encoder:
             self.marks[part] = [t.id for t in self.model.tokenize(part)]
         return self.marks[part]
 
-    def _learn(self, codes: np.ndarray, stretches: list[bytes]):
+    def _learn(self, stretches: list[bytes]) -> None:
+        """Ids of more stretches, numbered on from ``known``; short ones can be found again."""
         ids, other = [], []
         for number, stretch in enumerate(stretches):
             text = stretch.decode("utf-8", "replace")
@@ -156,33 +153,38 @@ class Encoder:
                 other.append((number, text))
         for (number, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             ids[number] = e.ids
-        size = np.array([len(i) for i in ids], np.int64)
-        known, used = len(self.bounds) - 1, int(self.bounds[-1])
-        self.bounds = np.concatenate([self.bounds, used + np.cumsum(size)])
-        total = int(self.bounds[-1])
-        if total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
-        self.flat[used:total] = np.fromiter(chain.from_iterable(ids), np.uint32, total - used)
-        order = np.argsort(codes)
-        place = np.searchsorted(self.codes, codes[order])
-        self.codes = np.insert(self.codes, place, codes[order])
-        self.slots = np.insert(self.slots, place, known + order)
+        used = int(self.bounds[self.known])
+        ends = used + np.cumsum([len(i) for i in ids], dtype=np.int64)
+        if self.known + len(ids) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(max(len(ids), len(self.bounds)), np.int64)])
+        self.bounds[self.known + 1 : self.known + 1 + len(ids)] = ends
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(int(ends[-1] - used), len(self.flat)), np.uint32)])
+        self.flat[used : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]) - used)
+        self.kept.update((stretch, self.known + i) for i, stretch in enumerate(stretches) if len(stretch) <= KEPT_BYTES)
+        self.known += len(ids)
 
     def numbers(self, data, start, end, code) -> np.ndarray:
-        """The number under which each stretch's ids are kept."""
-        if len(self.codes) > KEPT or self.bounds[-1] > KEPT_IDS:
+        """The number under which each stretch's ids are kept until the next call."""
+        if self.known > KEPT or self.bounds[self.known] > KEPT_IDS:
             self.reset()
-        which, distinct = pd.factorize(code)
-        if not len(distinct):
+        if not len(start):
             return np.zeros(0, np.int64)
-        place = np.searchsorted(self.codes, distinct)
-        new = np.flatnonzero((place == len(self.codes)) | (self.codes[np.minimum(place, max(0, len(self.codes) - 1))] != distinct)) if len(self.codes) else np.arange(len(distinct))
-        if len(new):
-            one = np.empty(len(distinct), np.int64)
-            one[which[::-1]] = np.arange(len(which))[::-1]
-            self._learn(distinct[new], [data[s:e].tobytes() for s, e in zip(start[one[new]].tolist(), end[one[new]].tolist())])
-            place = np.searchsorted(self.codes, distinct)
-        return self.slots[place][which]
+        raw = data.tobytes()
+        _, one, which = np.unique(code, return_index=True, return_inverse=True)
+        if same_bytes(data, start, end, one[which]):
+            distinct = [raw[s:e] for s, e in zip(start[one].tolist(), end[one].tolist())]
+        else:  # equal codes of different stretches
+            places: dict[bytes, int] = {}
+            which = np.array([places.setdefault(raw[s:e], len(places)) for s, e in zip(start.tolist(), end.tolist())])
+            distinct = list(places)
+        number = [self.kept.get(stretch, -1) for stretch in distinct]
+        new = [i for i, n in enumerate(number) if n < 0]
+        if new:
+            for at, i in enumerate(new):
+                number[i] = self.known + at
+            self._learn([distinct[i] for i in new])
+        return np.array(number, np.int64)[which]
 
     def documents(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by the end id, and the bounds of the texts."""

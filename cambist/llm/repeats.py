@@ -45,10 +45,15 @@ _WINDOWS = pa.schema([("cid", pa.int64()), ("place", pa.int32()), ("w1", pa.int6
 _EMPTY = sha256(b"").hexdigest()
 
 
-def _whole_codes(words: Words) -> np.ndarray:
-    """Two 64-bit codes of each row's words."""
-    first, last = words.first[:-1], words.first[1:]
-    return np.stack([words.runs(first, last, seed).view(np.int64) for seed in (11, 12)], axis=1)
+def _digests(words: Words) -> list[bytes]:
+    """A digest of each row's words, joined by one space."""
+    text, edges = words.joined()
+    return [sha256(text[a:b]).digest() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+
+def _whole_codes(digests: list[bytes]) -> np.ndarray:
+    """The first 16 bytes of each digest as two numbers: texts with the same words, and no others, share them."""
+    return np.frombuffer(b"".join(d[:16] for d in digests), "<i8").reshape(-1, 2)
 
 
 def anchors(words: Words, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,11 +85,11 @@ def _scanner(window: int, seed: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_size(batches):
             words = Words(part.column("text"))
-            keys = _whole_codes(words)
+            digests = _digests(words)
+            keys = _whole_codes(digests)
             place, code = anchors(words, window, seed)
             bounds = np.searchsorted(place, words.first)
-            text, edges = words.joined()
-            whole = [sha256(text[a:b]).hexdigest() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            whole = [d.hex() for d in digests]
             start = np.repeat(words.first[:-1], np.diff(bounds))
             yield record(
                 _SCANNED, doc_id=part.column("doc_id"), text_hash=part.column("text_hash"), n_words=words.counts, k1=keys[:, 0], k2=keys[:, 1], whole=whole,
@@ -123,7 +128,7 @@ def _extender(window: int, seed: int):
 
 def _same(words: Words, part: pa.RecordBatch) -> np.ndarray:
     """Rows whose words are the class's: a doc_id may stand at several texts."""
-    keys = _whole_codes(words)
+    keys = _whole_codes(_digests(words))
     return (keys[:, 0] == part.column("k1").to_numpy()) & (keys[:, 1] == part.column("k2").to_numpy())
 
 

@@ -32,8 +32,8 @@ from .elias_fano import EliasFano
 from .encoding import END_ID, WORD_VOCABULARY, encoder
 from .shared import by_size, map_arrow, record, texts_of
 
-MAGIC = b"IDEF0001"
-SHARD_IDS = 8 << 20
+MAGIC = b"IDEF0002"
+SHARD_IDS = 2 << 20
 SUFFIX = ".idef"
 _HEAD = struct.Struct("<8sBQ")
 #: Names that Spark and Arrow give to the same kinds of store.
@@ -161,17 +161,26 @@ def write_ids(docs: DataFrame, folder: str, vocabulary=WORD_VOCABULARY, end_id=E
     return docs.sparkSession.read.schema(shards.schema).parquet(f"{folder}/_shards")
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for name, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
-            shard = Shard(content.as_py())
-            starts, ends = shard.bounds_of(np.arange(len(shard)))
-            wide = shard.ids.astype("<u4")
-            sums = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-            yield record(_READ, shard=[name] * len(shard), doc_id=shard.doc_ids(), begin=starts, n_tokens=ends - starts, ids_crc32=sums)
+def _reader(folder: str):
+    """Rows of the documents of each named shard, one file at a time."""
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            store, root = _store(folder)
+            for name in batch.column("shard").to_pylist():
+                with store.open_input_stream(f"{root}/{name}") as file:
+                    yield shard_rows(name, Shard(file.read()))
 
-def read_documents(spark, folder: str, shards: DataFrame) -> DataFrame:
+    return read
+
+
+def shard_rows(name: str, shard: Shard) -> pa.RecordBatch:
+    starts, ends = shard.bounds_of(np.arange(len(shard)))
+    sums = [zlib.crc32(shard.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
+    return record(_READ, shard=[name] * len(shard), doc_id=shard.doc_ids(), begin=starts, n_tokens=ends - starts, ids_crc32=sums)
+
+
+def read_documents(folder: str, shards: DataFrame) -> DataFrame:
     """One row per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
     ``shards``: what ``write_ids`` returned; a shard's start is a running sum over
@@ -182,8 +191,7 @@ def read_documents(spark, folder: str, shards: DataFrame) -> DataFrame:
     before = W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     tasks = shards.groupBy(task.alias("task")).agg(F.sum("ids").alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     starts = shards.select("shard", task.alias("task"), F.coalesce(F.sum("ids").over(within), F.lit(0)).alias("inside")).join(tasks, "task")
-    files = spark.read.format("binaryFile").load(f"{folder}/*{SUFFIX}").select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
-    found = map_arrow(files, _read, "shard string, doc_id long, begin long, n_tokens long, ids_crc32 long")
+    found = map_arrow(shards.select("shard"), _reader(folder), "shard string, doc_id long, begin long, n_tokens long, ids_crc32 long")
     return found.join(starts, "shard").select("doc_id", (F.col("begin") + F.col("inside") + F.col("base")).alias("start"), "n_tokens", "ids_crc32", "shard")
 
 
@@ -194,4 +202,4 @@ def encode_to_files(docs: DataFrame, folder: str | None = None, **options) -> Da
     shards = write_ids(docs, folder, **options)
     if shards.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
-    return read_documents(spark, folder, shards)
+    return read_documents(folder, shards)

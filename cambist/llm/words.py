@@ -1,21 +1,23 @@
 """Words of many texts at once, with 64-bit codes, in numpy.
 
-A word's code depends on its bytes alone: the sum of a random number per byte
-value times a power of an odd base, modulo 2**64, taken from running sums. Runs
-of words are coded the same way over the words' codes, so all windows of a text
-cost one pass.
+A word's code depends on its bytes alone, eight of which are mixed in at a step. Runs
+of words are coded over the words' codes by doubling, so all windows of a text cost a
+pass for each power of two up to their length. Nothing is summed modulo 2**64, where
+patterned texts (Thue-Morse) cancel; ``same_bytes`` tells whether equal codes are
+equal words, and whole texts are told apart by a digest of their bytes.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 U64 = np.uint64
 SPACES = (0x20, *range(0x09, 0x0E))
-SEGMENT = 1 << 20
+#: Bytes of a run coded eight at a step.
+STEPPED = 64
+_ODD = U64(0x9E3779B97F4A7C15)
 
 
 def _gaps(values) -> np.ndarray:
@@ -40,35 +42,58 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-@lru_cache(maxsize=8)
-def _base(seed: int) -> tuple[np.ndarray, int, int]:
-    random = np.random.default_rng(seed)
-    table = random.integers(0, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-    odd = (int(random.integers(1, 1 << 61)) << 2 | 3) % (1 << 64)  # 3 modulo 4: odd - 1 has one factor 2 only
-    return table, odd, pow(odd, -1, 1 << 64)
+def _seed(number: int) -> np.uint64:
+    return U64(number * int(_ODD) % (1 << 64))
+
+
+def byte_view(data: np.ndarray) -> np.ndarray:
+    """Eight bytes, little-endian, from each place of the data on; zeros follow its end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
 
 
-_powers: dict[int, np.ndarray] = {}
+def _upto(size: np.ndarray) -> np.ndarray:
+    """Masks of the first bytes of eight; ``size`` from 1."""
+    return ~U64(0) >> (U64(64) - U64(8) * np.minimum(size, 8).astype(np.uint64))
+
+
+def byte_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """A code for each run of bytes, eight bytes a step; runs over ``STEPPED`` bytes by a digest of their own."""
+    size, view = end - start, byte_view(data)
+    out = mix(size.astype(np.uint64) + _seed(seed))
+    which = np.flatnonzero((size > 0) & (size <= STEPPED))
+    for k in range(0, STEPPED, 8):
+        which = which[size[which] > k]
+        if not len(which):
+            break
+        out[which] = mix((out[which] ^ (view[start[which] + k] & _upto(size[which] - k))) * _ODD)
+    long = np.flatnonzero(size > STEPPED).tolist()
+    if long:
+        out[long] = [xxh3_64_intdigest(data[start[i] : end[i]].tobytes(), seed) for i in long]
+    return out
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept for the usual lengths."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SEGMENT)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
-        if size <= 2 * SEGMENT:
-            _powers[base] = have
-    return have[:n]
+def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, of: np.ndarray) -> bool:
+    """Whether each run has the same bytes as the run whose number ``of`` gives."""
+    size = end - start
+    if (size != size[of]).any():
+        return False
+    view, other = byte_view(data), start[of]
+    which = np.flatnonzero((start != other) & (size > 0))
+    long = which[size[which] > STEPPED].tolist()
+    if any(data[start[i] : end[i]].tobytes() != data[other[i] : other[i] + size[i]].tobytes() for i in long):
+        return False
+    which = which[size[which] <= STEPPED]
+    for k in range(0, STEPPED, 8):
+        which = which[size[which] > k]
+        mask = _upto(size[which] - k)
+        if ((view[start[which] + k] ^ view[other[which] + k]) & mask).any():
+            return False
+    return True
 
 
-def span_codes(values: np.ndarray, start: np.ndarray, end: np.ndarray, odd: int, inverse: int) -> np.ndarray:
-    """A code for each run values[start:end]: equal runs have equal codes wherever they stand."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(odd, len(values)), out=sums[1:], dtype=np.uint64)
-    return (sums[end] - sums[start]) * powers(inverse, len(values) + 1)[start]
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(mix(left * _ODD + U64(1)) ^ right)
 
 
 class Words:
@@ -92,18 +117,7 @@ class Words:
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends & ~follows) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        self.code = self._codes(seed)
-
-    def _codes(self, seed) -> np.ndarray:
-        table, odd, inverse = _base(seed)
-        out, a = np.zeros(len(self.start), np.uint64), 0
-        while a < len(self.start):
-            at = self.start[a]
-            b = max(a + 1, int(np.searchsorted(self.end, at + SEGMENT, "right")))
-            part = table[self.data[at : self.end[b - 1]]]
-            out[a:b] = span_codes(part, self.start[a:b] - at, self.end[a:b] - at, odd, inverse)
-            a = b
-        return mix(out + (self.end - self.start).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
+        self.code = byte_codes(self.data, self.start, self.end, seed)
 
     @property
     def counts(self) -> np.ndarray:
@@ -136,9 +150,19 @@ class Words:
         return at, self.runs(at, at + size, seed)
 
     def runs(self, start: np.ndarray, end: np.ndarray, seed=11) -> np.ndarray:
-        """Codes of the words from start to end, by the words' codes."""
-        _, odd, inverse = _base(seed)
-        return mix(span_codes(self.code, start, end, odd, inverse) + (end - start).astype(np.uint64))
+        """Codes of the words from start to end, by the words' codes.
+
+        Codes of runs of 1, 2, 4, ... words, each made of two of half the length; a run is
+        then two such, which may overlap. Every step mixes, so no sum over words can cancel.
+        """
+        size = end - start
+        out = np.zeros(len(start), np.uint64)
+        table, width, most = mix(self.code + _seed(seed)), 1, int(size.max(initial=0))
+        while width <= most:
+            which = np.flatnonzero((size >= width) & (size < 2 * width))
+            out[which] = mix(_pair(table[start[which]], table[end[which] - width]) + size[which].astype(np.uint64))
+            table, width = _pair(table[:-width], table[width:]), 2 * width
+        return out
 
     def shingles(self, size: int, seed=11) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all runs of ``size`` words and their bounds by row; a shorter text is one run."""

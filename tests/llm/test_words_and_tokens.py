@@ -20,12 +20,11 @@ from cambist.llm.encoding import BYTE_VOCABULARY, WORD_VOCABULARY, Encoder, voca
 from cambist.llm.words import Words
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
-ODD = ["", None, "  ", " a  b\n\n c ", "x", "don't 'S it's  ", "a\x1cb \x1d c", "x  \n y", "İx ª Straße ÿ.", "<|endoftext|> a", "tab\t\tx \r\n y ", "“q”—z ’s", "x" * 5000]
+ODD = ["", None, "  ", " a  b\n\n c ", "x", "don't 'S it's  ", "a\x1cb \x1d c", "x  \n y", "İx ª Straße ÿ.", "<|endoftext|> a", "x <|ENDOFTEXT|><|startoftext|> y  <| z", "x<|endoftext|>  \n y", "tab\t\tx \r\n y ", "“q”—z ’s", "x" * 5000]
 
 
 def plain(name):
     tokenizer = Tokenizer.from_file(vocabulary_path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -59,6 +58,34 @@ def test_ids_equal_the_library_s(name):
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [want(t) + [1] for t in texts]
 
 
+def thue_morse(length: int, a="a", b="b") -> str:
+    """The letter of a place says whether its number has an odd count of set bits: sums of powers modulo 2**64 cancel."""
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(length))
+
+
+@pytest.mark.parametrize("name", [WORD_VOCABULARY, BYTE_VOCABULARY])
+def test_patterned_words_keep_their_own_ids(name):
+    texts = [t for n in (64, 512, 1024, 2048, 4096) for t in (thue_morse(n), thue_morse(n, "b", "a"), thue_morse(n, "x ", "y "), thue_morse(n, "y ", "x "))]
+    words = Words(pa.array(texts))
+    assert len(set(words.code[words.counts.cumsum()[words.counts == 1] - 1].tolist())) == 10
+    whole = words.runs(words.first[:-1], words.first[1:])
+    assert len(set(whole.tolist())) == len(texts)
+    own, want = Encoder(name), plain(name)
+    for _ in range(2):  # learned, then kept
+        ids, bounds = own.documents(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [want(t) + [1] for t in texts]
+
+
+def test_equal_codes_of_different_stretches(monkeypatch):
+    """Were codes to collide, bytes decide."""
+    own, want = Encoder(WORD_VOCABULARY), plain(WORD_VOCABULARY)
+    texts = pa.array(["one two three", "two one two", "x" * 100 + " " + "y" * 100])
+    data, start, end, code, first = own.stretches(texts)
+    numbers = own.numbers(data, start, end, np.zeros_like(code))
+    got = [own.flat[own.bounds[n] : own.bounds[n + 1]].tolist() for n in numbers.tolist()]
+    assert got == [want(data[a:b].tobytes().decode()) for a, b in zip(start, end)]
+
+
 @given(st.lists(st.text(alphabet="aZé. \n\t'3! \x1c", max_size=25), max_size=6))
 @settings(max_examples=80, deadline=None)
 def test_ids_of_any_text(texts):
@@ -94,8 +121,7 @@ def test_rows_are_read_by_the_select_directory(monkeypatch):
     data = token_files.shard_bytes([None, *range(699)], ends, np.arange(2100) % 50)
     whole = EliasFano.all
     monkeypatch.setattr(EliasFano, "all", lambda self: whole(self) if self.n == 699 else pytest.fail("all ends were decoded"))
-    batch = pa.record_batch([pa.array(["s"]), pa.array([data], pa.binary())], ["shard", "content"])
-    (rows,) = token_files._read(iter([batch]))
+    rows = token_files.shard_rows("s", token_files.Shard(data))
     assert rows.column("begin").to_pylist() == (ends - 3).tolist() and set(rows.column("n_tokens").to_pylist()) == {3}
     assert rows.column("ids_crc32")[1].as_py() == crc([3, 4, 5])
 
