@@ -3,8 +3,9 @@
 Both vocabularies part a text at white space before any merge: no token goes on
 from another character into white space. So a text is a sequence of stretches (a
 word, for the byte vocabulary with the white space before it), and a stretch has
-the same ids wherever it stands. A worker keeps the ids of the short stretches it
-has seen, by their bytes; they are dropped at a bound, which changes no result. A row
+the same ids wherever it stands. A worker keeps the ids of the stretches it has seen
+in arrays sorted by code, with the bytes, which are compared at every hit; they are
+dropped at a bound, which changes no result. A row
 with rarer kinds of white space, or with what may be a special token's string (which
 the library takes as that token), is one stretch.
 """
@@ -20,8 +21,8 @@ import pyarrow as pa
 
 from .words import Words, _gaps, byte_codes, same_bytes
 
-#: Distinct stretches, the bytes of one, and their ids kept at most by a Python worker: some 60 MB.
-KEPT, KEPT_BYTES, KEPT_IDS = 300_000, 64, 2_000_000
+#: Distinct stretches, their bytes and their ids kept at most by a Python worker: some 70 MB.
+KEPT, KEPT_BYTES, KEPT_IDS = 1_000_000, 12_000_000, 4_000_000
 END_ID = 1
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 PLAIN_SPACE = _gaps((0x20, 0x0A, 0x0D, 0x09))
@@ -71,6 +72,14 @@ def _rare_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(offsets, at[rare], "right") - 1)
 
 
+def _extended(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """The array with values from a place on, in a larger one where they do not fit."""
+    if at + len(values) > len(array):
+        array = np.concatenate([array, np.zeros(max(at + len(values) - len(array), len(array) // 2), array.dtype)])
+    array[at : at + len(values)] = values
+    return array
+
+
 class Encoder:
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -82,10 +91,10 @@ class Encoder:
         self.reset()
 
     def reset(self):
-        self.kept: dict[bytes, int] = {}
         self.marks: dict[str, list[int]] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 12, np.int64)
+        self.codes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.bounds = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
+        self.text, self.places = np.zeros(1 << 18, np.uint8), np.zeros(1 << 12, np.int64)
         self.known = 0
 
     # -- stretches -------------------------------------------------------
@@ -141,7 +150,7 @@ class Encoder:
         return self.marks[part]
 
     def _learn(self, stretches: list[bytes]) -> None:
-        """Ids of more stretches, numbered on from ``known``; short ones can be found again."""
+        """Ids of more stretches, numbered on from ``known``."""
         ids, other = [], []
         for number, stretch in enumerate(stretches):
             text = stretch.decode("utf-8", "replace")
@@ -153,38 +162,43 @@ class Encoder:
                 other.append((number, text))
         for (number, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             ids[number] = e.ids
-        used = int(self.bounds[self.known])
-        ends = used + np.cumsum([len(i) for i in ids], dtype=np.int64)
-        if self.known + len(ids) >= len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros(max(len(ids), len(self.bounds)), np.int64)])
-        self.bounds[self.known + 1 : self.known + 1 + len(ids)] = ends
-        if ends[-1] > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(int(ends[-1] - used), len(self.flat)), np.uint32)])
-        self.flat[used : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]) - used)
-        self.kept.update((stretch, self.known + i) for i, stretch in enumerate(stretches) if len(stretch) <= KEPT_BYTES)
-        self.known += len(ids)
+        size, text = np.array([len(i) for i in ids], np.int64), np.frombuffer(b"".join(stretches), np.uint8)
+        old, self.known = self.known, self.known + len(ids)
+        self.bounds = _extended(self.bounds, old + 1, self.bounds[old] + np.cumsum(size))
+        self.places = _extended(self.places, old + 1, self.places[old] + np.cumsum([len(x) for x in stretches]))
+        self.flat = _extended(self.flat, int(self.bounds[old]), np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
+        self.text = _extended(self.text, int(self.places[old]), text)
 
     def numbers(self, data, start, end, code) -> np.ndarray:
         """The number under which each stretch's ids are kept until the next call."""
-        if self.known > KEPT or self.bounds[self.known] > KEPT_IDS:
+        if self.known > KEPT or self.bounds[self.known] > KEPT_IDS or self.places[self.known] > KEPT_BYTES:
             self.reset()
         if not len(start):
             return np.zeros(0, np.int64)
         raw = data.tobytes()
         _, one, which = np.unique(code, return_index=True, return_inverse=True)
-        if same_bytes(data, start, end, one[which]):
-            distinct = [raw[s:e] for s, e in zip(start[one].tolist(), end[one].tolist())]
-        else:  # equal codes of different stretches
-            places: dict[bytes, int] = {}
-            which = np.array([places.setdefault(raw[s:e], len(places)) for s, e in zip(start.tolist(), end.tolist())])
-            distinct = list(places)
-        number = [self.kept.get(stretch, -1) for stretch in distinct]
-        new = [i for i, n in enumerate(number) if n < 0]
-        if new:
-            for at, i in enumerate(new):
-                number[i] = self.known + at
-            self._learn([distinct[i] for i in new])
-        return np.array(number, np.int64)[which]
+        if not same_bytes(data, start, end, data, start[one[which]], end[one[which]]).all():  # equal codes of different stretches
+            seen: dict[bytes, int] = {}
+            which = np.array([seen.setdefault(raw[s:e], len(seen)) for s, e in zip(start.tolist(), end.tolist())])
+            one = np.unique(which, return_index=True)[1]
+        start, end, code = start[one], end[one], code[one]
+        number, hit = np.full(len(one), -1), np.zeros(len(one), bool)
+        if len(self.codes):
+            place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[place] == code
+            slot = self.slots[place[hit]]
+            same = same_bytes(data, start[hit], end[hit], self.text[: self.places[self.known]], self.places[slot], self.places[slot + 1])
+            number[np.flatnonzero(hit)[same]] = slot[same]
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self.known + np.arange(len(new))
+            self._learn([raw[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())])
+            free = new[~hit[new]]  # a code that is taken stays with the stretch that has it
+            codes, first = np.unique(code[free], return_index=True)
+            place = np.searchsorted(self.codes, codes)
+            self.codes = np.insert(self.codes, place, codes)
+            self.slots = np.insert(self.slots, place, number[free[first]])
+        return number[which]
 
     def documents(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by the end id, and the bounds of the texts."""

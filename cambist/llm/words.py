@@ -73,23 +73,22 @@ def byte_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int)
     return out
 
 
-def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, of: np.ndarray) -> bool:
-    """Whether each run has the same bytes as the run whose number ``of`` gives."""
+def same_bytes(data, start, end, others, begin, stop) -> np.ndarray:
+    """Whether each run data[start:end] has the bytes of its partner others[begin:stop]."""
     size = end - start
-    if (size != size[of]).any():
-        return False
-    view, other = byte_view(data), start[of]
-    which = np.flatnonzero((start != other) & (size > 0))
-    long = which[size[which] > STEPPED].tolist()
-    if any(data[start[i] : end[i]].tobytes() != data[other[i] : other[i] + size[i]].tobytes() for i in long):
-        return False
+    out = size == stop - begin
+    left, right = byte_view(data), byte_view(others) if others is not data else None
+    right = left if right is None else right
+    which = np.flatnonzero(out & (size > 0))
+    for i in which[size[which] > STEPPED].tolist():
+        out[i] = np.array_equal(data[start[i] : end[i]], others[begin[i] : stop[i]])
     which = which[size[which] <= STEPPED]
     for k in range(0, STEPPED, 8):
         which = which[size[which] > k]
-        mask = _upto(size[which] - k)
-        if ((view[start[which] + k] ^ view[other[which] + k]) & mask).any():
-            return False
-    return True
+        if not len(which):
+            break
+        out[which] &= ((left[start[which] + k] ^ right[begin[which] + k]) & _upto(size[which] - k)) == 0
+    return out
 
 
 def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
