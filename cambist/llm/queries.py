@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, edit_counts, language, licenses, mtree, near_duplicates, packing, repeats, token_files, toxicity
+from . import best_fit, codebooks, decontamination, edit_counts, importance, language, licenses, mtree, near_duplicates, packing, repeats, token_files, toxicity
 from .shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -133,3 +133,20 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 @query
 def op7_edited_counts(spark, sf_dir):
     return edit_counts.edited_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_best_fit(spark, sf_dir):
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_importance(spark, sf_dir):
+    found = importance.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    found = codebooks.compressed(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")

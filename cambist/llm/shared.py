@@ -49,7 +49,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
+def map_arrow(frame: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` whose workers can import this library."""
     ship(frame.sparkSession)
     return frame.mapInArrow(function, schema)
