@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_size, map_arrow, record, texts_of
+from .shared import by_size, map_arrow, record, rows_of, texts_of
 from .words import PUNCTUATION, Words
 
 K1, B = 1.2, 0.75
@@ -267,7 +267,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least=THRESHOLD, overlap
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents in which no item is found, all columns kept."""
-    found = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("_text_hash").eqNullSafe(F.col("_hash"))
-    return rows.join(found, match, "left_anti").drop("_text_hash")
+    found = contaminated(docs, benchmark, **options).select(F.struct("doc_id", "text_hash").alias("found")).distinct()
+    rows = rows_of(docs)
+    match = F.col("doc_id").eqNullSafe(F.col("found.doc_id")) & F.col("text_hash").eqNullSafe(F.col("found.text_hash"))
+    return rows.join(found, match, "left_anti").select("document.*")

@@ -10,8 +10,8 @@ context: with them, the places where the region meets the rest are stretch bound
 and after the edit.
 
 Defined cases: a null or empty text has no tokens and no edits, though an insertion into an
-empty text counts; rarer white space in a text or a replacement makes the document one
-leaf, which stays exact; bounds beyond the text are cut to it; an edit that splits a
+empty text counts; rarer white space or what may begin a special token, in a text or a
+replacement, makes the document one leaf, which stays exact; bounds beyond the text are cut to it; an edit that splits a
 character is read with the replacement mark; rows that repeat are each counted; null
 doc_ids are carried; an empty table gives no rows; other columns are not read.
 """
@@ -19,6 +19,7 @@ doc_ids are carried; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,27 +31,58 @@ from .shared import by_size, map_arrow, record, texts_of
 
 Edit = tuple[int, int, bytes]
 
-#: Personal data and addresses, and what stands in for them.
-REDACTIONS = (
-    (re.compile(rb"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"), b"<email>"),
-    (re.compile(rb"https?://[^\s<>]+"), b"<url>"),
-    (re.compile(rb"\+?[0-9][0-9 ().-]{6,}[0-9]"), b"<number>"),
-)
+# An address is looked for around each "@", so that no run without one is tried from its every place.
+_AT = re.compile(rb"@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+")
+_LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._+-")
+_URL = re.compile(rb"https?://[^\s<>]+")
+# A run of number characters is taken whole, then cut to begin (but for a plus) and end with a digit.
+_NUMBER = re.compile(rb"[0-9 ().+-]{8,}")
 _STRETCH = re.compile(rb"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 _COUNTED = pa.schema(
     [("doc_id", pa.int64()), ("tokens_before", pa.int64()), ("tokens_after", pa.int64()), ("n_edits", pa.int64()), ("n_reencoded", pa.int64()), ("n_leaves", pa.int64())]
 )
 
 
+def _addresses(text: bytes) -> Iterator[tuple[int, int]]:
+    """Mail addresses: what may stand before an "@" back to the last one's end, and the domain behind it."""
+    done = 0
+    for found in _AT.finditer(text):
+        start = found.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < found.start():
+            done = found.end()
+            yield start, done
+
+
+def _numbers(text: bytes) -> Iterator[tuple[int, int]]:
+    """Runs of eight characters or more of digits and their marks, from a digit or the plus before it to a digit."""
+    for run in _NUMBER.finditer(text):
+        for part in re.finditer(rb"\+?[0-9][0-9 ().-]*", run[0]):
+            length = len(part[0].rstrip(b" ().-"))
+            if length - part[0].startswith(b"+") >= 8:
+                yield run.start() + part.start(), run.start() + part.start() + length
+
+
+#: Personal data and addresses, and what stands in for them, those named first before the others.
+REDACTIONS = (
+    (_addresses, b"<email>"),
+    (lambda text: (m.span() for m in _URL.finditer(text)), b"<url>"),
+    (_numbers, b"<number>"),
+)
+
+
 def redactions(text: bytes) -> list[Edit]:
-    """Every match of the patterns, last first, so that bounds stay true while edits are applied."""
-    found, taken = [], []
-    for pattern, instead in REDACTIONS:
-        for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                taken.append(m.span())
-                found.append((m.start(), m.end(), instead))
-    return sorted(found, reverse=True)
+    """All that is found and meets nothing found before it, last first, so that bounds stay true while edits are applied."""
+    taken: list[Edit] = []
+    for find, instead in REDACTIONS:
+        starts, free = [s for s, _, _ in taken], []
+        for start, end in find(text):
+            at = bisect_left(starts, end)  # of those taken, which meet no other, the last that begins before the end
+            if not at or taken[at - 1][1] <= start:
+                free.append((start, end, instead))
+        taken = sorted(taken + free)
+    return taken[::-1]
 
 
 class CountTree:
@@ -136,7 +168,7 @@ class CountTree:
 
 def _odd(text: bytes) -> bool:
     data = np.frombuffer(text, np.uint8)
-    return bool(len(_rare_rows(data, np.array([0, len(data)]))))
+    return b"<|" in text or bool(len(_rare_rows(data, np.array([0, len(data)]))))
 
 
 def _counter(vocabulary: str, find: Callable[[bytes], list[Edit]]):

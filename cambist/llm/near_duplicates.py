@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import as_binary, by_size, map_arrow, matrix, record, saved, texts_of
+from .shared import as_binary, by_size, map_arrow, matrix, record, rows_of, saved, texts_of
 from .words import Words, mix
 
 PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 3
@@ -477,12 +477,11 @@ def one_of_each(docs: DataFrame, size=5, percent=80) -> DataFrame:
     """
     found = saved(near_duplicates(docs, size, percent), "members")
     keep = found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
-    keep = keep.select(F.col("of.doc_id").alias("_id"), F.col("of.text_hash").alias("_hash"))
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("_text_hash").eqNullSafe(F.col("_hash"))
-    first = rows.join(keep, match, "left_semi")
+    rows = rows_of(docs)
+    match = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & F.col("text_hash").eqNullSafe(F.col("of.text_hash"))
+    first = rows.join(keep.select("of"), match, "left_semi")
     kept = found.where("n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
     if not kept.isEmpty():  # the very same row more than once
-        first = first.dropDuplicates(["doc_id", "_text_hash"])
-    wordless = rows.where(~F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))
-    return first.unionByName(wordless).drop("_text_hash")
+        first = first.dropDuplicates(["doc_id", "text_hash"])
+    wordless = rows.where(~F.coalesce(F.col("document.text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))
+    return first.unionByName(wordless).select("document.*")

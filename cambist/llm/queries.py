@@ -150,3 +150,40 @@ def op12_importance(spark, sf_dir):
 def op13_vector_codes(spark, sf_dir):
     found = codebooks.compressed(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _vector_codes_sql(rounds=codebooks.ROUNDS) -> str:
+    """Assignment as the least of distance * 256 + entry; distances by squared norms and products, exact in doubles."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+best{k} AS MATERIALIZED (
+  SELECT x.vec_id, x.row, x.p, min(CAST(x.norm + b.norm - 2 * list_inner_product(x.d, b.d) AS BIGINT) * 256 + b.e) AS m
+  FROM parts x JOIN books{k} b USING (p) GROUP BY x.vec_id, x.row, x.p)""")
+        if k < rounds:
+            steps.append(f"""
+books{k + 1} AS MATERIALIZED (
+  SELECT o.p, o.e, coalesce(n.c, o.c) AS c, coalesce(n.c, o.c)::DOUBLE[] AS d, list_inner_product(coalesce(n.c, o.c)::DOUBLE[], coalesce(n.c, o.c)::DOUBLE[]) AS norm
+  FROM books{k} o LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+      SELECT b.p, b.m % 256 AS e, i, sum(x.c[i]) AS s, count(*) AS n
+      FROM best{k} b JOIN parts x ON x.row = b.row AND x.p = b.p CROSS JOIN positions GROUP BY b.p, b.m % 256, i) GROUP BY p, e) n
+  ON n.p = o.p AND n.e = o.e)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS row,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT vec_id, row, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS c FROM kept CROSS JOIN (SELECT unnest(range(4)) AS p)),
+parts AS MATERIALIZED (SELECT *, c::DOUBLE[] AS d, list_inner_product(c::DOUBLE[], c::DOUBLE[]) AS norm FROM cut),
+positions AS (SELECT unnest(range(1, (SELECT max(len(c)) FROM parts) + 1)) AS i),
+books0 AS MATERIALIZED (SELECT p, row - 1 AS e, c, d, norm FROM parts WHERE row <= 256),{",".join(steps)},
+coded AS (
+  SELECT k.vec_id, k.label, string_agg(printf('%02x', b.m % 256), '' ORDER BY b.p) AS code, CAST(sum(b.m // 256) AS BIGINT) AS error
+  FROM kept k JOIN best{rounds} b USING (row) GROUP BY k.row, k.vec_id, k.label),
+digest AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS h FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM books{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded CROSS JOIN digest
+"""
+
+
+ORACLES["op13_vector_codes"] = _vector_codes_sql()

@@ -31,16 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_size, flat, lists, map_arrow, record, saved, texts_of
+from .shared import by_size, flat, lists, map_arrow, record, rows_of, saved, texts_of
 from .words import Words
 
 WINDOW, SEED = 35, 12
 _LONGS = pa.list_(pa.int64())
 _INTS = pa.list_(pa.int32())
 _SCANNED = pa.schema(
-    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("whole", pa.string()), ("anchors", _LONGS), ("places", _INTS)]
+    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("whole", pa.string()), ("anchors", _LONGS), ("places", _INTS)]
 )
-_SCANNED_DDL = "doc_id long, text_hash long, n_words long, k1 long, k2 long, whole string, anchors array<long>, places array<int>"
+_SCANNED_DDL = "doc_id long, text_hash long, text_key long, n_words long, k1 long, k2 long, whole string, anchors array<long>, places array<int>"
 _WINDOWS = pa.schema([("cid", pa.int64()), ("place", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
 _EMPTY = sha256(b"").hexdigest()
 
@@ -92,7 +92,7 @@ def _scanner(window: int, seed: int):
             whole = [d.hex() for d in digests]
             start = np.repeat(words.first[:-1], np.diff(bounds))
             yield record(
-                _SCANNED, doc_id=part.column("doc_id"), text_hash=part.column("text_hash"), n_words=words.counts, k1=keys[:, 0], k2=keys[:, 1], whole=whole,
+                _SCANNED, doc_id=part.column("doc_id"), text_hash=part.column("text_hash"), text_key=part.column("text_key"), n_words=words.counts, k1=keys[:, 0], k2=keys[:, 1], whole=whole,
                 anchors=lists(code.view(np.int64), bounds, pa.int64()), places=lists((place - start).astype(np.int32), bounds, pa.int32()),
             )
 
@@ -186,7 +186,8 @@ def repeats(docs: DataFrame, window=WINDOW, seed=SEED, with_text=False) -> tuple
     The latter by (k1, k2): n_removed, kept_sha256, spans (word bounds of the maximal
     repeats) and, if asked for, kept_text. Texts not listed keep everything.
     """
-    scanned = map_arrow(texts_of(docs).withColumn("text_hash", F.xxhash64("text")), _scanner(window, seed), _SCANNED_DDL)
+    hashed = texts_of(docs).withColumn("text_hash", F.xxhash64("text")).withColumn("text_key", F.xxhash64(F.lit(1), "text"))
+    scanned = map_arrow(hashed, _scanner(window, seed), _SCANNED_DDL)
     scanned = saved(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")  # fixed by the write
     classes = (
         scanned.where(F.col("n_words") >= window)
@@ -221,7 +222,7 @@ def repeats(docs: DataFrame, window=WINDOW, seed=SEED, with_text=False) -> tuple
     wholly = classes.where("copies > 1").select(
         "k1", "k2", F.col("n_words").alias("n_removed"), F.lit(_EMPTY).alias("kept_sha256"), F.array(F.lit(0), F.col("n_words").cast("int")).alias("spans"), *none
     )
-    return scanned.select("doc_id", "text_hash", "n_words", "k1", "k2", "whole"), partly.unionByName(wholly)
+    return scanned.select("doc_id", "text_hash", "text_key", "n_words", "k1", "k2", "whole"), partly.unionByName(wholly)
 
 
 def removal_report(docs: DataFrame, window=WINDOW) -> DataFrame:
@@ -238,14 +239,13 @@ def without_repeats(docs: DataFrame, window=WINDOW) -> DataFrame:
 
     A text of which nothing goes stays as it is, byte for byte.
     """
-    key = F.xxhash64(F.col("text").cast("string"))
     rows, changed = repeats(docs, window, with_text=True)
-    by_text = rows.where("n_words > 0").select("text_hash", "k1", "k2").distinct().join(changed.select("k1", "k2", "kept_text"), ["k1", "k2"])
-    new = by_text.select(F.col("text_hash").alias("_hash"), F.col("kept_text").alias("_kept"))
-    joined = docs.withColumn("_text_hash", key).join(new, F.col("_text_hash") == F.col("_hash"), "left")
-    text = F.coalesce("_kept", F.col("text").cast("string"))
-    out = joined.withColumn("text", text)
+    by_text = rows.where("n_words > 0").select("text_hash", "text_key", "k1", "k2").distinct().join(changed.select("k1", "k2", "kept_text"), ["k1", "k2"])
+    new = by_text.select(F.struct("text_hash", "text_key").alias("of"), "kept_text")
+    match = (F.col("text_hash") == F.col("of.text_hash")) & (F.col("text_key") == F.col("of.text_key"))
+    joined, kept = rows_of(docs).join(new, match, "left"), F.col("kept_text")
+    columns = {"text": F.coalesce(kept, F.col("document.text").cast("string"))}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast(kind)))
-    return out.select(*docs.columns)
+        own = F.col("document.n_chars")
+        columns["n_chars"] = F.when(kept.isNull(), own).otherwise(F.length(kept).cast(docs.schema["n_chars"].dataType))
+    return joined.select(*[columns.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns])

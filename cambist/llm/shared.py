@@ -64,6 +64,15 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """Whole documents as ``document``, beside their id and two hashes of their text, so that no name can clash."""
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.struct("*").alias("document"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+        F.xxhash64(F.lit(1), text).alias("text_key"),
+    )
+
+
 def by_size(batches, column="text", limit=CHUNK_BYTES):
     """Record batches cut into slices of at most ``limit`` bytes of a column, one row at least."""
     for batch in batches:

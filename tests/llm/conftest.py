@@ -13,7 +13,7 @@ def documents(spark):
     def build(rows):
         full = [(i, t, "en", "s", None if t is None else len(t)) for i, t in rows]
         frame = spark.createDataFrame(full, DOCS)
-        for name in ("n_words", "n_shingles", "component_id", "kept", "text_hash", "cid", "k1", "row", "node", "size", "start", "toxic", "place"):
+        for name in ("n_words", "n_shingles", "component_id", "kept", "text_hash", "cid", "k1", "row", "node", "size", "start", "toxic", "place", "_id", "_hash", "_kept", "_text_hash", "_row", "_task", "_base", "_label", "document", "of", "found", "text_key", "rank", "buckets", "_document", "sequence_id"):
             frame = frame.withColumn(name, F.lit("x"))
         return frame
 

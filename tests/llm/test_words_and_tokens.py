@@ -231,3 +231,43 @@ def test_edited_counts(spark, documents):
             new = new[:a] + instead + new[b:]
         assert row.tokens_after == len(count(new.decode()))
     assert got[1, len(count(rows[0][1]))].n_edits == 2 and got[1, len(count(rows[0][1]))].n_reencoded < 30
+
+
+def test_redactions_against_patterns():
+    """The same spans as plain patterns tried at every place."""
+    plain_patterns = (
+        (re.compile(rb"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"), b"<email>"),
+        (re.compile(rb"https?://[^\s<>]+"), b"<url>"),
+        (re.compile(rb"\+?[0-9][0-9 ().-]{6,}[0-9]"), b"<number>"),
+    )
+    rnd = random.Random(8)
+    parts = [b"a", b"b.c", b"@", b".", b"org", b" ", b"+", b"49", b"1234567", b"(0)", b"https://", b"x-", b"<", b"8 ", b"--"]
+    for _ in range(3000):
+        text = b"".join(rnd.choice(parts) for _ in range(rnd.randint(0, 18)))
+        found, taken = [], []
+        for pattern, instead in plain_patterns:
+            for m in pattern.finditer(text):
+                if not any(a < m.end() and m.start() < b for a, b in taken):
+                    taken.append(m.span())
+                    found.append((*m.span(), instead))
+        assert edit_counts.redactions(text) == sorted(found, reverse=True), text
+
+
+@pytest.mark.parametrize("text", [b"x" * 2_000_000, b"a@b.cd " * 100_000, b"1" * 2_000_000, b"a." * 500_000 + b"@", b"1 +" * 500_000])
+def test_redactions_take_linear_time(text):
+    import time
+
+    begin = time.process_time()
+    edit_counts.redactions(text)
+    assert time.process_time() - begin < 20
+
+
+def test_edits_of_texts_with_special_tokens():
+    own, count = Encoder(BYTE_VOCABULARY), plain(BYTE_VOCABULARY)
+    for text in ("x <|endoftext|> y", "x <|endof text", "<| a@b.org <|endoftext|>"):
+        data, start, end, code, _ = own.stretches(pa.array([text]))
+        numbers = own.numbers(data, start, end, code)
+        tree = edit_counts.CountTree([data[a:b].tobytes() for a, b in zip(start, end)], (own.bounds[numbers + 1] - own.bounds[numbers]).tolist(), own.tokenizer)
+        assert tree.total == len(count(text))
+        tree.edit(2, 3, b"<|endoftext|><")
+        assert tree.total == len(count(text[:2] + "<|endoftext|><" + text[3:]))
