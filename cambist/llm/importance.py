@@ -2,8 +2,9 @@
 
 Separators are collapsed to single spaces, so that an overlapped regex scan, anchored
 between spaces, gives at each word the span of the run of up to three words that starts
-there and the ends of its shorter runs. Each span's CRC32 is carried on from the shorter
-one's and names one of ``BUCKETS`` buckets. Bucket counts of all documents (S, s) and of
+there; its shorter runs end where the next spans begin. Each run's CRC32 is carried on
+from the shorter one's, over all spans of a batch at once, and names one of ``BUCKETS``
+buckets. Bucket counts of all documents (S, s) and of
 the target's texts (T, t) give each bucket a gain, a document's weight is the sum of its
 features' gains, and a Gumbel term from a hash of its doc_id makes the greatest scores a
 draw without replacement.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -37,10 +39,10 @@ from pyspark.sql import types as T
 from .shared import by_size, map_arrow, record, saved
 
 BUCKETS, MIN_WORDS, PERCENT, SEED = 10_000, 20, 5, 42
-#: Codes of a text held as Python numbers at once.
-HELD = 1 << 18
-# One run of up to three words from each word on; the groups end where the run of one, two or three words does.
-_RUNS = regex.compile(rb"(?<![^ ])([^ ]++)(?:( [^ ]++)( [^ ]++)?+)?+(?![^ ])")
+#: Fixed value: the CRC32 polynomial, bits reversed.
+POLYNOMIAL = 0xEDB88320
+# A run of up to three words from each word on; words stand between spaces, texts between line ends.
+_RUNS = regex.compile(rb"(?<![^ \n])[^ \n]++(?: [^ \n]++(?: [^ \n]++)?+)?+(?![^ \n])")
 _COLLAPSED = regex.compile(rb" ++")
 
 
@@ -62,23 +64,52 @@ def collapsed(text: bytes) -> bytes:
     return _COLLAPSED.sub(b" ", text.translate(_PLAIN)).strip(b" ")
 
 
-def codes(text: bytes) -> tuple[int, np.ndarray]:
-    """Words, and the CRC32 of every run of one to three words."""
-    text, words, out, done = collapsed(text), 0, [], []
-    for found in _RUNS.finditer(text, overlapped=True):
-        if len(out) > HELD:
-            done.append(np.array(out, np.uint32))
-            out.clear()
-        _, (begin, end), (_, second), (_, third) = found.regs
-        code = crc32(text[begin:end])
-        out.append(code)
-        if second > 0:
-            code = crc32(text[end:second], code)
-            out.append(code)
-            if third > 0:
-                out.append(crc32(text[second:third], code))
-        words += 1
-    return words, np.concatenate([*done, np.array(out, np.uint32)])
+def _crc_table() -> np.ndarray:
+    """What the low byte of a CRC32's state turns into when a byte is shifted out, for each of its values."""
+    state = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        state = (state >> np.uint32(1)) ^ np.where(state & 1, np.uint32(POLYNOMIAL), np.uint32(0))
+    return state
+
+
+_TABLE = _crc_table()
+#: Bytes of a span summed in steps over all spans; a longer rest is summed by itself.
+STEPPED = 48
+
+
+def carried_on(sums: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """CRC32 of what the sums stand for with the bytes data[begin:end] after it."""
+    state, which = ~sums, np.arange(len(sums))
+    for k in range(STEPPED):
+        which = which[end[which] - begin[which] > k]
+        if not len(which):
+            return ~state
+        old = state[which]
+        state[which] = _TABLE[(old ^ data[begin[which] + k]) & np.uint32(255)] ^ (old >> np.uint32(8))
+    out = ~state
+    for i in which.tolist():
+        out[i] = crc32(data[begin[i] + STEPPED : end[i]].tobytes(), int(out[i]))
+    return out
+
+
+def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, and of all runs of one to three words the text's number and the CRC32."""
+    plain = [collapsed(text) for text in texts]
+    joined = b"\n".join(plain)
+    spans = np.fromiter(chain.from_iterable(m.span() for m in _RUNS.finditer(joined, overlapped=True)), np.int64)
+    begin, stop, data = spans[::2], spans[1::2], np.frombuffer(joined, np.uint8)
+    starts = np.cumsum([0, *(len(t) + 1 for t in plain)])
+    row = np.searchsorted(starts, begin, "right") - 1
+    followed = row[:-1] == row[1:]
+    end = stop.copy()  # of the first word: the run's own, or the space before the next word
+    end[:-1][followed] = begin[1:][followed] - 1
+    one = carried_on(np.zeros(len(begin), np.uint32), data, begin, end)
+    two = np.flatnonzero(followed)
+    second = carried_on(one[two], data, end[two], end[two + 1])
+    three = np.flatnonzero(np.append(followed, False)[two + 1])
+    third = carried_on(second[three], data, end[two[three] + 1], stop[two[three]])
+    rows = np.concatenate([row, row[two], row[two[three]]])
+    return np.bincount(row, minlength=len(texts)), rows, np.concatenate([one, second, third])
 
 
 def _scanner(buckets: int, names: list[str]):
@@ -86,14 +117,14 @@ def _scanner(buckets: int, names: list[str]):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_size(batches):
-            n_words, held = [], []
-            for text in part.column("text"):
-                raw = text.as_buffer()
-                words, found = codes(raw.to_pybytes() if raw is not None else b"")
-                n_words.append(words)
-                held.append(np.sort((found % np.uint32(buckets)).astype(kind)).tobytes())
+            raw = (text.as_buffer() for text in part.column("text"))
+            n_words, rows, found = codes([b"" if r is None else r.to_pybytes() for r in raw])
+            keyed = np.sort(rows * buckets + found % np.uint32(buckets))
+            bounds = np.searchsorted(keyed, np.arange(part.num_rows + 1) * buckets).tolist()
+            held = (keyed % buckets).astype(kind)
             kept = [part.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(held, pa.binary())], [*names, *_BUCKETED.names])
+            sets = pa.array([held[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), sets], [*names, *_BUCKETED.names])
 
     return scan
 
