@@ -163,13 +163,32 @@ def sixteen_digits(cents: Column) -> Column:
 
 def minimal_digits(cents: Column) -> Column:
     """The fewest bytes that keep the sign, as the connector sends it."""
-    return F.regexp_replace(sixteen_digits(cents), "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
+    return minimal_digits_of(sixteen_digits(cents))
+
+
+def minimal_digits_of(digits: Column) -> Column:
+    return F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
 
 
 def base64_of(digits: Column) -> Column:
     return F.base64(F.unhex(digits))
 
 
+def thirty_two_digits(whole: Column) -> Column:
+    """A signed whole decimal as 16 big-endian bytes in hex."""
+    base = F.lit(str(1 << 64)).cast("decimal(38,0)")
+    lower = F.pmod(whole, base)
+    upper = ((whole - lower) / base).cast("bigint")
+    return F.concat(sixteen_digits(upper), F.lpad(F.conv(lower.cast("string"), 10, 16), 16, "0"))
+
+
+def wide_amount(cents: Column, digits: int) -> Column:
+    """A whole decimal of that many digits, with the sign and the digits of the cents."""
+    most, size = F.lit("1" + "0" * (digits - 1)).cast("decimal(38,0)"), F.abs(cents).cast("decimal(18,0)")
+    # Not a negated sum: a decimal's sign is turned at 34 digits.
+    return F.when(cents < 0, F.lit("-1" + "0" * (digits - 1)).cast("decimal(38,0)") - size).otherwise(most + size).cast("decimal(38,0)")
+
+
 def digits_of(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)").cast("string")
 

@@ -289,6 +289,14 @@ _FORMS = " UNION ALL ".join(
     ]
 )
 
+_WIDE_FORMS = " UNION ALL ".join(
+    f"""SELECT event_id, '{form}_{digits}' AS form,
+        CAST(CASE WHEN cents < 0 THEN '-' ELSE '' END || w[:-5] || '.' || w[-4:] AS DECIMAL(38,4)) AS amount
+    FROM (SELECT event_id, cents, CAST(CAST('1{"0" * (digits - 1)}' AS HUGEINT) + abs(cents) AS VARCHAR) AS w FROM ev)"""
+    for digits in (17, 18, 19, 20, 25, 31, 38)
+    for form in ("base64", "whole", "digits")
+)
+
 _INCREMENTAL = (
     _with(PAYMENTS, RATES, _LOOKED_UP, _FACT)
     + """,
@@ -328,16 +336,14 @@ raised AS (
          CAST(rate + CASE WHEN year(rate_date) >= 2000 THEN 0.01 ELSE 0 END AS DECIMAL(18,8)) AS rate
   FROM rates
 ),
-known AS (
-  SELECT * REPLACE (CAST(date_trunc('month', payment_date) AS DATE) AS payment_date) FROM payments WHERE payment_date <= DATE '2000-12-31'
-),
+known AS (SELECT * FROM payments WHERE payment_date <= DATE '2000-12-31'),
 flawed AS (
   SELECT * REPLACE (CAST(CASE WHEN payment_id % 97 = 0 THEN NULL WHEN payment_id % 89 = 0 THEN payment_date - INTERVAL 12 MONTH
                          ELSE payment_date END AS DATE) AS payment_date) FROM known
 ),
 repaired AS (
   SELECT * REPLACE (CAST(CASE WHEN payment_id % 79 = 0 AND payment_date >= DATE '2000-12-01' THEN payment_date - INTERVAL 1 MONTH
-                         ELSE payment_date END AS DATE) AS payment_date) FROM known WHERE payment_id % 83 <> 0
+                         ELSE payment_date END AS DATE) AS payment_date) FROM payments WHERE payment_id % 83 <> 0
 ),
 """
     + _fact_of("loaded", "flawed", "rates")
@@ -362,6 +368,7 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "decode_changes": f"{_CHANGES} SELECT * EXCLUDE (kafka_timestamp) FROM decoded",
     "decode_decimal_forms": f"{_with(EVENTS)} {_FORMS}",
+    "decode_wide_decimals": f"{_with(EVENTS)} {_WIDE_FORMS}",
     "quarantine_rows": f"""{_CHANGES} SELECT topic, "partition", "offset", reason FROM decoded WHERE reason IS NOT NULL""",
     "bronze_reconciliation": f"""{_CHANGES}
         SELECT topic, "partition", count(*) AS messages, count(*) FILTER (WHERE decode_ok) AS decoded,
@@ -393,6 +400,7 @@ ORACLES: dict[str, str] = {
                TIMESTAMP '2026-01-01 00:00:00' AS cdc_source_ts
         FROM payments""",
     "silver_after_compaction": _CURRENT,
+    "silver_published_changes": _CURRENT,
     "silver_stream": _CURRENT,
     "gold_daily_merchant_revenue": f"{_REVENUE} SELECT * FROM revenue",
     "gold_payment_method_mix": f"{_MIX} SELECT * FROM mix",
@@ -432,6 +440,10 @@ ORACLES: dict[str, str] = {
     "fct_payments_usd_incremental": _INCREMENTAL,
     "fct_payments_usd_refreshed": _REFRESHED,
     "fct_daily_revenue_usd": f"{_FACTS} {_DAILY_REVENUE}",
+    "fct_daily_revenue_usd_refreshed": f"WITH fact AS ({_REFRESHED}) {_DAILY_REVENUE}",
+    "shoppers_by_month": f"""{_FACTS}
+        SELECT CAST(date_trunc('month', payment_date) AS DATE) AS period_start, merchant_id, count(DISTINCT shopper_id) AS distinct_shoppers
+        FROM fact GROUP BY 1, 2""",
     "unconverted_by_currency": f"""{_FACTS}
         SELECT currency, count(*) AS payment_count, min(payment_date) AS first_date, max(payment_date) AS last_date
         FROM fact WHERE is_unconverted GROUP BY 1""",

@@ -109,6 +109,28 @@ def decode_decimal_forms(spark, sf_dir):
     return texts.select("event_id", "form", wire.money(F.col("json"), F.col("text"), MONEY).alias("amount"))
 
 
+#: Digits of amounts beyond 64 bits, and up to them.
+WIDE_DIGITS = (17, 18, 19, 20, 25, 31, 38)
+
+
+@query
+def decode_wide_decimals(spark, sf_dir):
+    """Amounts of 17 to 38 digits with four places, both signs, in three forms."""
+    events = a.event_facts(spark, sf_dir).select("event_id", "cents")
+    sizes = [F.struct(F.lit(str(n)).alias("digits"), a.wide_amount(F.col("cents"), n).alias("whole")) for n in WIDE_DIGITS]
+    wholes = events.select("event_id", F.inline(F.array(*sizes))).select("*", F.col("whole").cast("string").alias("plain"))
+    text = F.col("plain")
+    forms = {
+        "base64": a.quoted(a.base64_of(a.minimal_digits_of(a.thirty_two_digits(F.col("whole"))))),
+        "whole": text,
+        "digits": a.quoted(F.concat(text.substr(F.lit(1), F.length(text) - 4), F.lit("."), F.right(text, F.lit(4)))),
+    }
+    pairs = [F.struct(F.concat(F.lit(f"{name}_"), "digits").alias("form"), value.alias("text")) for name, value in forms.items()]
+    parsed = wholes.select("event_id", F.inline(F.array(*pairs))).select("event_id", "form", F.try_parse_json("text").alias("json"))
+    texts = parsed.select("*", wire.variant_text(F.col("json")).alias("text"))
+    return texts.select("event_id", "form", wire.money(F.col("json"), F.col("text"), T.DecimalType(38, 4)).alias("amount"))
+
+
 @query
 def quarantine_rows(spark, sf_dir):
     return decode.quarantine(decoded(spark, sf_dir)).select("topic", "partition", "offset", "reason")
@@ -171,6 +193,18 @@ def silver_after_compaction(spark, sf_dir):
     return store.current()
 
 
+@query
+def silver_published_changes(spark, sf_dir):
+    """Published in three turns: the mornings, then what the afternoons change, then the mornings once more, which change nothing."""
+    morning, afternoon = halves(change_log.to_bronze(a.messages(spark, sf_dir)))
+    root = scratch_dir(spark, "silver")
+    store = SilverStore(spark, root).create()
+    for batch, part in enumerate((morning, afternoon, morning)):
+        apply_batch(store, part, "q", batch)
+        store.publish_changes(f"{root}/published")
+    return store.live(f"{root}/published").drop("created_date")
+
+
 @query
 def silver_stream(spark, sf_dir):
     root = scratch_dir(spark, "stream")
@@ -315,27 +349,50 @@ def fct_payments_usd_incremental(spark, sf_dir):
     return facts.incremental_fact(loaded, payments, corrected)
 
 
-@query
-def fct_payments_usd_refreshed(spark, sf_dir):
-    """The written fact: loaded to the end of 2000 with flaws, refreshed from payments and rates put right since.
+def _refreshed_fact(spark, sf_dir, daily: str | None = None) -> str:
+    """The written fact: loaded to the end of 2000 with flaws, refreshed from all payments and rates put right since.
 
-    Flaws, by payment_id: every 97th without a date, every 89th a year early, every
-    79th of the last month a month late; every 83rd is deleted meanwhile. All are
-    dated on the first of their month, for some 70 partitions instead of 2,000.
+    Flaws, by payment_id: every 97th without a date, every 89th a year early. Since then
+    every 79th from December 2000 on has moved to a month earlier, every 83rd is deleted.
+    Days are the payments' own; partitions hold a month.
     """
     payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
     known = payments.where(F.col("payment_date") <= F.lit(dt.date(2000, 12, 31)))
-    known = known.withColumn("payment_date", F.trunc("payment_date", "month"))
     every, day = (lambda n: F.col("payment_id") % n == 0), F.col("payment_date")
-    last = F.lit(dt.date(2000, 12, 1))
     first_day = F.when(every(97), None).when(every(89), F.add_months(day, -12)).otherwise(day)
     path = f"{scratch_dir(spark, 'fact')}/fact"
-    facts.build_fact(path, known.withColumn("payment_date", first_day), feed)
+    facts.build_fact(path, known.withColumn("payment_date", first_day), feed, grain="month")
+    if daily:
+        facts.build_daily_revenue(spark, daily, path, grain="month")
     corrected = feed.withColumn("rate", F.when(F.year("rate_date") >= 2000, _raised("0.01")).otherwise(F.col("rate")))
-    moved = F.when(every(79) & (day >= last), F.add_months(day, -1)).otherwise(day)
-    facts.refresh_fact(spark, path, known.where(~every(83)).withColumn("payment_date", moved), corrected)
-    written = spark.read.parquet(path)
-    return written.select(*facts.fct_payments_usd(payments, feed).columns)
+    moved = F.when(every(79) & (day >= F.lit(dt.date(2000, 12, 1))), F.add_months(day, -1)).otherwise(day)
+    touched = facts.refresh_fact(spark, path, payments.where(~every(83)).withColumn("payment_date", moved), corrected, grain="month")
+    if daily:
+        facts.refresh_daily_revenue(spark, daily, path, touched, grain="month")
+    return path
+
+
+@query
+def fct_payments_usd_refreshed(spark, sf_dir):
+    """The fact table after its refresh."""
+    written = spark.read.parquet(_refreshed_fact(spark, sf_dir))
+    return written.select(*facts.fct_payments_usd(a.payments(spark, sf_dir), a.rates(spark, sf_dir)).columns)
+
+
+@query
+def fct_daily_revenue_usd_refreshed(spark, sf_dir):
+    """Daily revenue built before the fact's refresh, then only of the days it touched."""
+    daily = f"{scratch_dir(spark, 'daily')}/daily"
+    _refreshed_fact(spark, sf_dir, daily)
+    written = spark.read.parquet(daily).drop(facts.REVENUE_PERIOD)
+    return written.withColumn("gross_amount_usd", F.col("gross_amount_usd").cast("decimal(28,2)"))
+
+
+@query
+def shoppers_by_month(spark, sf_dir):
+    """Distinct shoppers of a merchant's month, from its days' sets."""
+    fact = facts.fct_payments_usd(a.payments(spark, sf_dir), a.rates(spark, sf_dir))
+    return facts.shoppers_by_period(facts.daily_shoppers(fact), "month")
 
 
 @query

@@ -67,6 +67,34 @@ def unscaled_integer(encoded: Column) -> Column:
     return F.when(F.length(encoded) > 0, F.conv(eight_bytes, 16, -10).try_cast("bigint"))
 
 
+def wide_integer(encoded: Column) -> Column:
+    """Strict base64 of a big-endian two's-complement integer → its digits, up to 128 bits.
+
+    Two limbs of 64 bits: the value is (signed upper) * 2**64 + lower, and where it has no
+    more than 38 digits, the product and the sum are exact decimals. Wider is NULL.
+    """
+    digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
+    sign = F.when(encoded.rlike(NEGATIVE_BASE64), F.lit("F")).otherwise(F.lit("0"))
+    minimal = F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
+    limbs = F.lpad(F.when(F.length(minimal) <= 32, minimal), 32, sign)
+    upper = F.conv(F.substring(limbs, 1, 16), 16, -10).cast("decimal(20,0)")
+    lower = F.conv(F.substring(limbs, 17, 16), 16, 10).cast("decimal(20,0)")
+    # Both terms with the value's sign, so that neither has more digits than it.
+    base, below = F.lit(str(1 << 64)).cast("decimal(20,0)"), upper < 0
+    upper, lower = F.when(below, upper + 1).otherwise(upper), F.when(below, lower - base).otherwise(lower)
+    whole = F.try_add(F.try_multiply(upper, base), lower)
+    return F.when(F.length(encoded) > 0, whole.try_cast("decimal(38,0)").cast("string"))
+
+
+def _pointed(digits: Column, scale: int) -> Column:
+    """Digits of a whole number of units of the last place, with the point where it belongs."""
+    sign = F.when(digits.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    bare = F.regexp_replace(digits, "^[+-]?0*", "")
+    padded = F.when(F.length(bare) > scale, bare).otherwise(F.lpad(bare, scale + 1, "0"))
+    whole = padded.substr(F.lit(1), F.length(padded) - scale)
+    return F.concat(sign, whole, F.lit("."), F.right(padded, F.lit(scale)) if scale else F.lit("0"))
+
+
 def variant_text(variant: Column) -> Column:
     return F.try_variant_get(variant, "$", "string")
 
@@ -82,18 +110,19 @@ def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str
     """
     if mode not in DECIMAL_MODES:
         raise ValueError(f"decimal mode must be one of {DECIMAL_MODES}, not {mode!r}")
-    if decimal_type.precision > 18:
-        raise ValueError("money columns wider than 18 digits do not fit a 64-bit unscaled value")
-
     target = decimal_type.simpleString()
     scale = decimal_type.scale
-    unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
+    wide = decimal_type.precision > 18  # beyond the 64 bits that the usual column is decoded by
 
     def scaled(unscaled: Column) -> Column:
+        if wide:
+            return _pointed(unscaled.cast("string"), scale).try_cast(target)
+        unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
         return (unscaled.cast("decimal(19,0)") * unit).try_cast(target)
 
     kind = F.schema_of_variant(variant)
-    from_base64, from_digits = scaled(unscaled_integer(text)), text.try_cast(target)
+    from_base64 = scaled(wide_integer(text) if wide else unscaled_integer(text))
+    from_digits = text.try_cast(target)
     is_base64 = text.rlike(STRICT_BASE64)
     looks_like_a_number = text.rlike("^-?[0-9]")
     if mode == "auto":
@@ -104,7 +133,10 @@ def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str
         from_string = F.when(is_base64, from_base64).when(fraction, from_digits)
     else:
         from_string = F.when(looks_like_a_number, from_digits)
-    whole = F.when(kind == "BIGINT", scaled(text.try_cast("bigint"))).when(kind.startswith("DECIMAL"), from_digits)
+    whole = F.when(kind == "BIGINT", scaled(text.try_cast("bigint")))
+    if wide:  # a whole number of more digits than a bigint holds
+        whole = whole.when(F.length(text) > 18, scaled(text))
+    whole = whole.when(kind.startswith("DECIMAL"), from_digits)
     return (
         F.when(text.isNull(), None)
         .when(text.rlike("^(?:-?[0-9]+|true)$") & (kind != "STRING"), whole)

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.collapse import current_rows
+from .operators.collapse import state_rows
 from .operators.decode import decoded_changes, reconciliation
 from .operators.rates import gap_runs, missing_rate_dates, newest_rates, parse_rate_documents, rates_daily
 from .plans import facts, gold, quality, staging
@@ -24,7 +24,7 @@ from .session import build_session
 from .sources import fx_files
 from .sources.change_log import BATCH_OFFSETS, FileLogSource, KafkaSource, bronze_stream, offset_gaps
 from .sources.layers import Lakehouse, replace_table
-from .sources.silver_store import SilverStore
+from .sources.silver_store import DAY, SilverStore
 from .streaming.bronze import run_bronze
 from .streaming.silver import run_silver
 
@@ -49,20 +49,25 @@ def apply_changes(spark: SparkSession, lake: Lakehouse, table: CapturedTable = P
 
 
 def publish(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS):
-    """The current rows as a table by creation day; marts read it."""
+    """The whole state as a table by creation day; marts read it."""
     silver_store(spark, lake, table).publish(lake.path("silver", table.name))
 
 
+def publish_changes(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS) -> set | None:
+    """The published table brought up to date; the days that have changed, None for all."""
+    return silver_store(spark, lake, table).publish_changes(lake.path("silver", table.name))
+
+
 def rebuild(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS):
     """The published table again from all of bronze, as after a change of the decoder; the change log is not read."""
     decoded = decoded_changes(lake.read(spark, "bronze", bronze_name(table), BRONZE), table)
-    rows = current_rows(decoded, table).withColumn("created_date", F.to_date("created_at"))
-    replace_table(rows, lake.path("silver", table.name), "created_date")
+    store = silver_store(spark, lake, table)
+    replace_table(store.by_day(state_rows(decoded, table)), lake.path("silver", table.name), DAY)
 
 
 def published(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS) -> DataFrame:
     """Current rows by creation day, as last published."""
-    return lake.read(spark, "silver", table.name)
+    return silver_store(spark, lake, table).live(lake.path("silver", table.name))
 
 
 def rebuild_marts(spark: SparkSession, lake: Lakehouse):
@@ -104,15 +109,17 @@ def staged_rates(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return staging.stg_fx_rates(newest_rates(fx_files.read_raw_rates(spark, lake.path("raw", "fx_rates"))))
 
 
-def build_warehouse(spark: SparkSession, lake: Lakehouse, payments: DataFrame, refresh: bool = False):
-    """The USD fact from staged payments, whole or for its trailing window, and daily revenue from it."""
-    path, rates = lake.path("marts", "fct_payments_usd"), staged_rates(spark, lake)
+def build_warehouse(spark: SparkSession, lake: Lakehouse, payments: DataFrame, refresh: bool = False, changed_days=()):
+    """The USD fact from staged payments and daily revenue from it, whole, or only of the days that change.
+
+    ``changed_days``: days of payments rewritten since, besides the trailing window.
+    """
+    path, daily, rates = lake.path("marts", "fct_payments_usd"), lake.path("marts", "fct_daily_revenue_usd"), staged_rates(spark, lake)
     if refresh:
-        facts.refresh_fact(spark, path, payments, rates)
+        facts.refresh_daily_revenue(spark, daily, path, facts.refresh_fact(spark, path, payments, rates, changed_days=changed_days))
     else:
         facts.build_fact(path, payments, rates)
-    daily = facts.fct_daily_revenue_usd(spark.read.parquet(path))
-    replace_table(daily, lake.path("marts", "fct_daily_revenue_usd"))
+        facts.build_daily_revenue(spark, daily, path)
 
 
 def rate_gaps(payments: DataFrame, feed: DataFrame) -> DataFrame:
@@ -198,7 +205,7 @@ def main(argv=None) -> None:
         ingest(spark, lake, KafkaSource(args.brokers, batch_offsets=args.batch_offsets) if args.brokers else from_files, table)
     elif args.job == "silver":
         apply_changes(spark, lake, table, print, args.batch_files)
-        publish(spark, lake, table)
+        publish_changes(spark, lake, table)
     elif args.job == "compact":
         silver_store(spark, lake, table).compact()
     elif args.job in ("publish", "rebuild"):

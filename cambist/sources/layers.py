@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: What Spark calls the partition of rows without a value.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 LAYERS = ("bronze", "silver", "gold", "raw", "marts")
 
 
@@ -65,12 +69,89 @@ def replace_table(frame: DataFrame, path: str, partition_by: str | None = None)
     )
 
 
-def remove_folder(path: str) -> None:
-    """Delete one folder of a table, in any store Arrow knows; nothing there is no error."""
+def replace_partitions(frame: DataFrame, path: str, partition_by: str) -> None:
+    """Replace those partitions of a table that the frame has rows for, and no others."""
+    (
+        frame.hint("rebalance", partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by)
+        .parquet(path)
+    )
+
+
+def day_folder(path: str, column: str, day: dt.date | None) -> str:
+    return f"{path.rstrip('/')}/{column}={NO_DAY if day is None else day}"
+
+
+def days_of(path: str, column: str) -> set[dt.date | None]:
+    """The days a table has partitions for, from folder names: one name per calendar day, no files are listed."""
+    names = (name.partition("=") for name in child_folders(path))
+    found = {value for name, _, value in names if name == column}
+    return {None if value == NO_DAY else dt.date.fromisoformat(value) for value in found}
+
+
+def read_days(spark: SparkSession, path: str, column: str, days, schema: T.StructType) -> DataFrame:
+    """The rows of these days. Only their folders are opened; a day without one has no rows."""
+    there = [day_folder(path, column, day) for day in sorted(set(days) & days_of(path, column), key=str)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*there)
+
+
+def _store(path: str):
     from pyarrow import fs
 
     scheme, mark, rest = path.partition("://")
     known = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    store, root = fs.FileSystem.from_uri(f"{known}://{rest}" if mark else path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(f"{known}://{rest}" if mark else path.removeprefix("file:"))
+
+
+def child_folders(path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    from pyarrow import fs
+
+    store, root = _store(path)
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    return sorted(f.base_name for f in found if f.type == fs.FileType.Directory)
+
+
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    store, root = _store(path)
+    return store.get_file_info(root).type != fs.FileType.NotFound
+
+
+def put_text(path: str, text: str) -> None:
+    """A small file, written aside and renamed: readers see the old one or the new one."""
+    store, root = _store(path)
+    parent, _, name = root.rpartition("/")
+    store.create_dir(parent, recursive=True)
+    own = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(own) as out:
+        out.write(text.encode())
+    store.move(own, root)
+
+
+def get_text(path: str) -> str | None:
+    if not exists(path):
+        return None
+    store, root = _store(path)
+    with store.open_input_stream(root) as file:
+        return file.read().decode()
+
+
+def remove_file(path: str) -> None:
+    if exists(path):
+        store, root = _store(path)
+        store.delete_file(root)
+
+
+def remove_folder(path: str) -> None:
+    """Delete one folder of a table, in any store Arrow knows; nothing there is no error."""
+    from pyarrow import fs
+
+    store, root = _store(path)
     if store.get_file_info(root).type == fs.FileType.Directory:
         store.delete_dir(root)

@@ -9,24 +9,36 @@ So folding needs no record of what was folded: ``compact`` writes the newest
 change per key of all complete batches as one more folder and then removes theirs.
 Between the two a key's change is there twice, which changes nothing.
 
-``publish`` writes the state as a plain table by creation day, which is what marts
-read, pruned to the days they need.
+The state is published as a table by creation day, which is what marts read, pruned to
+the days they need. ``publish`` writes all of it. ``publish_changes`` takes the batches
+that are not in it yet, finds where their keys stand by reading key and position alone,
+and rewrites only the days that lose or gain a row. Delete marks are published too, on
+the day of the row they end, so that a late change cannot bring it back; ``live`` leaves
+them out.
+
+What is published is noted in a file beside the changes, once it is. A publication that
+was cut short leaves a mark, and the next one writes the whole state from the changes.
 """
 
 from __future__ import annotations
 
-import re
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.collapse import live_rows, newest_per_key
-from ..schemas import BIGINT, INT, PAYMENTS, STRING, TIMESTAMP, CapturedTable, columns
-from .layers import remove_folder, replace_table
+from ..operators.collapse import ORDER_COLUMNS, live_rows, newest_per_key
+from ..schemas import BIGINT, DATE, INT, PAYMENTS, STRING, TIMESTAMP, CapturedTable, columns
+from ..session import scratch_dir
+from .layers import (
+    child_folders, day_folder, exists, get_text, put_text, read_days, remove_file, remove_folder,
+    replace_partitions, replace_table,
+)
 
-FOLDED = "folded"
+FOLDED, DAY = "folded", "created_date"
+Batches = set[tuple[str, int]]
 _BATCH_COLUMNS = columns(query_id=STRING, batch_id=BIGINT)
 _QUARANTINE = columns(
     value=STRING, topic=STRING, partition=INT, offset=BIGINT, kafka_timestamp=TIMESTAMP,
@@ -96,10 +108,22 @@ class SilverStore:
         return live_rows(self.state(), self.table)
 
     # -- upkeep ---------------------------------------------------------
-    def batches(self) -> set[tuple[str, int]]:
+    def batches(self) -> Batches:
         """(query, batch) of every folder of changes, from names alone: as many as since the last compaction."""
-        found = (re.search(r"query_id=([^/]+)/batch_id=([0-9]+)/", f) for f in self.changes().inputFiles())
-        return {(m[1], int(m[2])) for m in found if m}
+        found, parent = set(), self.changes_path()
+        for query in child_folders(parent):
+            name, _, query_id = query.partition("=")
+            if name == "query_id":
+                batches = (batch.partition("=") for batch in child_folders(f"{parent}/{query}"))
+                found |= {(query_id, int(number)) for key, _, number in batches if key == "batch_id"}
+        return found
+
+    def changes_of(self, batches: Batches) -> DataFrame:
+        """The changes of some batches; no other folder is opened."""
+        if not batches:
+            return self.spark.createDataFrame([], self.table.state_schema)
+        folders = [self.batch_folder(self.changes_path(), query, batch) for query, batch in sorted(batches)]
+        return self.spark.read.schema(self.table.state_schema).parquet(*folders)
 
     def compact(self) -> int:
         """Fold the complete batches into one folder and remove theirs; returns how many they were.
@@ -113,17 +137,99 @@ class SilverStore:
         complete = {(q, b) for q, b in found if q == FOLDED or b < newest[q]}
         if len(complete) < 2:
             return 0
-        name = F.struct(F.col("query_id").alias("q"), F.col("batch_id").alias("b"))
-        staying = F.lit(False)
-        for query, batch in sorted(newest.items()):
-            staying = staying | (name == F.struct(F.lit(query).alias("q"), F.lit(batch).cast("bigint").alias("b")))
-        folded = self.changes().where(~staying).select(*self.table.state_schema.names)
-        number = 1 + max((b for q, b in complete if q == FOLDED), default=0)
-        newest_per_key(folded, self.table.key).write.mode("overwrite").parquet(self.batch_folder(self.changes_path(), FOLDED, number))
+        folded = (FOLDED, 1 + max((b for q, b in complete if q == FOLDED), default=0))
+        target = self.batch_folder(self.changes_path(), *folded)
+        newest_per_key(self.changes_of(complete), self.table.key).write.mode("overwrite").parquet(target)
+        known = self.noted()
+        if complete <= known:
+            self._note(known | {folded})
         for query, batch in sorted(complete):
             remove_folder(self.batch_folder(self.changes_path(), query, batch))
         return len(complete)
 
+    # -- publication ----------------------------------------------------
+    @property
+    def published_schema(self) -> T.StructType:
+        return T.StructType(self.table.state_schema.fields + columns(**{DAY: DATE}).fields)
+
+    def published(self, path: str) -> DataFrame:
+        """The published state, delete marks included."""
+        return self.spark.read.schema(self.published_schema).parquet(path)
+
+    def live(self, path: str) -> DataFrame:
+        """The published rows that are not deleted, with their day."""
+        return self.published(path).where(~F.col("is_deleted")).select(*self.table.silver_schema.names, DAY)
+
+    def by_day(self, state: DataFrame) -> DataFrame:
+        return state.select(*self.table.state_schema.names).withColumn(DAY, F.to_date("created_at"))
+
+    def noted(self) -> Batches:
+        """The batches that the published table holds."""
+        return {(query, batch) for query, batch in json.loads(get_text(self._note_path()) or "[]")}
+
+    def _note_path(self) -> str:
+        return f"{self.root}/_published.json"
+
+    def _mark_path(self) -> str:
+        return f"{self.root}/_publishing"
+
+    def _note(self, batches: Batches) -> None:
+        put_text(self._note_path(), json.dumps(sorted(batches & self.batches())))
+
     def publish(self, path: str) -> None:
-        """The state as a plain table partitioned by creation day, for pruned reads."""
-        replace_table(self.current().withColumn("created_date", F.to_date("created_at")), path, "created_date")
+        """The whole state, from all changes."""
+        found = self.batches()
+        put_text(self._mark_path(), "")
+        replace_table(self.by_day(newest_per_key(self.changes_of(found), self.table.key)), path, DAY)
+        self._note(found)
+        remove_file(self._mark_path())
+
+    def publish_changes(self, path: str) -> set | None:
+        """Bring the published table up to date with the batches it does not hold yet.
+
+        Returns the days whose rows have changed, or None if all were written, as on the
+        first call and after one that was cut short.
+        """
+        known = self.noted()
+        if exists(self._mark_path()) or not known or not exists(path):
+            self.publish(path)
+            return None
+        found = self.batches()
+        new = found - known
+        if not new:
+            return set()
+        days = self.merge_published(path, newest_per_key(self.changes_of(new), self.table.key))
+        self._note(found)
+        remove_file(self._mark_path())
+        return days
+
+    def merge_published(self, path: str, changes: DataFrame) -> set:
+        """Merge one change per key into the published table; the days rewritten.
+
+        The table's keys and positions are read to find what each change replaces and
+        whether it is newer. Rows are read of the days that then lose or gain one.
+        """
+        keys, scratch = list(self.table.key), scratch_dir(self.spark, "publish")
+        incoming = self._written(self.by_day(changes), f"{scratch}/incoming")
+        held = self.published(path).select(*keys, DAY, F.struct(*ORDER_COLUMNS).alias("_held"))
+        held = held.withColumnRenamed(DAY, "_day").join(incoming.select(*keys), keys, "left_semi")
+        paired = incoming.join(held, keys, "left")
+        newer = F.col("_held").isNull() | (F.struct(*ORDER_COLUMNS) > F.col("_held"))
+        winners = self._written(paired.where(newer).withColumn("_replaces", F.col("_held").isNotNull()).drop("_held"), f"{scratch}/winners")
+        # One row per calendar day at most, whatever the number of changes.
+        gained = {row[0] for row in winners.select(DAY).distinct().collect()}
+        lost = {row[0] for row in winners.where("_replaces").select("_day").distinct().collect()}
+        touched = gained | lost
+        if not touched:
+            return touched
+        kept = read_days(self.spark, path, DAY, touched, self.published_schema).join(winners.select(*keys), keys, "left_anti")
+        merged = self._written(kept.unionByName(winners.select(*self.published_schema.names)), f"{scratch}/merged")
+        put_text(self._mark_path(), "")  # from here to the note, the table may hold half of this
+        replace_partitions(merged, path, DAY)
+        for day in touched - {row[0] for row in merged.select(DAY).distinct().collect()}:
+            remove_folder(day_folder(path, DAY, day))
+        return touched
+
+    def _written(self, frame: DataFrame, path: str) -> DataFrame:
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)

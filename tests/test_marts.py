@@ -123,7 +123,7 @@ def test_refresh_rewrites_the_window_and_the_days_payments_left(spark, staged, t
         assert spark.read.parquet(path).count() == 11
         assert after[1004][0] == Decimal("88.50") and after[1010] == (Decimal("21.05"), "2026-01-05")
         assert after[1011][0] == Decimal("250.00") and after[1007] == before[1007]
-    assert not (tmp_path / "fact" / "payment_date=2025-12-01").exists()
+    assert not (tmp_path / "fact" / "payment_period=2025-12-01").exists()
     expected = {r.payment_id: r.amount_usd for r in facts.incremental_fact(
         facts.fct_payments_usd(payments, rates), late, restated).collect()}
     assert {i: a for i, (a, _) in after.items()} == expected
