@@ -41,7 +41,7 @@ ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 _SHARDS = pa.schema([("shard", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
 _READ = pa.schema(
-    [("shard", pa.string()), ("doc_id", pa.int64()), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("shard", pa.string())]
 )
 
 
@@ -167,17 +167,18 @@ def _reader(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             store, root = _store(folder)
-            for name in batch.column("shard").to_pylist():
+            for name, before in zip(batch.column("shard").to_pylist(), batch.column("before").to_pylist()):
                 with store.open_input_stream(f"{root}/{name}") as file:
-                    yield shard_rows(name, Shard(file.read()))
+                    yield shard_rows(name, Shard(file.read()), before)
 
     return read
 
 
-def shard_rows(name: str, shard: Shard) -> pa.RecordBatch:
+def shard_rows(name: str, shard: Shard, before: int) -> pa.RecordBatch:
+    """``before``: ids in the shards before this one."""
     starts, ends = shard.bounds_of(np.arange(len(shard)))
     sums = [zlib.crc32(shard.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
-    return record(_READ, shard=[name] * len(shard), doc_id=shard.doc_ids(), begin=starts, n_tokens=ends - starts, ids_crc32=sums)
+    return record(_READ, shard=[name] * len(shard), doc_id=shard.doc_ids(), start=starts + before, n_tokens=ends - starts, ids_crc32=sums)
 
 
 def read_documents(folder: str, shards: DataFrame) -> DataFrame:
@@ -191,8 +192,8 @@ def read_documents(folder: str, shards: DataFrame) -> DataFrame:
     before = W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     tasks = shards.groupBy(task.alias("task")).agg(F.sum("ids").alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     starts = shards.select("shard", task.alias("task"), F.coalesce(F.sum("ids").over(within), F.lit(0)).alias("inside")).join(tasks, "task")
-    found = map_arrow(shards.select("shard"), _reader(folder), "shard string, doc_id long, begin long, n_tokens long, ids_crc32 long")
-    return found.join(starts, "shard").select("doc_id", (F.col("begin") + F.col("inside") + F.col("base")).alias("start"), "n_tokens", "ids_crc32", "shard")
+    begun = starts.select("shard", (F.col("inside") + F.col("base")).alias("before"))
+    return map_arrow(begun, _reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
 
 
 def encode_to_files(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:

@@ -121,8 +121,8 @@ def test_rows_are_read_by_the_select_directory(monkeypatch):
     data = token_files.shard_bytes([None, *range(699)], ends, np.arange(2100) % 50)
     whole = EliasFano.all
     monkeypatch.setattr(EliasFano, "all", lambda self: whole(self) if self.n == 699 else pytest.fail("all ends were decoded"))
-    rows = token_files.shard_rows("s", token_files.Shard(data))
-    assert rows.column("begin").to_pylist() == (ends - 3).tolist() and set(rows.column("n_tokens").to_pylist()) == {3}
+    rows = token_files.shard_rows("s", token_files.Shard(data), 50)
+    assert rows.column("start").to_pylist() == (ends - 3 + 50).tolist() and set(rows.column("n_tokens").to_pylist()) == {3}
     assert rows.column("ids_crc32")[1].as_py() == crc([3, 4, 5])
 
 
