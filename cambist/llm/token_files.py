@@ -193,7 +193,9 @@ def read_documents(folder: str, shards: DataFrame) -> DataFrame:
     tasks = shards.groupBy(task.alias("task")).agg(F.sum("ids").alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     starts = shards.select("shard", task.alias("task"), F.coalesce(F.sum("ids").over(within), F.lit(0)).alias("inside")).join(tasks, "task")
     begun = starts.select("shard", (F.col("inside") + F.col("base")).alias("before"))
-    return map_arrow(begun, _reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
+    # A number of its own: these few rows stand for all ids, and would else be put into one task.
+    dealt = begun.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard")
+    return map_arrow(dealt, _reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
 
 
 def encode_to_files(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
