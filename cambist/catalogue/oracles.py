@@ -401,6 +401,24 @@ ORACLES: dict[str, str] = {
         FROM payments""",
     "silver_after_compaction": _CURRENT,
     "silver_published_changes": _CURRENT,
+    "silver_batch_metrics": f"""{_CHANGES},
+        batches AS (
+          SELECT 'q' AS query_id, CAST(0 AS BIGINT) AS batch_id, * FROM decoded d JOIN ev ON ev.event_id = d."offset" WHERE hour(ev.ts) < 12
+          UNION ALL SELECT 'q', 1, * FROM decoded d JOIN ev ON ev.event_id = d."offset"
+          UNION ALL SELECT 'after-reset', 0, * FROM decoded d JOIN ev ON ev.event_id = d."offset" WHERE hour(ev.ts) < 12)
+        SELECT query_id, batch_id, count(*) AS messages, count(*) FILTER (WHERE decode_ok) AS decoded,
+               count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined, count(*) FILTER (WHERE is_tombstone) AS tombstones, true AS reconciles
+        FROM batches GROUP BY 1, 2""",
+    "offset_coverage": """
+        SELECT 'cdc.public.payments' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", min(event_id) AS first_offset, max(event_id) AS last_offset,
+               max(event_id) - min(event_id) + 1 - count(*) AS missing_offsets, CAST(2 * count(*) FILTER (WHERE hour(ts) < 12) AS BIGINT) AS repeated_records
+        FROM events GROUP BY 2""",
+    "offset_gap_list": """
+        SELECT topic, "partition", last + 1 AS first_missing, next - 1 AS last_missing FROM (
+          SELECT 'cdc.public.payments' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS last,
+                 lead(event_id) OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS next
+          FROM events WHERE hour(ts) < 12 OR event_id % 10 <> 3)
+        WHERE next > last + 1""",
     "silver_stream": _CURRENT,
     "gold_daily_merchant_revenue": f"{_REVENUE} SELECT * FROM revenue",
     "gold_payment_method_mix": f"{_MIX} SELECT * FROM mix",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import wire
 from ..functions.money import to_base_half_even
-from ..operators import asof, collapse, decode, merge, rates
+from ..operators import asof, collapse, decode, merge, offsets, rates
 from ..plans import facts, gold, quality, reports, staging
 from ..schemas import FEED_CURRENCIES, MERCHANTS, MONEY, PAYMENTS, REFUNDS
 from ..session import prepare, scratch_dir
@@ -205,6 +205,37 @@ def silver_published_changes(spark, sf_dir):
     return store.live(f"{root}/published").drop("created_date")
 
 
+def _three_batches(spark, sf_dir) -> SilverStore:
+    """The log applied in batches: the mornings, all of it, and the mornings again under another query; the first is tried twice."""
+    bronze = change_log.to_bronze(a.messages(spark, sf_dir))
+    morning, _ = halves(bronze)
+    store = SilverStore(spark, scratch_dir(spark, "silver")).create()
+    for query_id, batch_id, part in (("q", 0, morning), ("q", 0, morning), ("q", 1, bronze), ("after-reset", 0, morning)):
+        apply_batch(store, part, query_id, batch_id)
+    return store
+
+
+@query
+def silver_batch_metrics(spark, sf_dir):
+    """Counters kept by query and batch; one that was tried again is there once."""
+    return _three_batches(spark, sf_dir).metrics()
+
+
+@query
+def offset_coverage(spark, sf_dir):
+    """What the batches of a log together read and missed, from the runs of offsets they kept."""
+    return offsets.coverage(_three_batches(spark, sf_dir).offsets())
+
+
+@query
+def offset_gap_list(spark, sf_dir):
+    """Runs of offsets missing from two batches that overlap: the mornings and the log without every tenth event."""
+    bronze = change_log.to_bronze(a.messages(spark, sf_dir))
+    morning, _ = halves(bronze)
+    thinned = bronze.where(F.col("offset") % 10 != 3)
+    return offsets.gap_list(offsets.offset_runs(morning).unionByName(offsets.offset_runs(thinned)))
+
+
 @query
 def silver_stream(spark, sf_dir):
     root = scratch_dir(spark, "stream")

@@ -77,13 +77,24 @@ def wide_integer(encoded: Column) -> Column:
     sign = F.when(encoded.rlike(NEGATIVE_BASE64), F.lit("F")).otherwise(F.lit("0"))
     minimal = F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
     limbs = F.lpad(F.when(F.length(minimal) <= 32, minimal), 32, sign)
-    upper = F.conv(F.substring(limbs, 1, 16), 16, -10).cast("decimal(20,0)")
-    lower = F.conv(F.substring(limbs, 17, 16), 16, 10).cast("decimal(20,0)")
-    # Both terms with the value's sign, so that neither has more digits than it.
-    base, below = F.lit(str(1 << 64)).cast("decimal(20,0)"), upper < 0
-    upper, lower = F.when(below, upper + 1).otherwise(upper), F.when(below, lower - base).otherwise(lower)
-    whole = F.try_add(F.try_multiply(upper, base), lower)
-    return F.when(F.length(encoded) > 0, whole.try_cast("decimal(38,0)").cast("string"))
+    base = F.lit(str(1 << 64)).cast("decimal(20,0)")
+
+    def added(pair: Column) -> Column:
+        upper, lower = pair["upper"], pair["lower"]
+        # Both terms with the value's sign, so that neither has more digits than it.
+        carry = (upper < 0).cast("int")
+        return F.try_add(F.try_multiply(upper + carry, base), lower - carry * base).try_cast("decimal(38,0)").cast("string")
+
+    def parted(text: Column) -> Column:
+        upper, lower = F.conv(F.substring(text, 1, 16), 16, -10), F.conv(F.substring(text, 17, 16), 16, 10)
+        return F.struct(upper.cast("decimal(20,0)").alias("upper"), lower.cast("decimal(20,0)").alias("lower"))
+
+    return F.when(F.length(encoded) > 0, _bound(_bound(limbs, parted), added))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, the value computed once however often it is used: as an expression it would be repeated each time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _pointed(digits: Column, scale: int) -> Column:
@@ -116,7 +127,7 @@ def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str
 
     def scaled(unscaled: Column) -> Column:
         if wide:
-            return _pointed(unscaled.cast("string"), scale).try_cast(target)
+            return _bound(unscaled.cast("string"), lambda digits: _pointed(digits, scale)).try_cast(target)
         unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
         return (unscaled.cast("decimal(19,0)") * unit).try_cast(target)
 

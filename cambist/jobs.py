@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.collapse import state_rows
-from .operators.decode import decoded_changes, reconciliation
+from .operators.decode import decoded_changes
+from .operators.offsets import coverage
 from .operators.rates import gap_runs, missing_rate_dates, newest_rates, parse_rate_documents, rates_daily
 from .plans import facts, gold, quality, staging
 from .schemas import BRONZE, CAPTURED_TABLES, PAYMENTS, RAW_MERCHANTS, REPORTING_CURRENCY, CapturedTable
 from .session import build_session
 from .sources import fx_files
-from .sources.change_log import BATCH_OFFSETS, FileLogSource, KafkaSource, bronze_stream, offset_gaps
+from .sources.change_log import BATCH_OFFSETS, FileLogSource, KafkaSource, bronze_stream
 from .sources.layers import Lakehouse, replace_table
 from .sources.silver_store import DAY, SilverStore
 from .streaming.bronze import run_bronze
@@ -141,7 +142,7 @@ def check(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> Data
     """
     payments, feed = staging.stg_payments(published(spark, lake)), staged_rates(spark, lake)
     fact = spark.read.parquet(lake.path("marts", "fct_payments_usd"))
-    bronze = lake.read(spark, "bronze", bronze_name(PAYMENTS), BRONZE)
+    store = silver_store(spark, lake)
     models = {
         "stg_payments": payments,
         "stg_fx_rates": feed,
@@ -158,14 +159,14 @@ def check(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> Data
             raise
     absent = [(f"{m}.not_checked", 1, False) for m in ("stg_merchants", "dim_merchants") if m not in models]
     rows = spark.createDataFrame(absent, "metric string, value long, healthy boolean")
-    health = quality.health_metrics(reconciliation(decoded_changes(bronze, PAYMENTS), "topic"), fact, rate_gaps(payments, feed))
+    health = quality.health_metrics(store.metrics(), fact, rate_gaps(payments, feed))
     found = quality.check_all(models).select(
         F.concat_ws(".", "model", "check_name").alias("metric"), F.col("violations").alias("value"), (F.col("violations") == 0).alias("healthy")
     )
     unconverted = facts.unconverted_by_currency(fact).select(
         F.concat(F.lit("unconverted."), "currency").alias("metric"), F.col("payment_count").alias("value"), F.lit(False).alias("healthy")
     )
-    gaps = offset_gaps(bronze).select(
+    gaps = coverage(store.offsets()).select(
         F.concat_ws(".", F.lit("missing_offsets"), "topic", F.col("partition").cast("string")).alias("metric"),
         F.col("missing_offsets").alias("value"), (F.col("missing_offsets") == 0).alias("healthy"),
     )

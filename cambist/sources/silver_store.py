@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.collapse import ORDER_COLUMNS, live_rows, newest_per_key
+from ..operators.offsets import RUNS
 from ..schemas import BIGINT, DATE, INT, PAYMENTS, STRING, TIMESTAMP, CapturedTable, columns
 from ..session import scratch_dir
 from .layers import (
@@ -40,6 +41,7 @@ from .layers import (
 FOLDED, DAY = "folded", "created_date"
 Batches = set[tuple[str, int]]
 _BATCH_COLUMNS = columns(query_id=STRING, batch_id=BIGINT)
+_METRICS = columns(messages=BIGINT, decoded=BIGINT, quarantined=BIGINT, tombstones=BIGINT)
 _QUARANTINE = columns(
     value=STRING, topic=STRING, partition=INT, offset=BIGINT, kafka_timestamp=TIMESTAMP,
     reason=STRING, ingested_at=TIMESTAMP
@@ -87,6 +89,17 @@ class SilverStore:
         )
         rows.write.mode("overwrite").parquet(self.batch_folder(self.quarantine_path(), query_id, batch_id))
 
+    def keep_metrics(self, counts: dict[str, int], query_id: str, batch_id: int) -> None:
+        """A batch's counters, in a folder of its own: a retry replaces them."""
+        row = self.spark.createDataFrame([tuple(counts[name] for name in _METRICS.names)], _METRICS)
+        row.coalesce(1).write.mode("overwrite").parquet(self.batch_folder(f"{self.root}/metrics", query_id, batch_id))
+
+    def keep_offsets(self, runs: DataFrame, query_id: str, batch_id: int) -> None:
+        runs.write.mode("overwrite").parquet(self.batch_folder(f"{self.root}/offsets", query_id, batch_id))
+
+    def progress_path(self) -> str:
+        return f"{self.root}/progress"
+
     # -- reading --------------------------------------------------------
     def changes(self) -> DataFrame:
         schema = T.StructType(self.table.state_schema.fields + _BATCH_COLUMNS.fields)
@@ -100,6 +113,21 @@ class SilverStore:
         placed = rows.where(F.col("offset").isNotNull()).dropDuplicates(place)
         return placed.unionByName(rows.where(F.col("offset").isNull()))
 
+    def _kept(self, name: str, schema: T.StructType) -> DataFrame:
+        schema = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
+        path = f"{self.root}/{name}"
+        return self.spark.read.schema(schema).parquet(path) if exists(path) else self.spark.createDataFrame([], schema)
+
+    def metrics(self) -> DataFrame:
+        """One row per query and batch: what became of its messages, and whether that is all of them."""
+        kept = self._kept("metrics", _METRICS)
+        whole = F.col("messages") == F.col("decoded") + F.col("quarantined") + F.col("tombstones")
+        return kept.withColumn("reconciles", whole)
+
+    def offsets(self) -> DataFrame:
+        """The runs of offsets of all batches, not merged."""
+        return self._kept("offsets", RUNS)
+
     def state(self) -> DataFrame:
         """The newest change per key, delete marks included."""
         return newest_per_key(self.changes().select(*self.table.state_schema.names), self.table.key)

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.collapse import state_rows
 from ..operators.decode import counter_columns, decoded_changes, quarantine
+from ..operators.offsets import offset_runs
 from ..sources.silver_store import SilverStore
+from .progress import drained
 
 Metrics = dict[str, int]
 
@@ -18,10 +20,11 @@ Metrics = dict[str, int]
 def apply_batch(
     store: SilverStore, messages: DataFrame, query_id: str, batch_id: int, decimal_mode: str = "auto"
 ) -> Metrics:
-    """Counters and two writes over one decode; both writes replace the batch's own folder.
+    """Counters and writes over one decode; every write replaces the batch's own folder.
 
     Counted by an aggregate over the kept rows, not by observed metrics: those
-    count a task twice when a lost executor makes it run again.
+    count a task twice when a lost executor makes it run again. The counters are kept
+    beside the changes, and so are the runs of offsets that were read.
     """
     decoded = decoded_changes(messages, store.table, decimal_mode=decimal_mode)
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
@@ -31,6 +34,9 @@ def apply_batch(
             store.append_changes(state_rows(decoded, store.table), query_id, batch_id)
         if counts["quarantined"]:
             store.append_quarantine(quarantine(decoded), query_id, batch_id)
+        store.keep_metrics(counts, query_id, batch_id)
+        if {"topic", "partition", "offset"} <= set(decoded.columns):
+            store.keep_offsets(offset_runs(decoded), query_id, batch_id)
         return {"batch_id": batch_id, **counts}
     finally:
         decoded.unpersist()
@@ -60,4 +66,4 @@ def start_silver(
 
 def run_silver(bronze: DataFrame, store: SilverStore, checkpoint: str, on_batch=None, decimal_mode="auto") -> None:
     store.create()
-    start_silver(bronze, store, checkpoint, on_batch, decimal_mode).awaitTermination()
+    drained(store.spark, lambda: start_silver(bronze, store, checkpoint, on_batch, decimal_mode), store.progress_path())
