@@ -442,6 +442,7 @@ ORACLES: dict[str, str] = {
     "fx_currencies": f"{_with(RATES)} SELECT DISTINCT currency FROM rates",
     "fx_asof_rate": f"{_LOOKUP} SELECT payment_id, currency, payment_date, rate, published_on FROM looked_up",
     "fx_asof_rate_salted": f"{_LOOKUP} SELECT payment_id, currency, payment_date, rate, published_on FROM looked_up",
+    "fx_asof_rate_carried": f"{_LOOKUP} SELECT payment_id, currency, payment_date, rate, published_on FROM looked_up",
     "fx_to_base": f"""{_LOOKUP},
         divided AS (SELECT *, (cents * 100000000) // rate_e8 AS q, (cents * 100000000) % rate_e8 AS r FROM looked_up)
         SELECT payment_id, currency, amount,
@@ -472,6 +473,9 @@ ORACLES: dict[str, str] = {
     "report_merchant_revenue": f"""{_REVENUE}
         SELECT * REPLACE (CAST(gross_amount AS VARCHAR) AS gross_amount, CAST(average_amount AS VARCHAR) AS average_amount)
         FROM revenue WHERE {_REPORT_RANGE}""",
+    "report_revenue_pages": f"""{_REVENUE}
+        SELECT * REPLACE (CAST(gross_amount AS VARCHAR) AS gross_amount, CAST(average_amount AS VARCHAR) AS average_amount)
+        FROM revenue WHERE {_REPORT_RANGE}""",
     "report_revenue_totals": f"""{_REVENUE}
         SELECT currency, CAST(sum(gross_amount) AS VARCHAR) AS amount FROM revenue WHERE {_REPORT_RANGE} GROUP BY 1""",
     "report_method_mix": f"""{_MIX}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -340,6 +341,13 @@ def fx_asof_rate_salted(spark, sf_dir):
     return looked_up.select("payment_id", "currency", "payment_date", "rate", "published_on")
 
 
+@query
+def fx_asof_rate_carried(spark, sf_dir):
+    """The same lookup by sorting payments and rates together, months of many payments cut."""
+    looked_up = asof.asof_carried(a.payments(spark, sf_dir), a.rates(spark, sf_dir), block_rows=50)
+    return looked_up.select("payment_id", "currency", "payment_date", "rate", "published_on")
+
+
 @query
 def fx_to_base(spark, sf_dir):
     looked_up = asof.asof_rate(a.payments(spark, sf_dir), a.rates(spark, sf_dir))
@@ -516,6 +524,18 @@ def report_merchant_revenue(spark, sf_dir):
     return reports.merchant_revenue(revenue, REPORT_MERCHANT, REPORT_START, REPORT_END).days
 
 
+@query
+def report_revenue_pages(spark, sf_dir):
+    """The same report in pages of 40 rows, each asked for by where the one before it ended."""
+    revenue = _written(gold.daily_merchant_revenue(a.payments(spark, sf_dir)), "revenue")
+    pages, after = [], None
+    while not pages or after:
+        page = reports.merchant_revenue(revenue, REPORT_MERCHANT, REPORT_START, REPORT_END, limit=40, after=after)
+        pages.append(page.days)
+        after = page.next_after
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
 @query
 def report_revenue_totals(spark, sf_dir):
     revenue = gold.daily_merchant_revenue(a.payments(spark, sf_dir))

@@ -12,6 +12,8 @@ from ..schemas import REPORTING_CURRENCY
 
 # Rows of (currency, day) that may be broadcast: about 180 currencies over 30 years.
 BROADCAST_ROWS = 2_000_000
+# Facts of one currency and month that one task sorts.
+BLOCK_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -128,3 +130,78 @@ def asof_rate(
         joined = keyed.join(days.hint("shuffle_hash"), ["_code", "_day", "_salt"], "left").drop("_salt")
     one = F.when(code == base.upper(), F.lit(1).cast("decimal(18,8)"))
     return joined.withColumn("rate", F.coalesce(one, F.col("rate"))).drop("_code", "_day")
+
+
+def asof_carried(
+    facts: DataFrame,
+    rates: DataFrame,
+    currency: str = "currency",
+    as_of: str = "payment_date",
+    base: str = REPORTING_CURRENCY,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The same lookup without a calendar: facts and rates sorted together, the last rate carried on to the facts.
+
+    Rows are dealt by (currency, month, salt). Each month starts with the rate in force
+    before it, so months do not wait for each other, and a currency that most facts are
+    in is spread over its months. A month with more than ``block_rows`` facts is cut by
+    salt, each cut with the month's few rates; what is sent is rates times cuts, never days
+    times salts. The facts are exchanged once, in the union.
+    """
+    usable = usable_rates(rates, base)
+    span = feed_span(usable)
+    feed_end = F.lit(span.last_day).cast("date")
+    code, day = F.upper(F.col(currency)), F.col(as_of).cast("date")
+    # A later day has the rate of the feed's last. least() skips NULLs; a fact without a date has no rate.
+    keyed = facts.select(
+        F.struct("*").alias("_fact"), F.when(code != base.upper(), code).alias("_code"), F.when(day.isNotNull(), F.least(day, feed_end)).alias("_day")
+    ).withColumn("_month", F.trunc("_day", "month"))
+    salts = _cuts(keyed, block_rows)
+    # Facts that need no lookup, those in the base currency among them, are dealt over all partitions.
+    apart = F.when(F.col("_month").isNull() | F.col("_code").isNull(), F.lit(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    salted = keyed.join(F.broadcast(salts), ["_code", "_month"], "left").withColumn("_cuts", F.coalesce(apart, "_cuts", F.lit(1)))
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64("_fact"), F.col("_cuts")).cast("int"))
+
+    published = published_rates(usable).select(
+        F.col("currency").alias("_code"), F.trunc("rate_date", "month").alias("_month"), F.col("rate_date").alias("_day"),
+        F.struct("rate", F.col("rate_date").alias("published_on")).alias("_rate"),
+    )
+    known = published.unionByName(_carried_in(published, feed_end)).join(F.broadcast(salts), ["_code", "_month"], "left")
+    known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_cuts", F.lit(1)) - 1)))
+    both = salted.select("_code", "_month", "_salt", "_day", "_fact", F.lit(None).cast(known.schema["_rate"].dataType).alias("_rate")).unionByName(
+        known.select("_code", "_month", "_salt", "_day", F.lit(None).cast(keyed.schema["_fact"].dataType).alias("_fact"), "_rate")
+    )
+    # On one day the rate comes before the facts: a missing fact sorts first.
+    in_order = Window.partitionBy("_code", "_month", "_salt").orderBy("_day", F.col("_fact").isNotNull())
+    carried = both.withColumn("_rate", F.last("_rate", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    found = carried.where(F.col("_fact").isNotNull())
+    no_lookup = F.col("_code").isNull() | F.col("_day").isNull()
+    rate, when = (F.when(~no_lookup, F.col(f"_rate.{name}")) for name in ("rate", "published_on"))
+    one = F.when(F.upper(F.col(f"_fact.{currency}")) == base.upper(), F.lit(1).cast("decimal(18,8)"))
+    return found.select("_fact.*", F.coalesce(one, rate).alias("rate"), when.alias("published_on"))
+
+
+def _cuts(keyed: DataFrame, block_rows: int) -> DataFrame:
+    """Months of a currency with more than ``block_rows`` facts, and in how many cuts each is dealt.
+
+    The bound is raised to a quarter of a shuffle partition's even share, so these are at
+    most four rows for each shuffle partition.
+    """
+    counted = keyed.groupBy("_code", "_month").agg(F.count("*").alias("_rows"))
+    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = keyed.agg(F.count("*")).first()[0]
+    bound = max(block_rows, -(-total // (4 * partitions)))
+    heavy = F.col("_code").isNotNull() & F.col("_month").isNotNull() & (F.col("_rows") > bound)
+    return counted.where(heavy).select("_code", "_month", F.ceil(F.col("_rows") / F.lit(bound)).cast("int").alias("_cuts"))
+
+
+def _carried_in(published: DataFrame, feed_end: Column) -> DataFrame:
+    """For each month after a currency's first, up to the feed's end, the rate in force before it, dated before all its days."""
+    last = published.groupBy("_code", "_month").agg(F.max(F.struct("_day", "_rate")).alias("_last"))
+    following = F.lead("_month").over(Window.partitionBy("_code").orderBy("_month"))
+    until = F.coalesce(following, F.trunc(feed_end, "month"))
+    first = F.add_months("_month", 1)
+    months = last.withColumn("_until", until).where(first <= F.col("_until"))
+    return months.select(
+        "_code", F.explode(F.sequence(first, F.col("_until"), F.expr("interval 1 month"))).alias("_month"), F.col("_last._rate").alias("_rate")
+    ).select("_code", "_month", F.date_sub("_month", 1).alias("_day"), "_rate")

@@ -36,6 +36,7 @@ class RevenueReport:
     totals: DataFrame
     total_days: int | None = None
     truncated: bool = False
+    next_after: tuple[dt.date, str] | None = None
 
 
 def _whole_number(value) -> bool:
@@ -50,6 +51,10 @@ def _country(value) -> bool:
     return value is None or (isinstance(value, str) and len(value) == 2)
 
 
+def _position(value) -> bool:
+    return value is None or (isinstance(value, tuple) and len(value) == 2 and _day(value[0]) and isinstance(value[1], str))
+
+
 def _page(value) -> bool:
     return value is None or (_whole_number(value) and value > 0)
 
@@ -61,6 +66,7 @@ ARGUMENTS = {
     "end_date": (_day, "a date without a time"),
     "activity_date": (_day, "a date without a time"),
     "limit": (_page, "a positive whole number, or nothing for all days"),
+    "after": (_position, "a (date, currency) that an earlier page ended with, or nothing for the first page"),
     "country_code": (_country, "two letters, or nothing for all countries"),
 }
 
@@ -94,14 +100,17 @@ def merchant_revenue(
     start_date: dt.date,
     end_date: dt.date,
     limit: int | None = None,
+    after: tuple[dt.date, str] | None = None,
 ) -> RevenueReport:
     """All revenue days of one merchant on an inclusive range, and totals per currency.
 
     With a ``limit`` only the first days are listed, and the report tells how many
-    there are; totals cover the whole range either way. Totals never add currencies
-    up. Money leaves as text.
+    there are and with which (day, currency) to ask for the next page; totals cover the
+    whole range either way. A page is found by position, not by counting rows, so none is
+    read twice or lost if earlier days change meanwhile. Totals never add currencies up.
+    Money leaves as text.
     """
-    checked(merchant_id=merchant_id, start_date=start_date, end_date=end_date, limit=limit)
+    checked(merchant_id=merchant_id, start_date=start_date, end_date=end_date, limit=limit, after=after)
     checked_range(start_date, end_date)
     if not merchant_exists(gold_revenue, merchant_id):
         raise UnknownMerchant(f"merchant {merchant_id} has no revenue on any day")
@@ -110,12 +119,19 @@ def merchant_revenue(
     selected = own.where(F.col("revenue_date").between(F.lit(start_date), F.lit(end_date)))
     as_text = {c: money_string(or_zero(F.col(c))) for c in ("gross_amount", "average_amount")}
     listed = ("revenue_date", "merchant_id", "currency", "payment_count", "gross_amount", "average_amount", "distinct_shoppers")
-    days = selected.withColumns(as_text).select(*listed).orderBy("revenue_date", "currency")
+    position = F.struct("revenue_date", "currency")
+    behind = selected
+    if after is not None:
+        day, currency = F.lit(after[0]), F.lit(after[1])
+        behind = selected.where((F.col("revenue_date") > day) | ((F.col("revenue_date") == day) & (F.col("currency") > currency)))
+    days = behind.withColumns(as_text).select(*listed).orderBy("revenue_date", "currency")
     totals = currency_totals(selected)
     if limit is None:
         return RevenueReport(merchant_id, start_date, end_date, days, totals)
-    total = selected.count()
-    return RevenueReport(merchant_id, start_date, end_date, days.limit(limit), totals, total, total > limit)
+    total, left = selected.count(), behind.count() if after is not None else None
+    truncated = (total if left is None else left) > limit
+    last = days.limit(limit).agg(F.max(position)).first()[0] if truncated else None
+    return RevenueReport(merchant_id, start_date, end_date, days.limit(limit), totals, total, truncated, tuple(last) if last else None)
 
 
 def currency_totals(revenue: DataFrame) -> DataFrame:
