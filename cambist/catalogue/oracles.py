@@ -401,6 +401,7 @@ ORACLES: dict[str, str] = {
         FROM payments""",
     "silver_after_compaction": _CURRENT,
     "silver_published_changes": _CURRENT,
+    "silver_partial_replay": _CURRENT,
     "silver_batch_metrics": f"""{_CHANGES},
         batches AS (
           SELECT 'q' AS query_id, CAST(0 AS BIGINT) AS batch_id, * FROM decoded d JOIN ev ON ev.event_id = d."offset" WHERE hour(ev.ts) < 12

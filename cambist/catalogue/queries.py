@@ -206,6 +206,18 @@ def silver_published_changes(spark, sf_dir):
     return store.live(f"{root}/published").drop("created_date")
 
 
+@query
+def silver_partial_replay(spark, sf_dir):
+    """A stretch of the log first applied under the wrong decimal mode, then replayed."""
+    bronze, root = change_log.to_bronze(a.messages(spark, sf_dir)), scratch_dir(spark, "silver")
+    stretch = F.col("offset").between(2_000, 2_400)
+    store = SilverStore(spark, root).create()
+    apply_batch(store, bronze.where(~stretch), "q", 0)
+    apply_batch(store, bronze.where(stretch), "q", 1, decimal_mode="string")
+    store.replay(bronze, stretch, f"{root}/published")
+    return store.live(f"{root}/published").drop("created_date")
+
+
 def _three_batches(spark, sf_dir) -> SilverStore:
     """The log applied in batches: the mornings, all of it, and the mornings again under another query; the first is tried twice."""
     bronze = change_log.to_bronze(a.messages(spark, sf_dir))

@@ -3,6 +3,7 @@
     python -m cambist.jobs bronze --root s3a://bucket/lake --brokers kafka:9092
     python -m cambist.jobs silver --root ...
     python -m cambist.jobs compact | publish | rebuild | dimensions | gold --root ...
+    python -m cambist.jobs replay --root ... --partition 3 --offsets 1000 2000
     python -m cambist.jobs land-rates | load-rates | facts | checks --root ...
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import functools
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +68,24 @@ def rebuild(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENT
     replace_table(store.by_day(state_rows(decoded, table)), lake.path("silver", table.name), DAY)
 
 
+def replay(spark: SparkSession, lake: Lakehouse, where, table: CapturedTable = PAYMENTS) -> set:
+    """Part of bronze decoded again, ``where`` naming offsets or times; only its keys' rows change."""
+    bronze = lake.read(spark, "bronze", bronze_name(table), BRONZE)
+    return silver_store(spark, lake, table).replay(bronze, where, lake.path("silver", table.name))
+
+
+def replayed_range(args):
+    """The condition for the messages of a partition's offsets, or delivered in a range of time."""
+    parts = []
+    if args.offsets:
+        parts += [F.col("partition") == args.partition, F.col("offset").between(*args.offsets)]
+    if args.times:
+        parts += [F.col("kafka_timestamp").between(*[F.lit(t) for t in args.times])]
+    if not parts:
+        raise ValueError("replay needs --offsets with --partition, or --times")
+    return functools.reduce(lambda a, b: a & b, parts)
+
+
 def published(spark: SparkSession, lake: Lakehouse, table: CapturedTable = PAYMENTS) -> DataFrame:
     """Current rows by creation day, as last published."""
     return silver_store(spark, lake, table).live(lake.path("silver", table.name))
@@ -179,7 +199,7 @@ def write_checks(spark: SparkSession, lake: Lakehouse, seed: str | None = None)
     replace_table(check(spark, lake, seed), lake.path("marts", "checks"))
 
 
-JOBS = ("bronze", "silver", "compact", "publish", "rebuild", "dimensions", "gold", "land-rates", "load-rates", "facts", "checks")
+JOBS = ("bronze", "silver", "compact", "publish", "rebuild", "replay", "dimensions", "gold", "land-rates", "load-rates", "facts", "checks")
 
 
 def main(argv=None) -> None:
@@ -192,6 +212,9 @@ def main(argv=None) -> None:
     parser.add_argument("--batch-offsets", type=int, default=BATCH_OFFSETS, help="offsets of a batch (bronze)")
     parser.add_argument("--log-files", help="folder of log records to read instead (bronze)")
     parser.add_argument("--batch-files", type=int, default=1_000, help="files of a batch (bronze from files, silver)")
+    parser.add_argument("--partition", type=int, default=0, help="of the log (replay)")
+    parser.add_argument("--offsets", type=int, nargs=2, metavar=("FIRST", "LAST"), help="messages to decode again (replay)")
+    parser.add_argument("--times", type=dt.datetime.fromisoformat, nargs=2, metavar=("FROM", "TO"), help="messages to decode again (replay)")
     parser.add_argument("--documents", help="folder of rate documents (land-rates)")
     parser.add_argument("--start", type=dt.date.fromisoformat, help="first day (land-rates)")
     parser.add_argument("--end", type=dt.date.fromisoformat, help="last day (land-rates)")
@@ -211,6 +234,8 @@ def main(argv=None) -> None:
         silver_store(spark, lake, table).compact()
     elif args.job in ("publish", "rebuild"):
         {"publish": publish, "rebuild": rebuild}[args.job](spark, lake, table)
+    elif args.job == "replay":
+        replay(spark, lake, replayed_range(args), table)
     elif args.job == "dimensions":
         build_dimensions(spark, lake, args.seed)
     elif args.job == "gold":

@@ -5,9 +5,9 @@ and the batch, so a retried batch rewrites its own folder. Readers take the
 newest change per key over all of them. Being a maximum over a total order, the
 result does not depend on how events were split, ordered or repeated.
 
-So folding needs no record of what was folded: ``compact`` writes the newest
-change per key of all complete batches as one more folder and then removes theirs.
-Between the two a key's change is there twice, which changes nothing.
+So folding needs no order: ``compact`` writes the newest change per key of all complete
+batches as one more folder, which takes the place of theirs. ``replay`` does the same
+with the rows of some keys decoded anew.
 
 The state is published as a table by creation day, which is what marts read, pruned to
 the days they need. ``publish`` writes all of it. ``publish_changes`` takes the batches
@@ -25,11 +25,12 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.collapse import ORDER_COLUMNS, live_rows, newest_per_key
+from ..operators.collapse import ORDER_COLUMNS, live_rows, newest_per_key, state_rows
+from ..operators.decode import decoded_changes
 from ..operators.offsets import RUNS
 from ..schemas import BIGINT, DATE, INT, PAYMENTS, STRING, TIMESTAMP, CapturedTable, columns
 from ..session import scratch_dir
@@ -102,8 +103,7 @@ class SilverStore:
 
     # -- reading --------------------------------------------------------
     def changes(self) -> DataFrame:
-        schema = T.StructType(self.table.state_schema.fields + _BATCH_COLUMNS.fields)
-        return self.spark.read.schema(schema).parquet(self.changes_path())
+        return self.changes_of(self.batches())
 
     def quarantined(self) -> DataFrame:
         """Quarantine with a re-read message once; messages without a place are all kept."""
@@ -130,14 +130,37 @@ class SilverStore:
 
     def state(self) -> DataFrame:
         """The newest change per key, delete marks included."""
-        return newest_per_key(self.changes().select(*self.table.state_schema.names), self.table.key)
+        return newest_per_key(self.changes(), self.table.key)
 
     def current(self) -> DataFrame:
         return live_rows(self.state(), self.table)
 
     # -- upkeep ---------------------------------------------------------
     def batches(self) -> Batches:
-        """(query, batch) of every folder of changes, from names alone: as many as since the last compaction."""
+        """(query, batch) of every folder of changes, from names alone: as many as since the last compaction.
+
+        Folders that another has taken the place of are left out, though they may not be removed yet.
+        """
+        return self._folders() - self._superseded()
+
+    def _superseded(self) -> Batches:
+        return {(query, batch) for query, batch in json.loads(get_text(self._superseded_path()) or "[]")}
+
+    def _superseded_path(self) -> str:
+        return f"{self.root}/_superseded.json"
+
+    def _supersede(self, state: DataFrame, old: Batches) -> tuple[str, int]:
+        """Write changes as a fold that takes the place of other folders. Readers see all of it from one rename on."""
+        number = 1 + max((b for q, b in self._folders() if q == FOLDED), default=0)
+        state.write.mode("overwrite").parquet(self.batch_folder(self.changes_path(), FOLDED, number))
+        old = old | self._superseded()
+        put_text(self._superseded_path(), json.dumps(sorted(old)))
+        for query, batch in sorted(old):
+            remove_folder(self.batch_folder(self.changes_path(), query, batch))
+        remove_file(self._superseded_path())
+        return FOLDED, number
+
+    def _folders(self) -> Batches:
         found, parent = set(), self.changes_path()
         for query in child_folders(parent):
             name, _, query_id = query.partition("=")
@@ -165,16 +188,67 @@ class SilverStore:
         complete = {(q, b) for q, b in found if q == FOLDED or b < newest[q]}
         if len(complete) < 2:
             return 0
-        folded = (FOLDED, 1 + max((b for q, b in complete if q == FOLDED), default=0))
-        target = self.batch_folder(self.changes_path(), *folded)
-        newest_per_key(self.changes_of(complete), self.table.key).write.mode("overwrite").parquet(target)
-        known = self.noted()
-        if complete <= known:
+        noted = complete <= (known := self.noted())
+        folded = self._supersede(newest_per_key(self.changes_of(complete), self.table.key), complete)
+        if noted:
             self._note(known | {folded})
-        for query, batch in sorted(complete):
-            remove_folder(self.batch_folder(self.changes_path(), query, batch))
         return len(complete)
 
+    def replay(self, bronze: DataFrame, where: Column, path: str, decimal_mode: str = "auto", keyed: bool = False) -> set:
+        """Messages that ``where`` selects, by place or time, decoded again, as after a change of the decoder.
+
+        What that can change are the keys they now have and the keys of the rows that came
+        from them. The whole history of these keys is decoded and folded anew, and takes
+        the place of their rows in the changes and in the published table, whatever its
+        position; no other key is shuffled, no other day is written. Returns the days
+        written. Not while batches are being applied.
+
+        ``keyed``: the message key names the row, so that only messages with the keys of
+        the selected ones are decoded; else all of bronze is, without a shuffle of its rows.
+        """
+        self.publish_changes(path)
+        keys, scratch = list(self.table.key), scratch_dir(self.spark, "replay")
+        selected = bronze.where(where)
+        now = decoded_changes(selected, self.table, decimal_mode=decimal_mode).where("decode_ok").select(*keys)
+        place = ["partition", "offset"]
+        before = self.published(path).join(selected.select(*place).distinct(), place, "left_semi").select(*keys)
+        affected = self._written(now.unionByName(before).distinct(), f"{scratch}/keys")
+        history = bronze
+        if keyed:
+            named = selected.select("message_key").unionByName(self._message_keys(bronze, affected)).distinct()
+            history = bronze.join(named, "message_key", "left_semi")
+        decoded = decoded_changes(history, self.table, decimal_mode=decimal_mode).join(affected, keys, "left_semi")
+        rows = self._written(self.by_day(state_rows(decoded, self.table)), f"{scratch}/rows")
+        found = self.batches()
+        put_text(self._mark_path(), "")  # from here to the note, a publication starts from the changes
+        days = self._replace_keys(path, affected, rows)
+        others = newest_per_key(self.changes_of(found), self.table.key).join(affected, keys, "left_anti")
+        self._supersede(others.unionByName(rows.drop(DAY)), found)
+        self._note(self.batches())
+        remove_file(self._mark_path())
+        return days
+
+    def _message_keys(self, bronze: DataFrame, affected: DataFrame) -> DataFrame:
+        """Message keys under which the affected rows were last seen, by the places their state came from."""
+        seen = self.changes_of(self.batches()).join(affected, list(self.table.key), "left_semi").select("partition", "offset").distinct()
+        return bronze.join(seen, ["partition", "offset"], "left_semi").select("message_key")
+
+    def _replace_keys(self, path: str, affected: DataFrame, rows: DataFrame) -> set:
+        """The published rows of some keys replaced; the days rewritten."""
+        keys = list(self.table.key)
+        held = self.published(path).select(*keys, DAY).join(affected, keys, "left_semi")
+        # One row per calendar day at most.
+        touched = {row[0] for row in held.select(DAY).unionByName(rows.select(DAY)).distinct().collect()}
+        kept = read_days(self.spark, path, DAY, touched, self.published_schema).join(affected, keys, "left_anti")
+        merged = self._written(kept.unionByName(rows.select(*self.published_schema.names)), scratch_dir(self.spark, "replaced"))
+        self._swap_days(path, merged, touched)
+        return touched
+
+    def _swap_days(self, path: str, merged: DataFrame, touched: set) -> None:
+        replace_partitions(merged, path, DAY)
+        for day in touched - {row[0] for row in merged.select(DAY).distinct().collect()}:
+            remove_folder(day_folder(path, DAY, day))
+
     # -- publication ----------------------------------------------------
     @property
     def published_schema(self) -> T.StructType:
@@ -253,9 +327,7 @@ class SilverStore:
         kept = read_days(self.spark, path, DAY, touched, self.published_schema).join(winners.select(*keys), keys, "left_anti")
         merged = self._written(kept.unionByName(winners.select(*self.published_schema.names)), f"{scratch}/merged")
         put_text(self._mark_path(), "")  # from here to the note, the table may hold half of this
-        replace_partitions(merged, path, DAY)
-        for day in touched - {row[0] for row in merged.select(DAY).distinct().collect()}:
-            remove_folder(day_folder(path, DAY, day))
+        self._swap_days(path, merged, touched)
         return touched
 
     def _written(self, frame: DataFrame, path: str) -> DataFrame:
