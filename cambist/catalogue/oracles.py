@@ -230,24 +230,39 @@ hurt_once AS (
   FROM fact
 ),
 hurt AS (SELECT * FROM hurt_once UNION ALL SELECT * FROM hurt_once WHERE payment_method = 'google_pay'),
-hurt_feed AS (SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE currency = 'CHF'),
+hurt_staged AS (
+  SELECT * REPLACE (CASE WHEN payment_id % 499 <> 0 THEN payment_id END AS payment_id, CASE WHEN payment_id % 503 <> 0 THEN currency END AS currency,
+                    CASE WHEN payment_id % 509 <> 0 THEN payment_date END AS payment_date) FROM hurt
+),
+hurt_fact AS (SELECT * REPLACE (CASE WHEN payment_id % 487 <> 0 THEN payment_id END AS payment_id) FROM hurt),
+doubled_feed AS (SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE currency = 'CHF'),
+hurt_feed AS (
+  SELECT * REPLACE (CASE WHEN currency <> 'EUR' OR day(rate_date) <> 13 THEN rate END AS rate,
+                    CASE WHEN currency <> 'GBP' OR day(rate_date) <> 14 THEN rate_date END AS rate_date,
+                    CASE WHEN currency <> 'CAD' OR day(rate_date) <> 15 THEN currency END AS currency) FROM doubled_feed
+),
+hurt_merchants AS (
+  SELECT CASE WHEN merchant_id % 7 <> 0 THEN merchant_id END AS merchant_id
+  FROM (SELECT * FROM merchants UNION ALL SELECT * FROM merchants WHERE merchant_id % 5 = 0)
+),
 hurt_daily AS (SELECT payment_date, merchant_id, count(*) AS payments FROM hurt GROUP BY 1, 2)"""
     rows = [
-        *[_count("stg_payments", f"not_null_{c}", f"SELECT count(*) FROM hurt WHERE {c} IS NULL")
+        *[_count("stg_payments", f"not_null_{c}", f"SELECT count(*) FROM hurt_staged WHERE {c} IS NULL")
           for c in ("payment_id", "amount", "currency", "payment_date")],
         _count("stg_payments", "unique_payment_id",
-               "SELECT count(*) FROM (SELECT payment_id FROM hurt GROUP BY 1 HAVING count(*) > 1)"),
+               "SELECT count(*) FROM (SELECT payment_id FROM hurt_staged WHERE payment_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
         *[_count("stg_fx_rates", f"not_null_{c}", f"SELECT count(*) FROM hurt_feed WHERE {c} IS NULL")
           for c in ("rate", "rate_date", "currency")],
         _count("stg_fx_rates", "unique_rate_date_currency",
-               "SELECT count(*) FROM (SELECT 1 FROM hurt_feed GROUP BY rate_date, currency HAVING count(*) > 1)"),
+               "SELECT count(*) FROM (SELECT 1 FROM hurt_feed WHERE rate_date IS NOT NULL AND currency IS NOT NULL"
+               " GROUP BY rate_date, currency HAVING count(*) > 1)"),
         *[row for m in ("stg_merchants", "dim_merchants") for row in (
-            _count(m, "not_null_merchant_id", "SELECT count(*) FROM merchants WHERE merchant_id IS NULL"),
+            _count(m, "not_null_merchant_id", "SELECT count(*) FROM hurt_merchants WHERE merchant_id IS NULL"),
             _count(m, "unique_merchant_id",
-                   "SELECT count(*) FROM (SELECT 1 FROM merchants GROUP BY merchant_id HAVING count(*) > 1)"))],
+                   "SELECT count(*) FROM (SELECT 1 FROM hurt_merchants WHERE merchant_id IS NOT NULL GROUP BY merchant_id HAVING count(*) > 1)"))],
         _count("fx_rates_daily", "carried_forward_implies_a_rate_exists",
                "SELECT count(*) FROM daily WHERE currency = 'GBP' AND published_rate IS NULL AND effective_rate IS NOT NULL"),
-        _count("fct_payments_usd", "not_null_payment_id", "SELECT count(*) FROM hurt WHERE payment_id IS NULL"),
+        _count("fct_payments_usd", "not_null_payment_id", "SELECT count(*) FROM hurt_fact WHERE payment_id IS NULL"),
         _count("fct_payments_usd", "accepted_values_payment_status",
                "SELECT count(*) FROM hurt WHERE payment_status = 'held'"),
         _count("fct_payments_usd", "no_negative_converted_amounts",
@@ -256,7 +271,7 @@ hurt_daily AS (SELECT payment_date, merchant_id, count(*) AS payments FROM hurt
                "SELECT count(*) FROM hurt WHERE currency = 'USD' AND (fx_rate <> 1 OR"
                " (CASE WHEN payment_id % 101 = 0 THEN -amount_usd ELSE amount_usd END) <> amount)"),
         _count("fct_payments_usd", "unique_payment_id",
-               "SELECT count(*) FROM (SELECT payment_id FROM hurt GROUP BY 1 HAVING count(*) > 1)"),
+               "SELECT count(*) FROM (SELECT payment_id FROM hurt_fact WHERE payment_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
         *[_count("fct_daily_revenue_usd", c, f"SELECT count(*) FROM hurt_daily WHERE merchant_id = {m}") for c, m in (
             ("not_null_revenue_date", 9), ("not_null_merchant_id", 7), ("not_null_gross_amount_usd", 5),
             ("revenue_never_exceeds_total_payments", 3))],
@@ -264,6 +279,25 @@ hurt_daily AS (SELECT payment_date, merchant_id, count(*) AS payments FROM hurt
     return _with(PAYMENTS, RATES, _LOOKED_UP, _FACT, _MERCHANTS, _DAILY, damaged) + " " + " UNION ALL ".join(rows)
 
 
+_REFRESHED_CHECKS = (
+    _with(PAYMENTS)
+    + """,
+hurt AS (SELECT payment_id, CASE WHEN payment_status = 'pending' THEN 'held' ELSE payment_status END AS status FROM payments WHERE payment_date < DATE '2000-01-01'),
+standing AS (
+  SELECT * FROM hurt
+  UNION ALL SELECT h.* FROM hurt h JOIN payments p USING (payment_id) WHERE p.payment_method = 'google_pay'
+  UNION ALL SELECT payment_id, payment_status FROM payments WHERE payment_date >= DATE '2000-01-01'
+  UNION ALL SELECT payment_id, payment_status FROM payments
+  WHERE payment_id % 50 = 0 AND payment_date BETWEEN DATE '1999-12-01' AND DATE '1999-12-31'
+)
+SELECT 'fct_payments_usd' AS model, check_name, violations FROM (
+  SELECT 'not_null_payment_id' AS check_name, CAST(0 AS BIGINT) AS violations
+  UNION ALL SELECT 'accepted_values_payment_status', (SELECT count(*) FROM standing WHERE status = 'held')
+  UNION ALL SELECT 'no_negative_converted_amounts', 0
+  UNION ALL SELECT 'usd_payments_convert_one_to_one', 0
+  UNION ALL SELECT 'unique_payment_id', (SELECT count(*) FROM (SELECT payment_id FROM standing GROUP BY 1 HAVING count(*) > 1)))"""
+)
+
 _HEALTH = (
     _with(EVENTS, _DECODED, PAYMENTS, RATES, _LOOKED_UP, _FACT, _MISSING.format(wanted="(SELECT DISTINCT currency FROM rates)"))
     + """,
@@ -468,6 +502,7 @@ ORACLES: dict[str, str] = {
         SELECT currency, count(*) AS payment_count, min(payment_date) AS first_date, max(payment_date) AS last_date
         FROM fact WHERE is_unconverted GROUP BY 1""",
     "dq_violations": _violations(),
+    "dq_refreshed_checks": _REFRESHED_CHECKS,
     "dq_duplicate_payments": f"""{_with(PAYMENTS)}
         SELECT payment_id, CAST(2 AS BIGINT) AS row_count FROM payments WHERE payment_method = 'google_pay'""",
     "health_metrics": _HEALTH,

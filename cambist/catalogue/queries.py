@@ -17,6 +17,7 @@ from ..plans import facts, gold, quality, reports, staging
 from ..schemas import FEED_CURRENCIES, MERCHANTS, MONEY, PAYMENTS, REFUNDS
 from ..session import prepare, scratch_dir
 from ..sources import change_log, fx_files
+from ..sources.layers import days_of, replace_partitions, replace_table
 from ..sources.silver_store import SilverStore
 from ..streaming.bronze import run_bronze
 from ..streaming.silver import apply_batch, run_silver
@@ -482,7 +483,10 @@ def _damaged(spark, sf_dir) -> dict[str, DataFrame]:
 
     Further damage, by fixed values: amounts of every 101st payment negated; daily
     revenue without a date for merchant 9, a merchant for 7, an amount for 5, and more
-    settled than paid for 3; carried rates of GBP gone.
+    settled than paid for 3; carried rates of GBP gone. Without a value: staged payments'
+    key, currency and day of every 499th, 503rd and 509th, the fact's key of every 487th;
+    rates of EUR on a 13th, days of GBP on a 14th, codes of CAD on a 15th; every 7th
+    merchant's key, and every 5th merchant is there twice.
     """
     payments, feed = a.payments(spark, sf_dir), a.rates(spark, sf_dir)
     hurt = _written(_hurt_payments(spark, sf_dir), "hurt-payments")
@@ -490,6 +494,10 @@ def _damaged(spark, sf_dir) -> dict[str, DataFrame]:
     fact, usd = facts.fct_payments_usd(hurt, hurt_feed), F.col("amount_usd")
     fact = _written(fact.withColumn("amount_usd", F.when(F.col("payment_id") % 101 == 0, -usd).otherwise(usd)), "hurt-fact")
     daily, merchant = facts.fct_daily_revenue_usd(fact), F.col("merchant_id")
+    def without(frame: DataFrame, **holes) -> DataFrame:
+        return frame.withColumns({name: F.when(~hole, F.col(name)) for name, hole in holes.items()})
+
+    every, on = (lambda n: F.col("payment_id") % n == 0), (lambda code, n: (F.col("currency") == code) & (F.dayofmonth("rate_date") == n))
     daily = daily.select(
         F.when(merchant != 9, F.col("revenue_date")).alias("revenue_date"),
         F.when(merchant != 7, merchant).alias("merchant_id"),
@@ -499,14 +507,15 @@ def _damaged(spark, sf_dir) -> dict[str, DataFrame]:
     )
     grid = rates.rates_daily(payments, feed)
     lost = F.col("is_carried_forward") & (F.col("currency") == "GBP")
-    merchants = _written(staging.stg_merchants(a.raw_merchants(spark, sf_dir)), "merchants")
+    merchants, number = staging.stg_merchants(a.raw_merchants(spark, sf_dir)), F.col("merchant_id")
+    merchants = _written(without(merchants.unionByName(merchants.where(number % 5 == 0)), merchant_id=number % 7 == 0), "merchants")
     return {
-        "stg_payments": hurt,
-        "stg_fx_rates": hurt_feed,
+        "stg_payments": without(hurt, currency=every(503), payment_date=every(509), payment_id=every(499)),
+        "stg_fx_rates": without(hurt_feed, rate=on("EUR", 13), rate_date=on("GBP", 14), currency=on("CAD", 15)),
         "stg_merchants": merchants,
         "dim_merchants": staging.dim_merchants(merchants),
         "fx_rates_daily": grid.withColumn("effective_rate", F.when(~lost, F.col("effective_rate"))),
-        "fct_payments_usd": fact,
+        "fct_payments_usd": without(fact, payment_id=every(487)),
         "fct_daily_revenue_usd": daily,
     }
 
@@ -516,6 +525,26 @@ def dq_violations(spark, sf_dir):
     return quality.check_all(_damaged(spark, sf_dir))
 
 
+@query
+def dq_refreshed_checks(spark, sf_dir):
+    """Kept checks of a fact whose partitions from 2000 on were rewritten: the damage before stays, that from then on goes.
+
+    The rewritten months get every 50th payment of the December before once more.
+    """
+    root, feed, since = scratch_dir(spark, "checks"), a.rates(spark, sf_dir), F.lit(dt.date(2000, 1, 1))
+    month = F.trunc("payment_date", "month")
+    hurt = facts.fct_payments_usd(_hurt_payments(spark, sf_dir), feed).withColumn(facts.FACT_PERIOD, month)
+    replace_table(hurt.where(F.col("payment_date") < F.lit(dt.date(2000, 6, 1))), f"{root}/fact", facts.FACT_PERIOD)
+    kept = quality.KeptChecks(spark, f"{root}/kept", "fct_payments_usd", f"{root}/fact", facts.FACT_PERIOD)
+    kept.build()
+    clean = facts.fct_payments_usd(a.payments(spark, sf_dir), feed).withColumn(facts.FACT_PERIOD, month)
+    twice = clean.where((F.col("payment_id") % 50 == 0) & (F.col(facts.FACT_PERIOD) == F.lit(dt.date(1999, 12, 1))))
+    later = clean.where(F.col("payment_date") >= since).unionByName(twice.withColumn(facts.FACT_PERIOD, since))
+    replace_partitions(later, f"{root}/fact", facts.FACT_PERIOD)
+    kept.refresh({day for day in days_of(f"{root}/fact", facts.FACT_PERIOD) if day >= dt.date(2000, 1, 1)})
+    return kept.violations()
+
+
 @query
 def dq_duplicate_payments(spark, sf_dir):
     return quality.not_unique(_hurt_payments(spark, sf_dir), "payment_id")

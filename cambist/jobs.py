@@ -137,10 +137,21 @@ def build_warehouse(spark: SparkSession, lake: Lakehouse, payments: DataFrame, r
     """
     path, daily, rates = lake.path("marts", "fct_payments_usd"), lake.path("marts", "fct_daily_revenue_usd"), staged_rates(spark, lake)
     if refresh:
-        facts.refresh_daily_revenue(spark, daily, path, facts.refresh_fact(spark, path, payments, rates, changed_days=changed_days))
+        touched = facts.refresh_fact(spark, path, payments, rates, changed_days=changed_days)
+        facts.refresh_daily_revenue(spark, daily, path, touched)
+        for kept in kept_checks(spark, lake):
+            kept.refresh(touched)
     else:
         facts.build_fact(path, payments, rates)
         facts.build_daily_revenue(spark, daily, path)
+        for kept in kept_checks(spark, lake):
+            kept.build()
+
+
+def kept_checks(spark: SparkSession, lake: Lakehouse) -> list[quality.KeptChecks]:
+    """Of the written marts that are refreshed by partition."""
+    periods = {"fct_payments_usd": facts.FACT_PERIOD, "fct_daily_revenue_usd": facts.REVENUE_PERIOD}
+    return [quality.KeptChecks(spark, lake.path("marts", "kept_checks"), m, lake.path("marts", m), p) for m, p in periods.items()]
 
 
 def rate_gaps(payments: DataFrame, feed: DataFrame) -> DataFrame:
@@ -167,8 +178,6 @@ def check(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> Data
         "stg_payments": payments,
         "stg_fx_rates": feed,
         "fx_rates_daily": rates_daily(payments, feed),
-        "fct_payments_usd": fact,
-        "fct_daily_revenue_usd": spark.read.parquet(lake.path("marts", "fct_daily_revenue_usd")),
     }
     if seed:
         models["stg_merchants"] = staging.stg_merchants(fx_files.read_seed(spark, seed, RAW_MERCHANTS))
@@ -180,7 +189,10 @@ def check(spark: SparkSession, lake: Lakehouse, seed: str | None = None) -> Data
     absent = [(f"{m}.not_checked", 1, False) for m in ("stg_merchants", "dim_merchants") if m not in models]
     rows = spark.createDataFrame(absent, "metric string, value long, healthy boolean")
     health = quality.health_metrics(store.metrics(), fact, rate_gaps(payments, feed))
-    found = quality.check_all(models).select(
+    summaries = quality.check_all(models)
+    for kept in kept_checks(spark, lake):  # of the marts, as their last build or refresh left them
+        summaries = summaries.unionByName(kept.violations())
+    found = summaries.select(
         F.concat_ws(".", "model", "check_name").alias("metric"), F.col("violations").alias("value"), (F.col("violations") == 0).alias("healthy")
     )
     unconverted = facts.unconverted_by_currency(fact).select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PAYMENT_STATUSES, REPORTING_CURRENCY
+from ..session import scratch_dir
+from ..sources.layers import day_folder, days_of, exists, read_days, remove_folder, replace_partitions, replace_table
 
 
 def not_unique(frame: DataFrame, *columns: str) -> DataFrame:
@@ -93,6 +96,75 @@ def check_model(frame: DataFrame, model: str) -> DataFrame:
     return counted.select(F.lit(model).alias("model"), F.inline(F.array(*pairs)))
 
 
+@dataclass(frozen=True)
+class KeptChecks:
+    """Checks of a written, partitioned model, kept so that a refresh reads what it changed.
+
+    For each partition the violations of every row condition are kept as counts, which
+    add up; for the whole table the keys that stand more than once. After some partitions
+    were rewritten, their counts are taken anew. A key can only have become repeated if
+    it stands in one of them, or no longer be if it was: for these, the key column alone
+    is read of the other partitions.
+    """
+
+    spark: SparkSession
+    root: str
+    model: str
+    table_path: str
+    period: str
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{self.model}/{name}"
+
+    def _rows(self, periods: Collection | None) -> DataFrame:
+        schema = self.spark.read.parquet(self.table_path).schema
+        whole = self.spark.read.schema(schema).parquet(self.table_path)
+        return whole if periods is None else read_days(self.spark, self.table_path, self.period, periods, schema)
+
+    def _counts(self, rows: DataFrame) -> DataFrame:
+        """Each partition's violations of each condition; one without any rows or violations is there with zeros."""
+        checks = row_checks(self.model)
+        counted = rows.groupBy(self.period).agg(*[F.count_if(c).alias(f"check_{i}") for i, c in enumerate(checks.values())])
+        pairs = [F.struct(F.lit(name).alias("check_name"), F.col(f"check_{i}").alias("violations")) for i, name in enumerate(checks)]
+        return counted.select(F.inline(F.array(*pairs)), self.period)
+
+    @property
+    def _key(self) -> list[str]:
+        return list(UNIQUE_KEYS.get(self.model, ()))
+
+    def build(self) -> None:
+        """From the whole table."""
+        rows = self._rows(None)
+        replace_table(self._counts(rows), self._path("counts"), self.period)
+        if self._key:
+            replace_table(not_unique(rows, *self._key), self._path("repeated"))
+
+    def refresh(self, periods: Collection) -> None:
+        """After these partitions were rewritten, and maybe others emptied among them."""
+        if not exists(self._path("counts")):
+            return self.build()
+        rows = self._rows(periods)
+        replace_partitions(self._counts(rows), self._path("counts"), self.period)
+        for day in set(periods) - days_of(self.table_path, self.period):
+            remove_folder(day_folder(self._path("counts"), self.period, day))
+        if self._key:
+            before = self.spark.read.parquet(self._path("repeated"))
+            suspects = rows.select(*self._key).unionByName(before.select(*self._key)).dropna().distinct()
+            keys = self._rows(None).select(*self._key).join(suspects, self._key, "left_semi")
+            aside = scratch_dir(self.spark, "repeated")
+            not_unique(keys, *self._key).write.parquet(aside)
+            replace_table(self.spark.read.schema(before.schema).parquet(aside), self._path("repeated"))
+
+    def violations(self) -> DataFrame:
+        """The same rows as ``check_model`` over the whole table, from what is kept."""
+        kept = self.spark.read.parquet(self._path("counts"))
+        found = kept.groupBy("check_name").agg(F.sum("violations").alias("violations"))
+        if self._key:
+            repeated = self.spark.read.parquet(self._path("repeated"))
+            found = found.unionByName(repeated.agg(F.count("*").alias("violations")).withColumn("check_name", F.lit("unique_" + "_".join(self._key))))
+        return found.select(F.lit(self.model).alias("model"), "check_name", "violations")
+
+
 def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
     summaries = [check_model(frame, model) for model, frame in models.items()]
     combined = summaries[0]
