@@ -22,7 +22,7 @@ CHUNK_BYTES = 1 << 20
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read again: its lineage ends there."""
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
