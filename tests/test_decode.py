@@ -11,6 +11,7 @@ from messages import bronze, envelope, image, message, wire_amount
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cambist.functions import wire
 from cambist.operators.decode import decoded_changes, quarantine, reconciliation
@@ -223,3 +224,26 @@ def test_whole_keys_with_a_fraction_of_zeros(spark):
     texts = [message().replace('"payment_id": 1001', f'"payment_id": {key}') for key in ("1001.0", "1001.00", "1001.5", '"1001.0"')]
     rows = decoded_changes(bronze(spark, texts)).orderBy("offset").collect()
     assert [r.payment_id for r in rows] == [1001, 1001, None, 1001]
+
+
+@pytest.mark.parametrize("precision, scale", [(38, 0), (38, 10), (38, 38), (24, 4)])
+def test_wide_amounts(spark, precision, scale):
+    """Unscaled integers of any width up to 38 digits, minimal and padded, as base64, whole numbers and digits."""
+    values = [s * v for n in (1, 17, 18, 19, 20, 30, 37, 38) for v in (10**n - 1, 10 ** (n - 1)) for s in (1, -1)]
+    values += [0, 2**63, -(2**63), -(2**63) - 1, 2**64, -(2**64), 2**127 - 1, -(2**127), 10**38, 2**140]
+    rows = [(str(v), quoted(wire_amount(v, size))) for v in values for size in (None, 20)]
+    rows += [(str(v), str(v)) for v in values if abs(v) < 10**38]
+    frame = spark.createDataFrame(rows, "whole string, json string")
+    parsed = frame.select("whole", F.try_parse_json("json").alias("v")).select("*", wire.variant_text(F.col("v")).alias("t"))
+    kind = T.DecimalType(precision, scale)
+    for row in parsed.select("whole", wire.money(F.col("v"), F.col("t"), kind).alias("amount")).collect():
+        want = Decimal(f"{row.whole}E-{scale}") if abs(int(row.whole)) < 10**precision else None
+        assert row.amount == want, row
+
+
+def test_wide_amounts_as_digits(spark):
+    texts = ['"12345678901234567890.5"', '"-0.0001"', "12345678901234567890123.25", '"no"', "null"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, json string")
+    parsed = frame.select("i", F.try_parse_json("json").alias("v")).select("*", wire.variant_text(F.col("v")).alias("t"))
+    got = parsed.select("i", wire.money(F.col("v"), F.col("t"), T.DecimalType(38, 4)).alias("a")).orderBy("i").collect()
+    assert [r.a for r in got] == [Decimal("12345678901234567890.5"), Decimal("-0.0001"), Decimal("12345678901234567890123.25"), None, None]
