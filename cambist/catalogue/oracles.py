@@ -279,6 +279,15 @@ hurt_daily AS (SELECT payment_date, merchant_id, count(*) AS payments FROM hurt
     return _with(PAYMENTS, RATES, _LOOKED_UP, _FACT, _MERCHANTS, _DAILY, damaged) + " " + " UNION ALL ".join(rows)
 
 
+_GOLD_OF_CHANGES = (
+    _with(
+        EVENTS, _DECODED, _latest("latest"),
+        "live AS (SELECT *, CAST(amount * 100 AS HUGEINT) AS cents FROM latest WHERE NOT is_deleted)",
+        _GOLD_REVENUE.format(source="live"),
+    )
+    + " SELECT * FROM revenue"
+)
+
 _REFRESHED_CHECKS = (
     _with(PAYMENTS)
     + """,
@@ -404,6 +413,7 @@ ORACLES: dict[str, str] = {
     "decode_decimal_forms": f"{_with(EVENTS)} {_FORMS}",
     "decode_wide_decimals": f"{_with(EVENTS)} {_WIDE_FORMS}",
     "quarantine_rows": f"""{_CHANGES} SELECT topic, "partition", "offset", reason FROM decoded WHERE reason IS NOT NULL""",
+    "quarantine_appended": f"""{_CHANGES} SELECT topic, "partition", "offset", reason FROM decoded WHERE reason IS NOT NULL""",
     "bronze_reconciliation": f"""{_CHANGES}
         SELECT topic, "partition", count(*) AS messages, count(*) FILTER (WHERE decode_ok) AS decoded,
                count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined,
@@ -457,15 +467,12 @@ ORACLES: dict[str, str] = {
     "silver_stream": _CURRENT,
     "gold_daily_merchant_revenue": f"{_REVENUE} SELECT * FROM revenue",
     "gold_payment_method_mix": f"{_MIX} SELECT * FROM mix",
-    "gold_from_change_events": _with(
-        EVENTS, _DECODED, _latest("latest"),
-        "live AS (SELECT *, CAST(amount * 100 AS HUGEINT) AS cents FROM latest WHERE NOT is_deleted)",
-        _GOLD_REVENUE.format(source="live"),
-    )
-    + " SELECT * FROM revenue",
+    "gold_from_change_events": _GOLD_OF_CHANGES,
+    "gold_refreshed": _GOLD_OF_CHANGES,
     "stg_payments": f"{_with(PAYMENTS)} SELECT * EXCLUDE (cents) FROM payments",
     "stg_fx_rates": f"{_with(RATES)} SELECT * EXCLUDE (rate_e8) FROM rates",
     "stg_merchants": f"{_with(_MERCHANTS)} SELECT * FROM merchants",
+    "stg_merchants_from_seed": f"{_with(_MERCHANTS)} SELECT * FROM merchants",
     "dim_merchants": f"{_with(_MERCHANTS)} SELECT * FROM merchants",
     "fx_parse_documents": f"{_with(RATES)} SELECT * EXCLUDE (rate_e8) FROM rates",
     "fx_landing_roundtrip": f"{_with(RATES)} SELECT * EXCLUDE (rate_e8) FROM rates",

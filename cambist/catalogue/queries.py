@@ -14,10 +14,10 @@ from ..functions import wire
 from ..functions.money import to_base_half_even
 from ..operators import asof, collapse, decode, merge, offsets, rates
 from ..plans import facts, gold, quality, reports, staging
-from ..schemas import FEED_CURRENCIES, MERCHANTS, MONEY, PAYMENTS, REFUNDS
+from ..schemas import FEED_CURRENCIES, MERCHANTS, MONEY, PAYMENTS, RAW_MERCHANTS, REFUNDS
 from ..session import prepare, scratch_dir
 from ..sources import change_log, fx_files
-from ..sources.layers import days_of, replace_partitions, replace_table
+from ..sources.layers import Lakehouse, days_of, replace_partitions, replace_table
 from ..sources.silver_store import SilverStore
 from ..streaming.bronze import run_bronze
 from ..streaming.silver import apply_batch, run_silver
@@ -138,6 +138,12 @@ def quarantine_rows(spark, sf_dir):
     return decode.quarantine(decoded(spark, sf_dir)).select("topic", "partition", "offset", "reason")
 
 
+@query
+def quarantine_appended(spark, sf_dir):
+    """What the batches put into quarantine, some messages having been read twice."""
+    return _three_batches(spark, sf_dir).quarantined().select("topic", "partition", "offset", "reason")
+
+
 @query
 def bronze_reconciliation(spark, sf_dir):
     return decode.reconciliation(decoded(spark, sf_dir), "topic", "partition")
@@ -278,6 +284,21 @@ def gold_from_change_events(spark, sf_dir):
     return gold.daily_merchant_revenue(collapse.current_rows(decoded(spark, sf_dir), PAYMENTS))
 
 
+@query
+def gold_refreshed(spark, sf_dir):
+    """Gold built when the mornings were published, then only of the days that the afternoons change."""
+    morning, afternoon = halves(change_log.to_bronze(a.messages(spark, sf_dir)))
+    root = scratch_dir(spark, "lake")
+    lake, published = Lakehouse(root), f"{root}/published"
+    store = SilverStore(spark, f"{root}/changes").create()
+    apply_batch(store, morning, "q", 0)
+    store.publish_changes(published)
+    gold.rebuild_gold(store.live(published), lake, grain="month")
+    apply_batch(store, afternoon, "q", 1)
+    gold.refresh_gold(store, published, lake, store.publish_changes(published), grain="month")
+    return lake.read(spark, "gold", "daily_merchant_revenue").drop(gold.GOLD_PERIOD)
+
+
 # -- staging -------------------------------------------------------------
 @query
 def stg_payments(spark, sf_dir):
@@ -294,6 +315,14 @@ def stg_merchants(spark, sf_dir):
     return staging.stg_merchants(a.raw_merchants(spark, sf_dir))
 
 
+@query
+def stg_merchants_from_seed(spark, sf_dir):
+    """The merchants' extract as CSV files with a header, read as a seed."""
+    path = f"{scratch_dir(spark, 'seed')}/merchants"
+    a.raw_merchants(spark, sf_dir).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return staging.stg_merchants(fx_files.read_seed(spark, path, RAW_MERCHANTS))
+
+
 @query
 def dim_merchants(spark, sf_dir):
     return staging.dim_merchants(staging.stg_merchants(a.raw_merchants(spark, sf_dir)))

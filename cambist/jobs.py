@@ -95,6 +95,14 @@ def rebuild_marts(spark: SparkSession, lake: Lakehouse):
     gold.rebuild_gold(published(spark, lake), lake)
 
 
+def refresh_marts(spark: SparkSession, lake: Lakehouse, days: set | None):
+    """Gold after a publication that has rewritten these days; None: all of them."""
+    if days is None:
+        return rebuild_marts(spark, lake)
+    if days:
+        gold.refresh_gold(silver_store(spark, lake), lake.path("silver", PAYMENTS.name), lake, days)
+
+
 def build_dimensions(spark: SparkSession, lake: Lakehouse, seed: str):
     merchants = staging.stg_merchants(fx_files.read_seed(spark, seed, RAW_MERCHANTS))
     replace_table(staging.dim_merchants(merchants), lake.path("marts", "dim_merchants"))
@@ -232,7 +240,7 @@ def main(argv=None) -> None:
     parser.add_argument("--end", type=dt.date.fromisoformat, help="last day (land-rates)")
     parser.add_argument("--currencies", nargs="*", help="only these (land-rates)")
     parser.add_argument("--seed", help="CSV extract of merchants (dimensions, checks)")
-    parser.add_argument("--refresh", action="store_true", help="only the trailing window (facts)")
+    parser.add_argument("--refresh", action="store_true", help="only what changes: the trailing window (facts), the days just published (silver: gold too)")
     args = parser.parse_args(argv)
     spark = build_session(f"cambist-{args.job}", shuffle_partitions=args.shuffle_partitions)
     lake, table = Lakehouse(args.root), CAPTURED_TABLES[args.table]
@@ -241,7 +249,9 @@ def main(argv=None) -> None:
         ingest(spark, lake, KafkaSource(args.brokers, batch_offsets=args.batch_offsets) if args.brokers else from_files, table)
     elif args.job == "silver":
         apply_changes(spark, lake, table, print, args.batch_files)
-        publish_changes(spark, lake, table)
+        days = publish_changes(spark, lake, table)
+        if args.refresh and table is PAYMENTS:
+            refresh_marts(spark, lake, days)
     elif args.job == "compact":
         silver_store(spark, lake, table).compact()
     elif args.job in ("publish", "rebuild"):
