@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -110,6 +113,70 @@ def test_stages(spark, sf_dir):
             docs = out
 
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_one_of_each(texts, size=5, percent=80):
+    """Ids that stay: the smallest of each component of documents whose shingles are alike, and all without words."""
+    sets, root = {}, {}
+    for i, text in texts.items():
+        words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        runs = [tuple(words[k : k + size]) for k in range(len(words) - size + 1)] if len(words) >= size else [tuple(words)] * bool(words)
+        sets[i], root[i] = set(runs), i
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(sets), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return {i for i in sets if find(i) == i}
+
+
+def brute_kept_words(texts, window=35):
+    words = {i: WORD.findall(t or "") for i, t in texts.items()}
+    count = Counter(tuple(w[k : k + window]) for w in words.values() for k in range(len(w) - window + 1))
+    out = {}
+    for i, w in words.items():
+        gone = {k + x for k in range(len(w) - window + 1) if count[tuple(w[k : k + window])] > 1 for x in range(window)}
+        out[i] = [x for k, x in enumerate(w) if k not in gone]
+    return out
+
+
+def test_stages_against_brute_force(spark, sf_dir):
+    """Near copies, repeats and packing of the whole table; benchmark items by their verbatim passages."""
+    stages, docs = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = lambda frame: {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
+    before = texts(docs)
+    kept = saved(stages["near_duplicates"](spark, docs, sf_dir), "kept")
+    assert texts(kept) == {i: before[i] for i in brute_one_of_each(before)} and kept.count() < docs.count()
+    cut = saved(stages["substring_repeats"](spark, docs, sf_dir), "cut")
+    after, want = texts(cut), brute_kept_words(before)
+    assert {i: WORD.findall(t or "") for i, t in after.items()} == want
+    changed = {i for i in before if len(want[i]) < len(WORD.findall(before[i] or ""))}
+    assert changed and all(after[i] == before[i] for i in before if i not in changed)
+    clean = texts(stages["decontamination"](spark, docs, sf_dir))
+    items = [" ".join(WORD.findall(r.text.lower())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    whole = {i for i, t in before.items() if any(x in " ".join(WORD.findall((t or "").lower())) for x in items)}
+    assert whole and not whole & set(clean) and all(before[i] == t for i, t in clean.items())
+    pieces = stages["packing"](spark, docs, sf_dir).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("want")).collect()
+    assert len(pieces) == len(before) and all(r.n == r.want for r in pieces)
+
+
+def test_severity_of_documents_it_was_not_trained_on(spark, sf_dir):
+    """Held out: four fifths of the labels are learned from, the rest are graded."""
+    docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.1')}/{n}.parquet") for n in ("documents", "labels"))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    graded = toxicity.severity(docs, toxicity.train(docs, labels.where(~fold))).select("doc_id", "toxic").withColumnRenamed("toxic", "found")
+    got = graded.join(labels.where(fold).dropna(), "doc_id").groupBy("toxic").agg(F.avg(F.col("found").cast("int")).alias("share"), F.count("*").alias("n")).collect()
+    share = {r.toxic: r.share for r in got}
+    assert share[1] > 0.85 and share[0] < 0.01, got
+
+
 def test_stages_take_odd_tables(spark, tmp_path):
     rnd = random.Random(9)
     text = " ".join(f"w{i}" for i in range(90))
@@ -129,5 +196,5 @@ def test_stages_take_odd_tables(spark, tmp_path):
 def test_registered():
     from cambist.llm.queries import ORACLES, QUERIES
 
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
