@@ -225,7 +225,7 @@ JOBS = ("bronze", "silver", "compact", "publish", "rebuild", "replay", "dimensio
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="cambist.jobs")
     parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--root", required=True)
+    parser.add_argument("--root", required=True, help="folder of all tables; a full URI unless it is on this machine")
     parser.add_argument("--table", choices=sorted(CAPTURED_TABLES), default="payments")
     parser.add_argument("--shuffle-partitions", type=int, help="total shuffle bytes / 128 MB; Spark's own otherwise")
     parser.add_argument("--brokers", help="message log to read (bronze)")

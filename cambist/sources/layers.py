@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 from dataclasses import dataclass
 
@@ -100,11 +101,12 @@ def read_days(spark: SparkSession, path: str, column: str, days, schema: T.Struc
 
 
 def _store(path: str):
+    """Arrow's view of a path: a full URI, or a path of this machine, as Spark has it where no other store is the default."""
     from pyarrow import fs
 
     scheme, mark, rest = path.partition("://")
     known = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    return fs.FileSystem.from_uri(f"{known}://{rest}" if mark else path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(f"{known}://{rest}" if mark else os.path.abspath(path.removeprefix("file:")))
 
 
 def child_folders(path: str) -> list[str]:
