@@ -54,7 +54,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_sequences),
 ]
 
-#: SQL cannot express the first and last stage; tests compare each stage with a brute-force version.
+#: SQL cannot express the first and last stage; tests hold the first against labels it was not trained on, the others
+#: against brute-force versions.
 ORACLE_SQL = None
 
 
