@@ -26,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(frame: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly over tasks.
+
+    A file is divided at its row groups, whatever its size: of a file that has one, a single
+    task reads all rows, and would do all that follows up to the next exchange.
+    """
+    spark = frame.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return frame.repartition(tasks)
+
+
 def pick(values, index: Column) -> Column:
     """The value at a zero-based position."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -138,9 +149,13 @@ def lookup(mapping: dict[str, str], key: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]), key)
 
 
-def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the payment attributes the messages will carry; errors have negative amounts."""
+def event_facts(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """Events with the payment attributes the messages will carry; errors have negative amounts.
+
+    ``spread``: dealt out as narrow rows, since many times their size is made of them and decoded.
+    """
     events = table(spark, sf_dir, "events")
+    events = dealt(events) if spread else events
     cents = F.round(F.col("value") * 100).cast("bigint")
     return events.select(
         "event_id",
@@ -197,8 +212,8 @@ def quoted(value: Column) -> Column:
     return F.concat(F.lit('"'), value, F.lit('"'))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log record per event, in the six-column record schema.
+def messages(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """One log record per event, in the six-column record schema; ``spread`` as for the events.
 
     Fixed values, by ``k``: 0 no value · 1 no JSON · 2 unknown operation · 3 no
     key · 4 JSON null · 5 an array · 6 truncate · 7 wrapped in payload · 8 log
@@ -208,7 +223,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount · 19 more text behind the document · 20 two documents · 21 key with a
     fraction of zeros.
     """
-    e, k = event_facts(spark, sf_dir), F.col("k")
+    e, k = event_facts(spark, sf_dir, spread), F.col("k")
     cents, micros = F.col("cents"), F.unix_micros("ts").cast("string")
     amount = (
         F.when(k == 11, quoted(digits_of(cents)))

@@ -72,38 +72,28 @@ def wide_integer(encoded: Column) -> Column:
 
     Two limbs of 64 bits: the value is (signed upper) * 2**64 + lower, and where it has no
     more than 38 digits, the product and the sum are exact decimals. Wider is NULL.
+
+    Plain expressions throughout, which are compiled; a lambda would be interpreted row by row.
     """
     digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
-    sign = F.when(encoded.rlike(NEGATIVE_BASE64), F.lit("F")).otherwise(F.lit("0"))
+    negative = encoded.rlike(NEGATIVE_BASE64)
+    # Only the rare payload beyond 16 bytes has sign bytes worth dropping.
     minimal = F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
-    limbs = F.lpad(F.when(F.length(minimal) <= 32, minimal), 32, sign)
+    beyond = (F.length(encoded) > 24) | ((F.length(encoded) == 24) & ~encoded.endswith("=="))
+    kept = F.when(beyond, F.when(F.length(minimal) <= 32, minimal)).otherwise(digits)
+    limbs = F.lpad(kept, 32, F.when(negative, F.lit("F")).otherwise(F.lit("0")))
     base = F.lit(str(1 << 64)).cast("decimal(20,0)")
-
-    def added(pair: Column) -> Column:
-        upper, lower = pair["upper"], pair["lower"]
-        # Both terms with the value's sign, so that neither has more digits than it.
-        carry = (upper < 0).cast("int")
-        return F.try_add(F.try_multiply(upper + carry, base), lower - carry * base).try_cast("decimal(38,0)").cast("string")
-
-    def parted(text: Column) -> Column:
-        upper, lower = F.conv(F.substring(text, 1, 16), 16, -10), F.conv(F.substring(text, 17, 16), 16, 10)
-        return F.struct(upper.cast("decimal(20,0)").alias("upper"), lower.cast("decimal(20,0)").alias("lower"))
-
-    return F.when(F.length(encoded) > 0, _bound(_bound(limbs, parted), added))
-
-
-def _bound(value: Column, use) -> Column:
-    """``use(value)``, the value computed once however often it is used: as an expression it would be repeated each time."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    # Both terms with the value's sign, so that neither has more digits than it.
+    carry = F.when(negative, F.lit(1)).otherwise(F.lit(0))
+    upper = F.conv(F.substring(limbs, 1, 16), 16, -10).cast("decimal(20,0)") + carry
+    lower = F.conv(F.substring(limbs, 17, 16), 16, 10).cast("decimal(20,0)") - carry * base
+    value = F.try_add(F.try_multiply(upper, base), lower).try_cast("decimal(38,0)")
+    return F.when(F.length(encoded) > 0, value.cast("string"))
 
 
 def _pointed(digits: Column, scale: int) -> Column:
-    """Digits of a whole number of units of the last place, with the point where it belongs."""
-    sign = F.when(digits.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    bare = F.regexp_replace(digits, "^[+-]?0*", "")
-    padded = F.when(F.length(bare) > scale, bare).otherwise(F.lpad(bare, scale + 1, "0"))
-    whole = padded.substr(F.lit(1), F.length(padded) - scale)
-    return F.concat(sign, whole, F.lit("."), F.right(padded, F.lit(scale)) if scale else F.lit("0"))
+    """Digits of a whole number of units of the last place as the text of a decimal, which a cast reads exactly."""
+    return F.concat(digits, F.lit(f"E-{scale}"))
 
 
 def variant_text(variant: Column) -> Column:
@@ -127,7 +117,7 @@ def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str
 
     def scaled(unscaled: Column) -> Column:
         if wide:
-            return _bound(unscaled.cast("string"), lambda digits: _pointed(digits, scale)).try_cast(target)
+            return _pointed(unscaled.cast("string"), scale).try_cast(target)
         unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
         return (unscaled.cast("decimal(19,0)") * unit).try_cast(target)
 
@@ -145,8 +135,8 @@ def money(variant: Column, text: Column, decimal_type: T.DecimalType, mode: str
     else:
         from_string = F.when(looks_like_a_number, from_digits)
     whole = F.when(kind == "BIGINT", scaled(text.try_cast("bigint")))
-    if wide:  # a whole number of more digits than a bigint holds
-        whole = whole.when(F.length(text) > 18, scaled(text))
+    if wide:  # a whole number of more digits than a bigint may hold; the longest bigints are read the same way
+        whole = F.when(F.length(text) > 18, scaled(text)).when(kind == "BIGINT", scaled(text))
     whole = whole.when(kind.startswith("DECIMAL"), from_digits)
     return (
         F.when(text.isNull(), None)

@@ -13,6 +13,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cambist.catalogue import adapters
+from cambist.catalogue.queries import QUERIES, WIDE_DIGITS
 from cambist.functions import wire
 from cambist.operators.decode import decoded_changes, quarantine, reconciliation
 from cambist.schemas import CAPTURED_TABLES, MERCHANTS, MONEY, REFUNDS
@@ -247,3 +249,41 @@ def test_wide_amounts_as_digits(spark):
     parsed = frame.select("i", F.try_parse_json("json").alias("v")).select("*", wire.variant_text(F.col("v")).alias("t"))
     got = parsed.select("i", wire.money(F.col("v"), F.col("t"), T.DecimalType(38, 4)).alias("a")).orderBy("i").collect()
     assert [r.a for r in got] == [Decimal("12345678901234567890.5"), Decimal("-0.0001"), Decimal("12345678901234567890123.25"), None, None]
+
+
+def test_wide_amounts_are_compiled(spark):
+    """Lambdas are interpreted, and repeat what they refer to."""
+    frame = spark.createDataFrame([('"AQ=="',)], "json string").select(F.try_parse_json("json").alias("v"))
+    texts = frame.select("*", wire.variant_text(F.col("v")).alias("t"))
+    plan = texts.select(wire.money(F.col("v"), F.col("t"), T.DecimalType(38, 4)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def one_row_group(spark, folder, n):
+    """A table of events in one file of one row group, which one task reads whatever the split size."""
+    rows = spark.range(0, n, 1, 1).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"),
+        (F.col("id") / 4).alias("value"), F.lit('{"k": 30}').alias("props"),
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("made", [adapters.event_facts, adapters.messages])
+def test_events_of_one_row_group_are_spread_over_tasks(spark, tmp_path, made):
+    folder = one_row_group(spark, tmp_path, 4_000)
+    counts = [r["count"] for r in made(spark, folder).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 4_000 and len(counts) >= 4 and max(counts) < 2_000
+
+
+def test_wide_decimals_of_spread_events(spark, tmp_path):
+    folder = one_row_group(spark, tmp_path, 500)
+    rows = QUERIES["decode_wide_decimals"](spark, folder)
+    assert rows.groupBy(F.spark_partition_id()).count().count() >= 4
+    found = {(r.event_id, r.form): r.amount for r in rows.collect()}
+    want = {
+        (i, f"{form}_{n}"): Decimal(f"{10 ** (n - 1) + i * 25}E-4")
+        for i in range(500) for n in WIDE_DIGITS for form in ("base64", "whole", "digits")
+    }
+    assert found == want
