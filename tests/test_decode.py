@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cambist.catalogue import adapters
-from cambist.catalogue.queries import QUERIES, WIDE_DIGITS
+from cambist.catalogue.queries import QUERIES, WIDE_DIGITS, halves
 from cambist.functions import wire
 from cambist.operators.decode import decoded_changes, quarantine, reconciliation
 from cambist.schemas import CAPTURED_TABLES, MERCHANTS, MONEY, REFUNDS
+from cambist.sources import change_log
 
 
 def decode(spark, *messages, **options):
@@ -263,7 +264,7 @@ def one_row_group(spark, folder, n):
     """A table of events in one file of one row group, which one task reads whatever the split size."""
     rows = spark.range(0, n, 1, 1).select(
         F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).cast("timestamp_ntz").alias("ts"),
-        (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"),
+        (F.col("id") % 7).alias("user_id"), F.when(F.col("id") % 3 == 0, "view").otherwise("click").alias("event_type"),
         (F.col("id") / 4).alias("value"), F.lit('{"k": 30}').alias("props"),
     )
     rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
@@ -287,3 +288,13 @@ def test_wide_decimals_of_spread_events(spark, tmp_path):
         for i in range(500) for n in WIDE_DIGITS for form in ("base64", "whole", "digits")
     }
     assert found == want
+
+
+def test_gold_refreshed_of_one_row_group(spark, tmp_path):
+    """Each batch that is applied is spread over tasks, and the refreshed gold is that of all messages at once."""
+    folder = one_row_group(spark, tmp_path, 4_000)
+    for half in halves(change_log.to_bronze(adapters.messages(spark, folder))):
+        counts = [r["count"] for r in decoded_changes(half).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(counts) >= 4 and max(counts) < sum(counts) / 2
+    got, want = (sorted(map(str, QUERIES[name](spark, folder).collect())) for name in ("gold_refreshed", "gold_from_change_events"))
+    assert got and got == want
