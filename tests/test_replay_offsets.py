@@ -151,3 +151,23 @@ def test_pages_follow_each_other(spark):
     for wrong in ("EUR", (1, "EUR"), (dt.date(2026, 1, 1),), (dt.date(2026, 1, 1), None)):
         with pytest.raises(reports.InvalidArgument):
             reports.merchant_revenue(gold, 1, dt.date(2026, 1, 1), dt.date(2026, 1, 31), after=wrong)
+
+
+def caches(spark):
+    """Bytes of what is cached now, by id."""
+    return {kept.id(): kept.memSize() + kept.diskSize() for kept in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+
+def test_batches_keep_raw_values_of_quarantined_messages_alone(spark, tmp_path, monkeypatch):
+    """Raw messages of 8 kB each are not cached, but for those that quarantine takes."""
+    good = [message("c", 100 + i, payment_id=i, note=random.Random(i).randbytes(4_000).hex()) for i in range(200)]
+    bad = ['{"op":"c"', "nothing", message("x", 900), message("c", 901, payment_id=None)]
+    before, during = caches(spark), {}
+    append = SilverStore.append_changes
+    monkeypatch.setattr(SilverStore, "append_changes", lambda *args: (during.update(caches(spark)), append(*args)))
+    store = SilverStore(spark, str(tmp_path / "silver")).create()
+    counts = apply_batch(store, bronze(spark, [*good, *bad, None, "null"]), "q", 0)
+    assert counts == {"batch_id": 0, "messages": 206, "decoded": 200, "quarantined": 4, "tombstones": 2}
+    assert sorted(r.payment_id for r in store.current().collect()) == list(range(200))
+    assert sorted((r.value, r.offset) for r in store.quarantined().collect()) == sorted(zip(bad, range(200, 204), strict=True))
+    assert 0 < sum(size for kept, size in during.items() if kept not in before) < 400_000 < sum(map(len, good)) / 2
