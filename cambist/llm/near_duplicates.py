@@ -4,18 +4,22 @@
    128 minwise values (and 2 bits of each as a sketch).
 2. Trees: a node draws ``BRANCH`` of the 128 places, by its own name, and a class goes to
    the child named by the place and its value there. Nodes up to ``SMALL`` classes are
-   leaves; larger ones branch again, down to ``DEPTH``. A pair of similarity s shares a
-   leaf of one tree with probability p, p = 1 - (1 - s p)^2: 0.94 at s = 0.8, so six
-   independent trees miss 5 pairs in 10^8, fewer above 0.8.
+   leaves. Of a larger one, those alike to its members on average (a similarity of a half,
+   by some members' sketches) are its core and stop there, a group of copies; the others
+   branch again until nodes are small, or few rows are left in large ones, so unlike classes
+   that share values are parted however many there are. A pair of similarity s meets in one tree with probability p,
+   p = 1 - (1 - s p)^2: 0.94 at s = 0.8, so six independent trees miss 6 pairs in 10^8,
+   fewer above 0.8.
 3. In a leaf all classes are compared by sketch (a pair of 0.8 passes but for 1 in 10^7);
    classes without a partner are left out. What passes is confirmed on full sets, counted
    from the texts.
 4. Only components are asked for, so pairs are emitted sparingly: first a forest per leaf,
    best pairs first; then, between classes not yet connected, every pair that is left. A
-   leaf whose classes are all connected is done. Nodes that stay large are groups of copies;
-   those that share a class are taken together, once. One class of a group is compared with
-   the rest; what that leaves apart is compared on full sets, block against
-   block, and each task returns only links that connect.
+   leaf whose classes are all connected is done. Nodes with a core are groups of copies;
+   those that share a core class are taken together, once. One core class of a group is
+   compared with the rest; what that leaves apart is compared by sketch, core classes with
+   all, block against block; those with a partner are compared on full sets, and each task
+   returns only links that connect.
 
 So a group of n near copies makes about n rows, not n^2, and no group meets in one task.
 
@@ -32,19 +36,25 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .shared import as_binary, by_size, map_arrow, matrix, record, rows_of, saved, texts_of
 from .words import Words, mix
 
-PLACES, TREES, BRANCH, SMALL, DEPTH = 128, 6, 2, 100, 3
+PLACES, TREES, BRANCH, SMALL = 128, 6, 2, 100
+#: Rows of large nodes that are compared as they are rather than branch again. Nodes halve by level at least, on average, so at ``DEPTH`` few are left; they are groups whatever they hold.
+FEW_ROWS, DEPTH = 20_000, 16
 #: Of 128 sketch places, 19 differ on average at similarity 0.8, with a deviation of 4.
 MOST_DIFFERENT = 40
+#: Members of a large node that each of its members is held against; a core one differs from them in at most so many places on average, a similarity of a half.
+SAMPLE, CORE_DIFFERS = 8, 48
 #: Bytes of full sets and number of sets in a block; two blocks meet in a task, which compares ``AT_ONCE`` sets with as many at a time.
 BLOCK_BYTES, BLOCK_SETS, AT_ONCE = 4 << 20, 4096, 1024
 PIVOT_ROUNDS = 1
+#: So many pairs of sets are compared one by one, more by a product of matrices.
+FEW_PAIRS = 1 << 14
 _U = np.uint64
 _random = np.random.default_rng(8)
 _FACTORS = _random.integers(0, 1 << 63, PLACES, dtype=np.uint64) * _U(2) + _U(1)
@@ -56,6 +66,7 @@ _SIGNED = pa.schema(
 )
 _ROWS = pa.schema([("node", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
 _ROWS_DDL = "node long, cid long, n long, sketch binary"
+_RATED = pa.schema([*_ROWS, ("core", pa.bool_())])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -139,12 +150,41 @@ def _from_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # -- comparing in leaves -------------------------------------------------
+def _differing(x, y) -> np.ndarray:
+    """In how many places of their sketches two rows differ."""
+    differ = x ^ y
+    return np.bitwise_count((differ | (differ >> _U(1))) & _LANES).sum(axis=1, dtype=np.int64)
+
+
 def _alike(x, y, nx, ny, percent) -> np.ndarray:
     """Whether two rows may be similar enough, by size and sketch."""
-    differ = x ^ y
-    lanes = (differ | (differ >> _U(1))) & _LANES
-    near = np.bitwise_count(lanes).sum(axis=1, dtype=np.int64) <= MOST_DIFFERENT
-    return near & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+    return (_differing(x, y) <= MOST_DIFFERENT) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+
+
+def _signs(sketch: np.ndarray) -> np.ndarray:
+    """Three signs for each place of a sketch; the products of two rows' signs add up to 3 for a place they agree in, else to -1."""
+    two = (sketch[:, :, None] >> np.arange(0, 64, 2, dtype=np.uint64)) & _U(3)
+    signs = np.array([[1, 1, 1], [1, -1, -1], [-1, 1, -1], [-1, -1, 1]], np.float32)
+    return signs[two.reshape(len(sketch), PLACES).astype(np.int64)].reshape(len(sketch), 3 * PLACES)
+
+
+def _all_alike(x, y, nx, ny, percent) -> np.ndarray:
+    """``_alike`` of each row with each of the others, by their signs."""
+    near = x @ y.T >= 3 * PLACES - 4 * MOST_DIFFERENT
+    return near & (100 * np.minimum(nx[:, None], ny) >= percent * np.maximum(nx[:, None], ny))
+
+
+def _rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 4000):
+            batch = whole.slice(at, 4000)
+            sample = batch.column("sample")
+            bounds = np.asarray(sample.offsets, dtype=np.int64)
+            others = matrix(sample.values.slice(bounds[0], bounds[-1] - bounds[0]), 4, np.uint64)
+            count = np.diff(bounds)
+            differ = _differing(np.repeat(matrix(batch.column("sketch"), 4, np.uint64), count, axis=0), others)
+            core = np.add.reduceat(differ, bounds[:-1] - bounds[0]) <= CORE_DIFFERS * count
+            yield record(_RATED, **{c: batch.column(c) for c in ("node", "cid", "n", "sketch")}, core=core)
 
 
 class Leaves:
@@ -179,9 +219,7 @@ class Leaves:
     def forest(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """As many of the pairs as connect what all of them connect, the most similar first."""
         a, b = self.pairs(percent)
-        differ = self.sketch[a] ^ self.sketch[b]
-        worst = np.bitwise_count((differ | (differ >> _U(1))) & _LANES).sum(axis=1)
-        order = np.lexsort((self.cid[b], self.cid[a], worst))
+        order = np.lexsort((self.cid[b], self.cid[a], _differing(self.sketch[a], self.sketch[b])))
         a, b = a[order], b[order]
         leaf = self.leaf[a].tolist()
         keep, _ = _spanning(list(zip(leaf, self.comp[a].tolist())), list(zip(leaf, self.comp[b].tolist())))
@@ -224,6 +262,31 @@ def _to_pivot(percent: int):
     return pair
 
 
+def _apart(percent: int):
+    schema = pa.schema([("node", pa.int64()), ("cid", pa.int64())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, i, j, members in zip(*(batch.column(c) for c in ("node", "i", "j", "members"))):
+                value = {f.name: members.values.field(k) for k, f in enumerate(members.values.type)}
+                cid, own, n, comp = (value[c].to_numpy() for c in ("cid", "own", "n", "comp"))
+                core, signs = value["core"].to_numpy(zero_copy_only=False), _signs(matrix(value["sketch"], 4, np.uint64))
+                some, order = np.zeros(len(cid), bool), np.argsort(comp, kind="stable")  # connected ones side by side
+                left, right = order[own[order] == i.as_py()], order[own[order] == j.as_py()]
+                for a in range(0, len(left), AT_ONCE):
+                    for b in range(a if i == j else 0, len(right), AT_ONCE):
+                        x, y = left[a : a + AT_ONCE], right[b : b + AT_ONCE]
+                        if comp[x].min() == comp[x].max() == comp[y].min() == comp[y].max() or not (core[x].any() or core[y].any()):
+                            continue
+                        near = _all_alike(signs[x], signs[y], n[x], n[y], percent)
+                        near &= (comp[x, None] != comp[y]) & (core[x, None] | core[y])
+                        some[x] |= near.any(axis=1)
+                        some[y] |= near.any(axis=0)
+                yield record(schema, node=np.full(some.sum(), node.as_py()), cid=cid[some])
+
+    return mark
+
+
 # -- full sets -----------------------------------------------------------
 def _set_maker(size: int):
     schema = pa.schema([("cid", pa.int64()), ("codes", pa.binary())])
@@ -238,6 +301,12 @@ def _set_maker(size: int):
     return make
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many codes two sorted sets share."""
+    place = np.searchsorted(x, y)
+    return int((x[np.minimum(place, len(x) - 1)] == y).sum())
+
+
 def _confirmer(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
@@ -246,8 +315,7 @@ def _confirmer(percent: int):
             linked = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                place = np.searchsorted(x, y)
-                both = int((x[np.minimum(place, len(x) - 1)] == y).sum())
+                both = _common(x, y)
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield record(schema, a=batch.column("a"), b=batch.column("b"), linked=linked)
 
@@ -279,20 +347,27 @@ def common_counts(sets: list[np.ndarray], others: list[np.ndarray], width=4096)
     return np.rint(out).astype(np.int64)
 
 
-def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Places of linked sets that connect what is not connected yet; ``AT_ONCE`` sets against as many in turn."""
+def _linked(sets: list[np.ndarray], comp: np.ndarray, percent: int, sketch: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Places of linked sets that connect what is not connected yet; ``AT_ONCE`` sets against as many in turn, or those alike by sketch."""
     size, out = np.array([len(s) for s in sets]), []
+    signs = None if sketch is None else _signs(sketch)
     _, comp = np.unique(comp, return_inverse=True)
     for i in range(0, len(sets), AT_ONCE):
         for j in range(i, len(sets), AT_ONCE):
             x, y = slice(i, i + AT_ONCE), slice(j, j + AT_ONCE)
             if len(np.unique(np.concatenate([comp[x], comp[y]]))) < 2:
                 continue
-            both = common_counts(sets[x], sets[y])
-            linked = 100 * both >= percent * (size[x, None] + size[y] - both)
-            linked &= comp[x, None] != comp[y]
-            a, b = np.nonzero(np.triu(linked, 1) if i == j else linked)
+            near = comp[x, None] != comp[y]
+            if signs is not None:
+                near &= _all_alike(signs[x], signs[y], size[x], size[y], percent)
+            a, b = np.nonzero(np.triu(near, 1) if i == j else near)
+            if signs is not None and len(a) <= FEW_PAIRS:
+                both = np.array([_common(sets[s], sets[t]) for s, t in zip((a + i).tolist(), (b + j).tolist())], np.int64)
+            else:
+                both = common_counts(sets[x], sets[y])[a, b]
             a, b = a + i, b + j
+            linked = 100 * both >= percent * (size[a] + size[b] - both)
+            a, b = a[linked], b[linked]
             keep, root = _spanning(comp[a].tolist(), comp[b].tolist())
             out += zip(a[keep].tolist(), b[keep].tolist())
             if keep:
@@ -307,7 +382,9 @@ def _linker(percent: int):
                 values = members.values
                 cid, comp = values.field("cid").to_numpy(), values.field("comp").to_numpy()
                 sets = [np.frombuffer(c.as_buffer(), np.uint64) for c in values.field("codes")]
-                places = np.array(_linked(sets, comp, percent), np.int64).reshape(-1, 2)
+                named = [f.name for f in values.type]
+                sketch = matrix(values.field("sketch"), 4, np.uint64) if "sketch" in named else None
+                places = np.array(_linked(sets, comp, percent, sketch), np.int64).reshape(-1, 2)
                 x, y = cid[places[:, 0]], cid[places[:, 1]]
                 yield record(_PAIRS, a=np.minimum(x, y), b=np.maximum(x, y))
 
@@ -342,68 +419,97 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "node")
 
 
-def _leaves(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Members of small leaves that may have a partner there; members of nodes that stayed large."""
-    spark = classes.sparkSession
+def _with_core(large: DataFrame) -> DataFrame:
+    """Rows of large nodes, and whether each is alike to what its node holds, by some of its members."""
+    order = Window.partitionBy("node").orderBy(F.xxhash64("cid", "node"), "cid")
+    some = large.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
+    samples = some.groupBy("node").agg(F.collect_list("sketch").alias("sample"))
+    return map_arrow(large.join(samples, "node").select("node", "cid", "n", "sketch", "sample"), _rated, f"{_ROWS_DDL}, core boolean")
+
+
+def _leaves(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Members of small leaves that may have a partner there; members of large nodes that have a core, if there are any."""
     seeds, large = None, None
+
+    def compared(rows):
+        found = saved(map_arrow(_grouped(rows), _partnered(percent), _ROWS_DDL), "seeds")
+        return found if seeds is None else seeds.unionByName(found)
+
     rows = saved(map_arrow(classes.select("cid", "n", "signature"), _from_roots, _ROWS_DDL), "nodes")
     for depth in range(1, DEPTH + 1):
         sized = _sized(rows)
-        found = map_arrow(_grouped(sized.where(F.col("size") <= SMALL)), _partnered(percent), _ROWS_DDL)
-        seeds = found if seeds is None else seeds.unionByName(found)
-        large = sized.where(F.col("size") > SMALL).drop("size")
+        seeds = compared(sized.where(F.col("size") <= SMALL))
+        wide = saved(sized.where(F.col("size") > SMALL).drop("size"), "wide")
+        if wide.isEmpty():
+            break
+        rated = wide.withColumn("core", F.lit(True)) if depth == DEPTH else saved(_with_core(wide), "rated")
+        dense = rated.join(rated.where("core").select("node").distinct(), "node", "left_semi")
+        large = dense if large is None else large.unionByName(dense)
         if depth == DEPTH:
             break
-        again = large.select("node", "cid").join(classes.select("cid", "n", "signature"), "cid")
-        rows = saved(map_arrow(again, _from_nodes, _ROWS_DDL), "nodes")
-        if rows.isEmpty():
-            large = spark.createDataFrame([], _ROWS_DDL)
+        others = rated.where("NOT core")
+        if others.count() <= FEW_ROWS:
+            seeds = compared(others.drop("core"))
             break
-    return saved(seeds, "seeds"), saved(large, "large")
+        again = others.select("node", "cid").join(classes.select("cid", "n", "signature"), "cid")
+        rows = saved(map_arrow(again, _from_nodes, _ROWS_DDL), "nodes")
+    if large is not None:
+        large = saved(large, "large")
+    return seeds, None if large is None or large.isEmpty() else large
 
 
 def _blobs(large: DataFrame) -> DataFrame:
-    """Classes of nodes that stayed large, once each: nodes that share a class are one group, its name in ``node``."""
-    least = large.groupBy("node").agg(F.min("cid").alias("v"))
-    stars = large.select("node", F.col("cid").alias("u")).join(least, "node").select("u", "v").distinct()
-    roots = components(stars).select(F.col("node").alias("cid"), F.col("root").alias("node"))
-    return saved(large.select("cid", "n", "sketch").dropDuplicates(["cid"]).join(roots, "cid").select("node", "cid", "n", "sketch"), "groups")
+    """Classes of large nodes, once in each group: nodes that share a core class are one group, its name in ``node``."""
+    least = large.where("core").groupBy("node").agg(F.min("cid").alias("v"))
+    stars = large.where("core").select("node", F.col("cid").alias("u")).join(least, "node").select("u", "v").distinct()
+    roots = components(stars).select(F.col("node").alias("v"), "root")
+    names = least.join(roots, "v", "left").select("node", F.coalesce("root", "v").alias("name"))
+    members = large.join(names, "node").groupBy(F.col("name").alias("node"), "cid")
+    return saved(members.agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.bool_or("core").alias("core")), "groups")
 
 
-def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(rows: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
     """Rows with their component, of nodes whose classes are not all connected."""
     rows = rows.join(labels, "cid")
     ends = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node")
-    return rows.join(ends, "node").select("node", "cid", "comp", "n", "sketch")
+    return rows.join(ends, "node").select("node", "cid", "comp", "n", "sketch", *more)
 
 
 def _candidates(seeds: DataFrame, groups: DataFrame | None, labels: DataFrame, percent: int, step: int, last: bool) -> DataFrame:
     """Pairs to confirm: a forest of each leaf and one class of each group against the rest; at last all pairs of leaves."""
     pairs = map_arrow(_grouped(_open(seeds, labels)), _pairing(percent, not last), "a long, b long")
     if groups is not None and not last:
-        rows = _open(groups, labels)
-        pivots = rows.groupBy("node").agg(F.min_by(F.struct("cid", "comp", "n", "sketch"), F.xxhash64("cid", F.lit(step))).alias("p"))
+        rows = _open(groups, labels, "core")
+        pivots = rows.where("core").groupBy("node").agg(F.min_by(F.struct("cid", "comp", "n", "sketch"), F.xxhash64("cid", F.lit(step))).alias("p"))
         beside = rows.join(pivots, "node").where(F.col("p.comp") != F.col("comp"))
         beside = beside.select("cid", "n", "sketch", F.col("p.cid").alias("p_cid"), F.col("p.n").alias("p_n"), F.col("p.sketch").alias("p_sketch"))
         pairs = pairs.unionByName(map_arrow(beside, _to_pivot(percent), "a long, b long"))
     return pairs.distinct()
 
 
-def _within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that connect what is not connected yet in each group, by its full sets, block against block."""
-    rows = _open(groups, labels).select("node", "cid", "comp", "n")
-    blocks = rows.groupBy("node").agg(F.ceil(F.greatest(F.sum("n") * 8 / BLOCK_BYTES, F.count("*") / BLOCK_SETS)).cast("int").alias("count"))
+def _block_pairs(rows: DataFrame, count, *columns: str) -> DataFrame:
+    """(node, i, j, members): each two blocks of a node, and each block by itself, unless its classes are all connected."""
+    blocks = rows.groupBy("node").agg(F.ceil(count).cast("int").alias("count"))
     spread = (
         rows.join(blocks, "node")
         .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("count")).cast("int"))
-        .join(sets, "cid")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     )
-    members = spread.select("node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "comp", "codes")
-    open_ = members.groupBy("node", "i", "j").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.collect_list(F.struct("cid", "comp", "codes")).alias("members")
+    members = spread.select("node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *columns)
+    pairs = members.groupBy("node", "i", "j").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.collect_list(F.struct("own", *columns)).alias("members")
     )
-    return map_arrow(open_.where("lo <> hi").select("members"), _linker(percent), "a long, b long")
+    return pairs.where("lo <> hi").select("node", "i", "j", "members")
+
+
+def _within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is not connected yet in each group: by sketch what may have a link, by full sets what has one, block against block."""
+    rows = saved(_open(groups, labels, "core"), "open")
+    blocks = _block_pairs(rows, F.count("*") / BLOCK_SETS, "cid", "comp", "n", "sketch", "core")
+    apart = saved(map_arrow(blocks, _apart(percent), "node long, cid long").distinct(), "apart")
+    left = rows.join(apart, ["node", "cid"]).join(sets, "cid")
+    blocks = _block_pairs(left, F.greatest(F.sum("n") * 8 / BLOCK_BYTES, F.count("*") / BLOCK_SETS), "cid", "comp", "sketch", "codes")
+    return map_arrow(blocks.select("members"), _linker(percent), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -438,7 +544,7 @@ def near_duplicates(docs: DataFrame, size=5, percent=80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept; also text_hash, by which a row is known."""
     signed, classes = classes_of(docs, size)
     seeds, large = _leaves(classes, percent)
-    active = seeds.select("cid").unionByName(large.select("cid")).distinct()
+    active = (seeds if large is None else seeds.unionByName(large.drop("core"))).select("cid").distinct()
     labels = saved(active.withColumn("comp", F.col("cid")), "labels")
     found = labels
     if not labels.isEmpty():
@@ -448,7 +554,7 @@ def near_duplicates(docs: DataFrame, size=5, percent=80) -> DataFrame:
         sets = map_arrow(owned.select("cid", "text", "k1", "k2"), _set_maker(size), "cid long, codes binary")
         sets = saved(sets.dropDuplicates(["cid"]), "sets")
         tried = docs.sparkSession.createDataFrame([], "a long, b long, linked boolean")
-        groups = None if large.isEmpty() else _blobs(large)
+        groups = None if large is None else _blobs(large)
         rounds = 1 if groups is None else PIVOT_ROUNDS
         for step in range(rounds + 1):
             last = step == rounds

@@ -80,6 +80,73 @@ def test_a_large_group_of_near_copies(spark, documents, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == groups(rows, 2)[0]
 
 
+def common_phrases(rnd, n):
+    """Texts that share many of few phrases, each pair less than the threshold, and hold words of their own."""
+    phrases = [f"of{i} the{i} and{i}" for i in range(40)]
+    return [" ".join(rnd.sample(phrases, 22) + [f"own{k}x{i}" for i in range(12)]) for k in range(n)]
+
+
+def test_unlike_classes_that_share_values_are_no_group(spark, documents, monkeypatch):
+    """Three levels of branches leave them in nodes larger than a leaf; more part them."""
+    monkeypatch.setattr(near_duplicates, "SMALL", 12)
+    monkeypatch.setattr(near_duplicates, "FEW_ROWS", 60, raising=False)
+    rows = list(enumerate(common_phrases(random.Random(4), 500)))
+    _, classes = near_duplicates.classes_of(documents(rows), 2)
+    seeds, large = near_duplicates._leaves(classes, 80)
+    assert large is None or large.select("cid").distinct().count() < 50
+    sizes = {r.node: r["count"] for r in seeds.groupBy("node").count().collect()}
+    assert max(sizes.values(), default=0) <= 60
+
+
+def test_groups_amid_unlike_classes(spark, documents, monkeypatch):
+    """Cores of large nodes are groups, what is beside them in a node is compared with them and branches on."""
+    monkeypatch.setattr(near_duplicates, "SMALL", 8)
+    monkeypatch.setattr(near_duplicates, "FEW_ROWS", 20, raising=False)
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(near_duplicates, "BLOCK_SETS", 50)
+    rnd = random.Random(6)
+    texts = common_phrases(rnd, 120)
+    texts += [varied(rnd, texts[k], rnd.randint(1, 9)) for k in (0, 1) for _ in range(60)]
+    texts += [varied(rnd, t, 3) for t in texts[2:12]]
+    rows = list(enumerate(texts))
+    found = near_duplicates._leaves(near_duplicates.classes_of(documents(rows), 2)[1], 80)[1]
+    assert {r.core for r in found.select("core").distinct().collect()} == {True, False}
+    got = near_duplicates.near_duplicates(documents(rows), 2)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == groups(rows, 2)[0]
+
+
+def test_sketches_compared_one_by_one_or_all_at_once():
+    random_ = np.random.default_rng(5)
+    values = random_.integers(0, 1 << 32, (60, near_duplicates.PLACES)).astype(np.uint32)
+    for i in range(1, 60):  # between some, just as many places differ as may
+        keep = random_.random(near_duplicates.PLACES) < random_.choice([0.4, 0.6, 0.7])
+        values[i, keep] = values[random_.integers(0, i), keep]
+    sketch, n = near_duplicates.sketches(values), random_.integers(80, 130, 60)
+    a, b = (x.ravel() for x in np.indices((60, 60)))
+    one = near_duplicates._alike(sketch[a], sketch[b], n[a], n[b], 80).reshape(60, 60)
+    signs = near_duplicates._signs(sketch)
+    assert (near_duplicates._all_alike(signs, signs, n, n, 80) == one).all() and 60 < one.sum() < 3000
+
+
+def test_links_of_pairs_alike_by_sketch(monkeypatch):
+    """One by one or by matrices, the same components as without sketches."""
+    random_ = np.random.default_rng(9)
+    bases = random_.integers(0, 1 << 63, (6, 60)).astype(np.uint64)
+    sets = [np.unique(np.concatenate([bases[k % 6][:-m], random_.integers(0, 1 << 63, m).astype(np.uint64)])) for k, m in enumerate(random_.integers(1, 9, 90))]
+    sketch, comp = near_duplicates.sketches(near_duplicates.minwise(sets)), np.arange(90) % 45
+
+    def parts(*sketch):
+        links = near_duplicates._linked(sets, comp, 80, *sketch)
+        _, root = near_duplicates._spanning([*comp.tolist(), *(comp[a] for a, _ in links)], [*comp.tolist(), *(comp[b] for _, b in links)])
+        return len(links), [[root(c) for c in comp.tolist()].index(root(c)) for c in comp.tolist()]
+
+    expected = parts()
+    assert 20 < expected[0] < 45
+    for few in (0, 1 << 14):
+        monkeypatch.setattr(near_duplicates, "FEW_PAIRS", few)
+        assert parts(sketch) == expected
+
+
 def test_thousands_of_short_classes_below_the_threshold_take_little_memory():
     random_ = np.random.default_rng(3)
     base = np.arange(22, dtype=np.uint64)
